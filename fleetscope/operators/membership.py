@@ -42,66 +42,130 @@ def _check_match(match: str) -> None:
         raise ValueError(f"match must be one of {MATCH_MODES}, got {match!r}")
 
 
-def substrings(s, max_len: int) -> Column:
-    """Distinct substrings of ``s`` of length 0..max_len (the empty one included).
+def substrings_sql(s: str, max_len: int) -> str:
+    """SQL for the distinct substrings of column ``s`` of length 0..max_len.
 
     ``contains(s, k)`` with ``len(k) <= max_len`` holds exactly when ``k`` is in
     this array, so membership becomes an equality join on its elements.
+    ``sequence(1, 0)`` would count down, so names shorter than ``n`` get no
+    ``n``-grams.
     """
-    s = F.col(s) if isinstance(s, str) else s
-    def gram_at(n):
-        # a one-argument lambda: transform() reads two arguments as (element, index)
-        return lambda i: s.substr(i, F.lit(n))
-
-    parts = [F.array(F.lit(""))]
+    parts = ["array('')"]
     for n in range(1, max_len + 1):
-        grams = F.transform(F.sequence(F.lit(1), F.length(s) - F.lit(n - 1)), gram_at(n))
-        # sequence(1, 0) would count down; names shorter than n have no n-grams
-        parts.append(F.when(F.length(s) >= F.lit(n), grams)
-                     .otherwise(F.array().cast("array<string>")))
-    return F.array_distinct(F.flatten(F.array(*parts)))
+        parts.append(f"CASE WHEN length({s}) >= {n} "
+                     f"THEN transform(sequence(1, length({s}) - {n - 1}), i -> substr({s}, i, {n})) "
+                     f"ELSE cast(array() AS array<string>) END")
+    return f"array_distinct(flatten(array({', '.join(parts)})))"
+
+
+def substrings(s: str, max_len: int) -> Column:
+    return F.expr(substrings_sql(s, max_len))
+
+
+def tagged(s: str, key_sql: str, max_len: int) -> Column:
+    """``array<struct<g, is_key>>``: the row's own key, then its substrings.
+
+    Exploding this once per distinct name gives one relation from which both
+    the key set (``is_key``) and the candidate matches (``not is_key``) are
+    taken, so the names are scanned and shuffled once for a membership level.
+    """
+    return F.expr(f"concat(array(named_struct('g', {key_sql}, 'is_key', true)), "
+                  f"transform({substrings_sql(s, max_len)}, "
+                  f"x -> named_struct('g', x, 'is_key', false)))")
+
+
+_CLIENT_SQL = f"substring({S.SERVER}, {K.CLIENT_POS[0]}, {K.CLIENT_POS[1]})"
+_HOST_SQL = f"substring({S.SERVER}, {K.HOST_POS[0]}, {K.HOST_POS[1]})"
+_DISK_SQL = f"substring({S.DISK}, {K.DISK_POS[0]}, {K.DISK_POS[1]})"
+
+
+def _match(tagged_rows: DataFrame, scope: list[str], key_name: str, keep: list[str]) -> DataFrame:
+    """Equi-join candidate substrings to the key set within ``scope`` columns."""
+    keys = (tagged_rows.where(F.col("is_key"))
+            .select(*[F.col(c).alias(f"k_{c}") for c in scope], F.col("g").alias(key_name))
+            .distinct())
+    cands = tagged_rows.where(~F.col("is_key"))
+    cond = cands["g"] == keys[key_name]
+    for c in scope:
+        cond = cond & (cands[c] == keys[f"k_{c}"])
+    return cands.join(keys, cond, "inner").select(*keep, key_name)
 
 
 def _names(df: DataFrame) -> DataFrame:
     return df.select(S.SERVER).where(F.col(S.SERVER).isNotNull()).distinct()
 
 
+def _client_grams(df: DataFrame) -> DataFrame:
+    """``(server_name, g, is_key)`` over the distinct names."""
+    return _names(df).select(S.SERVER, F.inline(tagged(S.SERVER, _CLIENT_SQL, K.CLIENT_LEN)))
+
+
+def _client_keys(grams: DataFrame) -> DataFrame:
+    """``(client, hosts)``: every client key with the host keys of its rows.
+
+    One aggregation by substring: a substring is a client when some name has it
+    as its own key, and the names containing it are that client's rows, whose
+    fifth characters are its host keys.  The host set per client is bounded by
+    the alphabet of one character; it is combined map-side before the shuffle.
+    """
+    return (grams.groupBy(F.col("g").alias("client"))
+            .agg(F.max("is_key").alias("is_client"),
+                 F.collect_set(F.expr(_HOST_SQL)).alias("hosts"))
+            .where(F.col("is_client")).select("client", "hosts"))
+
+
 def clients(df: DataFrame) -> DataFrame:
     """Distinct client keys of all rows (D1): ``client``."""
     return (_names(df).select(K.client_key(S.SERVER).alias("client")).distinct())
 
 
+def _client_members(grams: DataFrame, keys: DataFrame) -> DataFrame:
+    cands = grams.where(~F.col("is_key"))
+    return (cands.join(keys.select("client"), cands["g"] == keys["client"], "inner")
+            .select(S.SERVER, "client"))
+
+
 def client_members(df: DataFrame, match: str = "contains") -> DataFrame:
     """``(server_name, client)`` for every name and client it belongs to."""
     _check_match(match)
-    names = _names(df)
     if match == "position":
-        return names.select(S.SERVER, K.client_key(S.SERVER).alias("client"))
-    keys = names.select(K.client_key(S.SERVER).alias("client")).distinct()
-    grams = names.select(S.SERVER, F.explode(substrings(S.SERVER, K.CLIENT_LEN)).alias("g"))
-    return (grams.join(keys, grams["g"] == keys["client"], "inner")
-            .select(S.SERVER, "client"))
+        return _names(df).select(S.SERVER, K.client_key(S.SERVER).alias("client"))
+    grams = _client_grams(df)
+    return _client_members(grams, _client_keys(grams))
 
 
 def hosts(df: DataFrame, match: str = "contains", members: DataFrame | None = None) -> DataFrame:
     """Distinct ``(client, host)`` pairs (D2); host keys come from the client's rows."""
-    cm = members if members is not None else client_members(df, match)
-    return cm.select("client", K.host_key(S.SERVER).alias("host")).distinct()
+    _check_match(match)
+    if members is not None:
+        return members.select("client", K.host_key(S.SERVER).alias("host")).distinct()
+    if match == "position":
+        return _names(df).select(K.client_key(S.SERVER).alias("client"),
+                                 K.host_key(S.SERVER).alias("host")).distinct()
+    return _client_keys(_client_grams(df)).select("client", F.explode("hosts").alias("host"))
 
 
 def host_members(df: DataFrame, match: str = "contains",
                  members: DataFrame | None = None) -> DataFrame:
-    """``(server_name, client, host)`` for every name, client and host."""
+    """``(server_name, client, host)`` for every name, client and host.
+
+    ``members`` may pass a precomputed ``client_members`` table.
+    """
     _check_match(match)
     if match == "position":
         return _names(df).select(S.SERVER, K.client_key(S.SERVER).alias("client"),
                                  K.host_key(S.SERVER).alias("host"))
-    cm = members if members is not None else client_members(df, match)
-    keys = cm.select(F.col("client").alias("k_client"),
-                     K.host_key(S.SERVER).alias("host")).distinct()
-    grams = cm.select(S.SERVER, "client", F.explode(substrings(S.SERVER, K.HOST_LEN)).alias("g"))
-    cond = (grams["client"] == keys["k_client"]) & (grams["g"] == keys["host"])
-    return grams.join(keys, cond, "inner").select(S.SERVER, "client", "host")
+    if members is not None:
+        rows = members.select(S.SERVER, "client",
+                              F.inline(tagged(S.SERVER, _HOST_SQL, K.HOST_LEN)))
+        return _match(rows, ["client"], "host", [S.SERVER, "client"])
+    grams = _client_grams(df)
+    keys = _client_keys(grams)
+    cm = _client_members(grams, keys)
+    host_keys = keys.select(F.col("client").alias("k_client"), F.explode("hosts").alias("host"))
+    cands = cm.select(S.SERVER, "client", F.explode(substrings(S.SERVER, K.HOST_LEN)).alias("h"))
+    cond = (cands["client"] == host_keys["k_client"]) & (cands["h"] == host_keys["host"])
+    return cands.join(host_keys, cond, "inner").select(S.SERVER, "client", "host")
 
 
 def _name_disk_pairs(df: DataFrame) -> DataFrame:
@@ -130,13 +194,9 @@ def disk_members(df: DataFrame, match: str = "contains",
                         K.host_key(S.SERVER).alias("host"), K.disk_key(S.DISK).alias("disk")))
     hm = members if members is not None else host_members(df, match)
     pairs = _name_disk_pairs(df).join(hm, S.SERVER, "inner")
-    keys = pairs.select(F.col("client").alias("k_client"), F.col("host").alias("k_host"),
-                        K.disk_key(S.DISK).alias("disk")).distinct()
-    grams = pairs.select(S.SERVER, S.DISK, "client", "host",
-                         F.explode(substrings(S.DISK, K.DISK_LEN)).alias("g"))
-    cond = ((grams["client"] == keys["k_client"]) & (grams["host"] == keys["k_host"])
-            & (grams["g"] == keys["disk"]))
-    return grams.join(keys, cond, "inner").select(S.SERVER, S.DISK, "client", "host", "disk")
+    rows = pairs.select(S.SERVER, S.DISK, "client", "host",
+                        F.inline(tagged(S.DISK, _DISK_SQL, K.DISK_LEN)))
+    return _match(rows, ["client", "host"], "disk", [S.SERVER, S.DISK, "client", "host"])
 
 
 def client_disks(df: DataFrame, match: str = "contains",

@@ -44,13 +44,6 @@ DISK_COLS = [S.SERVER, S.TIME, S.DISK, S.WRITES_AVG]
 WIDE_COLS = [S.SERVER, S.TIME, S.PROCESSOR, S.DISK, S.CPU, S.MEM,
              S.WRITES_AVG, S.WRITES_MAX, S.READS_AVG, S.READS_MAX]
 
-EVENTS_SCHEMA = T.StructType([
-    T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("props", T.StringType()),
-])
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,7 +68,7 @@ def _wide(spark, sf):
 
 def scan_metrics(spark, sf):
     """Generic reader (format + explicit schema) -> fixture mapping -> clean."""
-    events = (spark.read.format("parquet").schema(EVENTS_SCHEMA)
+    events = (spark.read.format("parquet").schema(X.EVENTS_SCHEMA)
               .load(f"{sf}/events.parquet"))
     return RD.clean(X.metrics_from_events(events)).select(*WIDE_COLS)
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetscope import schema as S
 from fleetscope.sources.readers import clean
@@ -22,11 +23,18 @@ PROCESSORS = ["_Total", "0", "1"]     # by event_id % 3
 DISK_NAMES = ["_total", "c:", "d:"]   # by event_id % 3
 # --- end of fixed values ----------------------------------------------------------
 
-EVENTS_COLUMNS = ["event_id", "ts", "user_id", "value", "props"]
+# The events columns the mapping reads; an explicit schema skips footer inference.
+EVENTS_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType()),
+])
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(*EVENTS_COLUMNS)
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def metrics_from_events(events: DataFrame) -> DataFrame:
