@@ -1,0 +1,100 @@
+"""Sources and sinks: generic reader, ingest append, streaming ingest, views,
+cache, chart-table writes."""
+
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from fleetscope import schema as S
+from fleetscope.plans import fixtures as X
+from fleetscope.sources import ingest as I
+from fleetscope.sources import readers as RD
+from fleetscope.sources import sinks as SK
+from fleetscope.streaming.ingest_stream import ingest_stream
+from tests.conftest import SF_SMALL
+
+
+def fresh(name):
+    return os.path.join(tempfile.mkdtemp(prefix="fleetscope-test-"), name)
+
+
+def cpu_source(spark):
+    return X.family_table(X.metrics_from_events(X.read_events(spark, SF_SMALL)), S.CPU_FAMILY)
+
+
+def test_read_csv_and_json_with_schema(spark):
+    src = cpu_source(spark)
+    n = src.count()
+    for fmt in ("csv", "json", "parquet"):
+        path = fresh(f"land-{fmt}")
+        I.write_landing(src, path, fmt=fmt)
+        df = RD.read_metrics(spark, path, S.CPU_FAMILY, fmt=fmt)
+        assert df.columns == S.CPU_FAMILY.columns
+        assert df.count() == n
+        assert df.where(F.col(S.TIME).isNull()).count() == 0
+
+
+def test_malformed_time_text_reads_as_null(spark):
+    path = fresh("bad.csv")
+    with open(path, "w") as f:
+        f.write(f"{S.SRC_SERVER},{S.SRC_TIME},{S.SRC_PROCESSOR},{S.SRC_CPU}\n")
+        f.write("acm-a1,2024-01-01 10:00:00,_Total,5\n")
+        f.write("acm-a1,yesterday,_Total,NaN\n")
+    rows = RD.read_metrics(spark, path, S.CPU_FAMILY, fmt="csv").collect()
+    assert sorted((r.hr_time is None, r.cpu_pct) for r in rows) == [(False, 5.0), (True, None)]
+
+
+def test_ingest_append_twice_doubles_and_dedupe(spark):
+    src = cpu_source(spark)
+    n = src.count()
+    landing, table = fresh("landing"), fresh("table")
+    I.write_landing(src, landing)
+    I.ingest_append(spark, landing, table, S.CPU_FAMILY)
+    assert I.read_table(spark, table, S.CPU_FAMILY).count() == n
+    I.ingest_append(spark, landing, table, S.CPU_FAMILY)
+    assert I.read_table(spark, table, S.CPU_FAMILY).count() == 2 * n
+    distinct = src.distinct().count()
+    assert I.read_table(spark, table, S.CPU_FAMILY, dedupe=True).count() == distinct
+    # partitioned by day: a date filter prunes partitions
+    plan = (I.read_table(spark, table, S.CPU_FAMILY)
+            .where(F.col(S.TIME) >= F.lit("2024-01-29").cast("timestamp_ntz")))
+    assert plan.count() < n
+
+
+def test_streaming_ingest_is_exactly_once(spark):
+    src = cpu_source(spark)
+    n = src.count()
+    landing, table, ckpt = fresh("landing"), fresh("table"), fresh("ckpt")
+    I.write_landing(src, landing + "/batch1")
+    ingest_stream(spark, landing + "/*", table, ckpt, S.CPU_FAMILY)
+    ingest_stream(spark, landing + "/*", table, ckpt, S.CPU_FAMILY)  # nothing new
+    assert spark.read.parquet(table).count() == n
+    I.write_landing(src.limit(10), landing + "/batch2")
+    ingest_stream(spark, landing + "/*", table, ckpt, S.CPU_FAMILY)
+    assert spark.read.parquet(table).count() == n + 10
+
+
+def test_sql_view_and_cached_scan(spark):
+    df = X.load_metrics(spark, SF_SMALL)
+    v = RD.sql_view_scan(spark, df, "t_view")
+    assert v.count() == df.count()
+    c = RD.cached_scan(spark, df, "t_cached", partitions=3)
+    assert spark.catalog.isCached("t_cached")
+    assert c.count() == df.count()
+    assert c.rdd.getNumPartitions() == 3
+    RD.uncache(spark, "t_cached")
+    assert not spark.catalog.isCached("t_cached")
+
+
+def test_sink_modes(spark):
+    a = spark.createDataFrame([("acm", "a", 1, 1.0)], "client string, host string, x int, y double")
+    b = spark.createDataFrame([("bet", "b", 2, 2.0)], "client string, host string, x int, y double")
+    path = fresh("chart")
+    SK.write_table(a, path, force=False)
+    SK.write_table(b, path, force=False)
+    back = SK.read_written(spark, path, a.schema)
+    assert [tuple(r) for r in back.collect()] == [("acm", "a", 1, 1.0)]
+    SK.write_table(b, path, force=True)
+    back = SK.read_written(spark, path, a.schema)
+    assert [tuple(r) for r in back.collect()] == [("bet", "b", 2, 2.0)]
