@@ -10,7 +10,6 @@ clean, with internal names.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetscope import schema as S
@@ -37,37 +36,35 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
+def _quoted(items) -> str:
+    return ", ".join(f"'{x}'" for x in items)
+
+
 def metrics_from_events(events: DataFrame) -> DataFrame:
     """The wide metric table with source column names."""
-    uid, eid = F.col("user_id"), F.col("event_id")
-    codes = F.array(*[F.lit(c) for c in CLIENT_CODES])
-    server = F.concat(
-        F.element_at(codes, (uid % len(CLIENT_CODES)).cast("int") + 1),
-        F.lit("-"),
-        F.lit(HOST_LETTERS).substr(((uid / len(CLIENT_CODES)).cast("bigint")
-                                    % len(HOST_LETTERS)).cast("int") + 1, F.lit(1)),
-        F.lpad(uid.cast("string"), 3, "0"))
-    k = F.get_json_object("props", "$.k").cast("double")
-    slot = eid % 3
-    processor = F.element_at(F.array(*[F.lit(p) for p in PROCESSORS]), slot.cast("int") + 1)
-    disk = F.element_at(F.array(*[F.lit(d) for d in DISK_NAMES]), slot.cast("int") + 1)
-    return events.select(
-        server.alias(S.SRC_SERVER),
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias(S.SRC_TIME),
-        processor.alias(S.SRC_PROCESSOR),
-        disk.alias(S.SRC_DISK),
-        F.col("value").alias(S.SRC_CPU),
-        k.alias(S.SRC_MEM),
-        F.col("value").alias(S.SRC_WRITES_AVG),
-        (F.col("value") + k).alias(S.SRC_WRITES_MAX),
-        k.alias(S.SRC_READS_AVG),
-        (k + (eid % 10)).alias(S.SRC_READS_MAX),
+    k = "cast(get_json_object(props, '$.k') AS double)"
+    slot = "cast(event_id % 3 AS int) + 1"
+    n_clients, n_hosts = len(CLIENT_CODES), len(HOST_LETTERS)
+    server = (f"concat(element_at(array({_quoted(CLIENT_CODES)}), cast(user_id % {n_clients} AS int) + 1), "
+              f"'-', substr('{HOST_LETTERS}', cast((user_id div {n_clients}) % {n_hosts} AS int) + 1, 1), "
+              f"lpad(cast(user_id AS string), 3, '0'))")
+    return events.selectExpr(
+        f"{server} AS `{S.SRC_SERVER}`",
+        f"cast(date_trunc('hour', ts) AS timestamp_ntz) AS `{S.SRC_TIME}`",
+        f"element_at(array({_quoted(PROCESSORS)}), {slot}) AS `{S.SRC_PROCESSOR}`",
+        f"element_at(array({_quoted(DISK_NAMES)}), {slot}) AS `{S.SRC_DISK}`",
+        f"value AS `{S.SRC_CPU}`",
+        f"{k} AS `{S.SRC_MEM}`",
+        f"value AS `{S.SRC_WRITES_AVG}`",
+        f"value + {k} AS `{S.SRC_WRITES_MAX}`",
+        f"{k} AS `{S.SRC_READS_AVG}`",
+        f"{k} + event_id % 10 AS `{S.SRC_READS_MAX}`",
     )
 
 
 def family_table(wide: DataFrame, family: S.MetricFamily) -> DataFrame:
     """The source-named columns of one metric family."""
-    return wide.select(*[F.col(f"`{c}`") for c in family.source_columns])
+    return wide.selectExpr(*[f"`{c}`" for c in family.source_columns])
 
 
 def load_metrics(spark: SparkSession, sf_dir: str, family: S.MetricFamily | None = None) -> DataFrame:

@@ -19,6 +19,8 @@ cut, and join planning sees its real size.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,10 +59,31 @@ def family_rollup(facts: DataFrame, family: S.MetricFamily, exact_scale: int | N
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared scratch folder and read it back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return materialize_all({name: df})[name]
+
+
+def materialize_all(dfs: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write several independent DataFrames concurrently and read them back.
+
+    The jobs share no stages, so submitting them from separate threads lets the
+    scheduler run them side by side instead of one after another.  Reading back
+    with the known schema skips footer inference.
+    """
+    if not dfs:
+        return {}
+    spark = next(iter(dfs.values())).sparkSession
+    paths = {name: scratch_path(spark, name) for name in dfs}
+
+    def write(name: str) -> None:
+        dfs[name].write.mode("errorifexists").parquet(paths[name])
+
+    if len(dfs) == 1:
+        write(next(iter(dfs)))
+    else:
+        with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
+            for f in [pool.submit(write, name) for name in dfs]:
+                f.result()
+    return {name: spark.read.schema(dfs[name].schema).parquet(paths[name]) for name in dfs}
 
 
 def _rows(df: DataFrame, section, x=None, y="y", y2=None, disk=None) -> DataFrame:
@@ -127,10 +150,11 @@ def overall_report(cpu: DataFrame | None, mem: DataFrame | None, disk: DataFrame
     shares of memory and disk, stacked in page order (R2)."""
     rolled = dict(rolled or {})
     facts = {"cpu": cpu, "mem": mem, "disk": disk}
-    for fam in (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY):
-        if fam.name not in rolled:
-            r = family_rollup(facts[fam.name], fam, exact_scale, sections=())
-            rolled[fam.name] = materialize(r, f"rollup-{fam.name}") if materialize_rollup else r
+    todo = {f"rollup-{fam.name}": family_rollup(facts[fam.name], fam, exact_scale, sections=())
+            for fam in (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY) if fam.name not in rolled}
+    if materialize_rollup:
+        todo = materialize_all(todo)
+    rolled.update({k.removeprefix("rollup-"): v for k, v in todo.items()})
     cpu_r = rolled["cpu"]
     cpu_hm = M.host_members(cpu_r, match)
     cpu_cm = M.client_members(cpu_r, match)
@@ -163,10 +187,9 @@ def write_reports(cpu: DataFrame, mem: DataFrame, disk: DataFrame, out_dir: str,
     Client reports are written partitioned by client (S5).  Returns the paths.
     """
     facts = {"cpu": cpu, "mem": mem, "disk": disk}
-    rolled = {}
-    for fam in (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY):
-        rolled[fam.name] = materialize(family_rollup(facts[fam.name], fam, exact_scale),
-                                       f"rollup-{fam.name}")
+    todo = {fam.name: family_rollup(facts[fam.name], fam, exact_scale)
+            for fam in (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY)}
+    rolled = materialize_all(todo)
     paths = {}
     for fam in (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY):
         path = f"{out_dir.rstrip('/')}/client_report_{fam.name}"

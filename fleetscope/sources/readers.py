@@ -16,24 +16,25 @@ from pyspark.sql import types as T
 from fleetscope import schema as S
 
 
+def clean_sql(name: str, dtype: T.DataType) -> str:
+    """SQL expression cleaning one source column; aliased to its internal name."""
+    internal = S.COLUMN_MAP.get(name, name)
+    c = f"`{name}`"
+    if internal == S.TIME:
+        if isinstance(dtype, T.StringType):
+            c = f"cast(try_to_timestamp({c}) AS timestamp_ntz)"
+        elif isinstance(dtype, T.DateType):
+            c = f"cast({c} AS timestamp_ntz)"
+    elif internal in S.METRIC_COLUMNS:
+        c = f"nanvl(cast({c} AS double), cast(NULL AS double))"
+    elif internal in S.STRING_COLUMNS and not isinstance(dtype, T.StringType):
+        c = f"cast({c} AS string)"
+    return f"{c} AS `{internal}`"
+
+
 def clean(df: DataFrame, dedupe: bool = False) -> DataFrame:
     """Rename source columns to internal names and normalise their types."""
-    cols = []
-    for field in df.schema.fields:
-        name = S.COLUMN_MAP.get(field.name, field.name)
-        c = F.col(f"`{field.name}`")
-        if name == S.TIME:
-            if isinstance(field.dataType, T.StringType):
-                c = F.try_to_timestamp(c).cast(T.TimestampNTZType())
-            elif isinstance(field.dataType, T.DateType):
-                c = c.cast(T.TimestampNTZType())
-        elif name in S.METRIC_COLUMNS:
-            c = c.cast(T.DoubleType())
-            c = F.nanvl(c, F.lit(None).cast(T.DoubleType()))
-        elif name in S.STRING_COLUMNS:
-            c = c.cast(T.StringType())
-        cols.append(c.alias(name))
-    out = df.select(*cols)
+    out = df.selectExpr(*[clean_sql(f.name, f.dataType) for f in df.schema.fields])
     return out.dropDuplicates() if dedupe else out
 
 
