@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from fleetscope import schema as S
 from fleetscope.functions import keys as K
+from fleetscope.sources.scratch import materialize
 
 MATCH_MODES = ("contains", "position")
 
@@ -225,11 +226,19 @@ def fleet_disk_members(df: DataFrame, match: str = "contains") -> DataFrame:
 
 # --- splits: the fact rows with their keys --------------------------------------
 
-def split(df: DataFrame, level: str = "host", match: str = "contains") -> DataFrame:
+def split(df: DataFrame, level: str = "host", match: str = "contains",
+          materialize_members: bool = True) -> DataFrame:
     """Fact rows with the keys of every member they belong to.
 
     A row that belongs to ``k`` keys appears ``k`` times, once per key, as the
     reference's per-key DataFrames would hold it.
+
+    The membership table is written to the scratch folder first
+    (``materialize_members``): its real size then decides the join strategy when
+    the plan is built - broadcast when it is small, so the facts are never
+    shuffled, and a sort-merge join with AQE skew splitting otherwise.  Without
+    it, the planner only has an estimate derived from the fact scan and would
+    shuffle the facts before learning the membership table is tiny.
     """
     if level == "client":
         m, on = client_members(df, match), [S.SERVER]
@@ -239,12 +248,23 @@ def split(df: DataFrame, level: str = "host", match: str = "contains") -> DataFr
         m, on = disk_members(df, match), [S.SERVER, S.DISK]
     else:
         raise ValueError(f"level must be client, host or disk, got {level!r}")
+    if materialize_members:
+        m = materialize(m, f"members-{level}")
     return df.join(m, on, "inner")
 
 
-def split_fleet_disks(df: DataFrame, match: str = "contains") -> DataFrame:
-    """Fact rows of the whole fleet per (client, disk)."""
-    return df.join(fleet_disk_members(df, match), S.DISK, "inner")
+def split_fleet_disks(df: DataFrame, match: str = "contains",
+                      materialize_members: bool = True) -> DataFrame:
+    """Fact rows of the whole fleet per (client, disk).
+
+    The join key (disk name) has few distinct values, each holding a large part
+    of the rows, so a shuffle on it would be badly skewed; the small membership
+    table is materialized so the join is planned as a broadcast.
+    """
+    m = fleet_disk_members(df, match)
+    if materialize_members:
+        m = materialize(m, "members-fleet-disk")
+    return df.join(m, S.DISK, "inner")
 
 
 # --- single-key predicates (F1-F4) ---------------------------------------------

@@ -19,8 +19,6 @@ cut, and join planning sees its real size.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +27,7 @@ from fleetscope.functions import keys as K
 from fleetscope.operators import membership as M
 from fleetscope.operators import profiles as P
 from fleetscope.operators import shares as W
-from fleetscope.session import scratch_path
+from fleetscope.sources.scratch import materialize, materialize_all
 from fleetscope.sources.sinks import write_table
 
 REPORT_COLUMNS = ["client", "host", "disk", "section", "x", "y", "y2"]
@@ -57,35 +55,6 @@ def family_rollup(facts: DataFrame, family: S.MetricFamily, exact_scale: int | N
     return P.rollup(facts, family_metrics(family), buckets, names, exact_scale)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the shared scratch folder and read it back."""
-    return materialize_all({name: df})[name]
-
-
-def materialize_all(dfs: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Write several independent DataFrames concurrently and read them back.
-
-    The jobs share no stages, so submitting them from separate threads lets the
-    scheduler run them side by side instead of one after another.  Reading back
-    with the known schema skips footer inference.
-    """
-    if not dfs:
-        return {}
-    spark = next(iter(dfs.values())).sparkSession
-    paths = {name: scratch_path(spark, name) for name in dfs}
-
-    def write(name: str) -> None:
-        dfs[name].write.mode("errorifexists").parquet(paths[name])
-
-    if len(dfs) == 1:
-        write(next(iter(dfs)))
-    else:
-        with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
-            for f in [pool.submit(write, name) for name in dfs]:
-                f.result()
-    return {name: spark.read.schema(dfs[name].schema).parquet(paths[name]) for name in dfs}
-
-
 def _rows(df: DataFrame, section, x=None, y="y", y2=None, disk=None) -> DataFrame:
     def lit_or_col(v, dtype):
         if v is None:
