@@ -148,7 +148,8 @@ def report_titles(spark, sf):
     parts = []
     for fam, df in ((S.CPU_FAMILY, _cpu(spark, sf)), (S.MEM_FAMILY, _mem(spark, sf))):
         parts.append(R.titles(M.hosts(df, MATCH), fam).withColumn("family", F.lit(fam.name)))
-    parts.append(R.titles(M.disks(_disk(spark, sf), MATCH), S.DISK_FAMILY)
+    disk = _disk(spark, sf)
+    parts.append(R.titles(M.hosts(disk, MATCH), S.DISK_FAMILY, M.disks(disk, MATCH))
                  .withColumn("family", F.lit("disk")))
     out = parts[0]
     for p in parts[1:]:

@@ -121,20 +121,26 @@ _WIDE = ("server_name, hr_time, processor, disk_name, cpu_pct, mem_pct, disk_wri
 
 
 def _titles() -> str:
-    host_t = []
-    for fam, word in (("cpu", "CPU"), ("mem", "Memory")):
+    t = []
+    null = "CAST(NULL AS VARCHAR)"
+    for fam, word, pie in (("cpu", "CPU", "'Total Percentage Usage per Host in 1 month'"),
+                           ("mem", "Memory", "'Percentage Memory Usage for ' || client || ' in 1 month'"),
+                           ("disk", None, "'Percentage Disk Usage for ' || client || ' in 1 month'")):
+        t.append(f"SELECT '{fam}' AS family, client, host, {null} AS disk, 'heading' AS chart, "
+                 f"'Charts for ' || client || ' with host ' || host AS title FROM hk")
+        t.append(f"SELECT DISTINCT '{fam}' AS family, client, {null} AS host, {null} AS disk, "
+                 f"'share' AS chart, {pie} AS title FROM hk")
+        if word is None:
+            continue
         for chart, cap in (("hourly", "Hourly"), ("weekly", "Weekly"), ("monthly", "Monthly")):
-            host_t.append(
-                f"SELECT '{fam}' AS family, client, host, CAST(NULL AS VARCHAR) AS disk, "
-                f"'{chart}' AS chart, '{cap} {word} Usage for ' || client || ' with host ' || host "
-                f"AS title FROM hk")
+            t.append(f"SELECT '{fam}' AS family, client, host, {null} AS disk, '{chart}' AS chart, "
+                     f"'{cap} {word} Usage for ' || client || ' with host ' || host AS title FROM hk")
     for chart, text in (("writes", "Hourly Average Disk Write/Sec for "),
                         ("reads", "Hourly Average Disk Reads/Sec for ")):
-        host_t.append(
-            f"SELECT 'disk' AS family, client, host, disk, '{chart}' AS chart, "
-            f"'{text}' || client || ' with host ' || host || ' Disk: ' || upper(disk) || ':' "
-            f"AS title FROM dk")
-    return " UNION ALL ".join(host_t)
+        t.append(f"SELECT 'disk' AS family, client, host, disk, '{chart}' AS chart, "
+                 f"'{text}' || client || ' with host ' || host || ' Disk: ' || upper(disk) || ':' "
+                 f"AS title FROM dk")
+    return " UNION ALL ".join(t)
 
 
 def _report_rows(section_expr, x, y, y2, disk="CAST(NULL AS VARCHAR)"):

@@ -27,7 +27,7 @@ from fleetscope.functions import keys as K
 from fleetscope.operators import membership as M
 from fleetscope.operators import profiles as P
 from fleetscope.operators import shares as W
-from fleetscope.sources.scratch import materialize, materialize_all
+from fleetscope.sources.scratch import drop, materialize, materialize_all
 from fleetscope.sources.sinks import write_table
 
 REPORT_COLUMNS = ["client", "host", "disk", "section", "x", "y", "y2"]
@@ -158,7 +158,8 @@ def write_reports(cpu: DataFrame, mem: DataFrame, disk: DataFrame, out_dir: str,
     facts = {"cpu": cpu, "mem": mem, "disk": disk}
     todo = {fam.name: family_rollup(facts[fam.name], fam, exact_scale)
             for fam in (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY)}
-    rolled = materialize_all(todo)
+    scratch: dict[str, str] = {}
+    rolled = materialize_all(todo, scratch)
     paths = {}
     for fam in (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY):
         path = f"{out_dir.rstrip('/')}/client_report_{fam.name}"
@@ -169,36 +170,59 @@ def write_reports(cpu: DataFrame, mem: DataFrame, disk: DataFrame, out_dir: str,
     write_table(overall_report(None, None, None, match, exact_scale, rolled=rolled),
                 path, force=force, partition_by=())
     paths["overall"] = path
+    drop(cpu.sparkSession, scratch.values())  # every job reading the rollups has run
     return paths
 
 
-def titles(members: DataFrame, family: S.MetricFamily) -> DataFrame:
-    """Chart titles per member (P10): ``(client, host, disk, chart, title)``.
+def to_pandas_checked(df: DataFrame, max_rows: int = 1_000_000):
+    """Fetch a final, small result (a chart's series) to the driver.
 
-    ``members`` holds distinct ``(client, host)`` (or ``(client, host, disk)``
-    for the disk family).
+    Raises instead of silently truncating when the result is larger than
+    ``max_rows``; use it on aggregates, never on fact rows.
+    """
+    pdf = df.limit(max_rows + 1).toPandas()
+    if len(pdf) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; write it with a sink instead")
+    return pdf
+
+
+def titles(host_keys: DataFrame, family: S.MetricFamily,
+           disk_keys: DataFrame | None = None) -> DataFrame:
+    """Titles of a client report (P10): ``(client, host, disk, chart, title)``.
+
+    ``host_keys`` holds distinct ``(client, host)``; the disk family also needs
+    ``disk_keys`` with distinct ``(client, host, disk)``.  Rows: one ``heading``
+    per host, one title per chart of the host (per disk for the disk charts,
+    with the disk letter upper-cased), and one ``share`` (pie) title per client.
     """
     c, h = F.col("client"), F.col("host")
-    rows = []
+    null = F.lit(None).cast("string")
+
+    def rows(df, chart, title, disk=null, host=h):
+        return df.select(c.alias("client"), host.alias("host"), disk.alias("disk"),
+                         F.lit(chart).alias("chart"), title.alias("title"))
+
+    parts = [rows(host_keys, "heading", F.format_string(HEADING_FORMAT, c, h))]
     if family.has_disk:
-        d = F.upper(F.col("disk"))
+        if disk_keys is None:
+            raise ValueError("the disk family needs disk_keys")
         for chart, fmt in TITLE_FORMATS["disk"]:
-            rows.append(members.select(c.alias("client"), h.alias("host"), F.col("disk"),
-                                       F.lit(chart).alias("chart"),
-                                       F.format_string(fmt, c, h, d).alias("title")))
+            parts.append(rows(disk_keys, chart,
+                              F.format_string(fmt, c, h, F.upper(F.col("disk"))), F.col("disk")))
     else:
         for chart, fmt in TITLE_FORMATS[family.name]:
-            rows.append(members.select(c.alias("client"), h.alias("host"),
-                                       F.lit(None).cast("string").alias("disk"),
-                                       F.lit(chart).alias("chart"),
-                                       F.format_string(fmt, c, h).alias("title")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
+            parts.append(rows(host_keys, chart, F.format_string(fmt, c, h)))
+    clients = host_keys.select("client").distinct()
+    parts.append(rows(clients, "share", F.format_string(SHARE_TITLE_FORMATS[family.name], c),
+                      host=null))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 
-# --- fixed values: chart title formats (client, host[, upper-case disk]) ----------
+# --- fixed values: report titles (client, host[, upper-case disk]) ---------------------
+HEADING_FORMAT = "Charts for %s with host %s"
 TITLE_FORMATS = {
     "cpu": [("hourly", "Hourly CPU Usage for %s with host %s"),
             ("weekly", "Weekly CPU Usage for %s with host %s"),
@@ -209,4 +233,17 @@ TITLE_FORMATS = {
     "disk": [("writes", "Hourly Average Disk Write/Sec for %s with host %s Disk: %s:"),
              ("reads", "Hourly Average Disk Reads/Sec for %s with host %s Disk: %s:")],
 }
-# --- end of fixed values -------------------------------------------------------------
+# pie chart titles per client (the CPU one names no client)
+SHARE_TITLE_FORMATS = {
+    "cpu": "Total Percentage Usage per Host in 1 month",
+    "mem": "Percentage Memory Usage for %s in 1 month",
+    "disk": "Percentage Disk Usage for %s in 1 month",
+}
+# section titles of the overall report, by section number
+OVERALL_TITLES = {
+    1: "Percentage CPU usage of every client's hosts",
+    2: "Total Percentage Usage per Host in 1 month",
+    3: "Percentage Memory usage of every client's hosts",
+    4: "Percentage Disk usage of every client's hosts",
+}
+# --- end of fixed values -----------------------------------------------------------------

@@ -21,7 +21,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return materialize_all({name: df})[name]
 
 
-def materialize_all(dfs: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def materialize_all(dfs: dict[str, DataFrame],
+                    written: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Write several independent DataFrames concurrently and read them back.
 
     The jobs share no stages, so submitting them from separate threads lets the
@@ -32,6 +33,8 @@ def materialize_all(dfs: dict[str, DataFrame]) -> dict[str, DataFrame]:
         return {}
     spark = next(iter(dfs.values())).sparkSession
     paths = {name: scratch_path(spark, name) for name in dfs}
+    if written is not None:
+        written.update(paths)
 
     def write(name: str) -> None:
         dfs[name].write.mode("errorifexists").parquet(paths[name])
@@ -43,3 +46,12 @@ def materialize_all(dfs: dict[str, DataFrame]) -> dict[str, DataFrame]:
             for f in [pool.submit(write, name) for name in dfs]:
                 f.result()
     return {name: spark.read.schema(dfs[name].schema).parquet(paths[name]) for name in dfs}
+
+
+def drop(spark, paths) -> None:
+    """Delete written intermediate tables (after the last action that reads them)."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for p in paths:
+        hp = Path(p)
+        hp.getFileSystem(conf).delete(hp, True)

@@ -77,3 +77,31 @@ def test_titles(spark):
     t = R.titles(M.hosts(cpu), S.CPU_FAMILY).where("client = 'acm' AND host = 'a'")
     got = {r.chart: r.title for r in t.collect()}
     assert got["hourly"] == "Hourly CPU Usage for acm with host a"
+
+
+def test_to_pandas_checked(spark):
+    df = spark.range(5)
+    assert len(R.to_pandas_checked(df, 10)) == 5
+    import pytest
+    with pytest.raises(ValueError):
+        R.to_pandas_checked(df, 3)
+
+
+def test_position_mode_report(spark):
+    cpu = X.load_metrics(spark, SF_SMALL, S.CPU_FAMILY)
+    rep = R.client_report(cpu, S.CPU_FAMILY, match="position", exact_scale=2,
+                          materialize_rollup=False)
+    hosts = {(r.client, r.host) for r in rep.where(F.col("section") == "total").collect()}
+    # position mode: exactly the keys at fixed positions of the names
+    expected = {(r[0][:3], r[0][4:5]) for r in cpu.select(S.SERVER).distinct().collect()}
+    assert hosts == expected
+
+
+def test_disk_titles(spark):
+    from fleetscope.operators import membership as M
+
+    disk = X.load_metrics(spark, SF_SMALL, S.DISK_FAMILY)
+    t = R.titles(M.hosts(disk), S.DISK_FAMILY, M.disks(disk))
+    got = {(r.chart, r.title) for r in t.where("client = 'acm'").collect()}
+    assert ("share", "Percentage Disk Usage for acm in 1 month") in got
+    assert ("writes", "Hourly Average Disk Write/Sec for acm with host a Disk: C:") in got
