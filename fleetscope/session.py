@@ -20,6 +20,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Post-rollup shuffles are small in bytes but not in work (joins to
+    # membership, merges); let AQE keep them spread over more tasks instead of
+    # coalescing everything under 1 MB into one.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
