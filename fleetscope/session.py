@@ -47,17 +47,26 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written tables; falls back to a new local one."""
-    jsc = spark.sparkContext._jsc
-    current = jsc.sc().getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        local = tempfile.mkdtemp(prefix="fleetscope-scratch-")
+        spark.conf.set("spark.checkpoint.dir", local)
+        return local
+    current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return jsc.sc().getCheckpointDir().get()
-    local = tempfile.mkdtemp(prefix="fleetscope-scratch-")
-    spark.sparkContext.setCheckpointDir(local)
-    return jsc.sc().getCheckpointDir().get()
+        sc.setCheckpointDir(configured)
+    else:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="fleetscope-scratch-"))
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -49,9 +49,18 @@ def materialize_all(dfs: dict[str, DataFrame],
 
 
 def drop(spark, paths) -> None:
-    """Delete written intermediate tables (after the last action that reads them)."""
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    """Delete written intermediate tables (after the last action that reads them).
+
+    Uses the Hadoop file system of the path, so it works on any shared storage;
+    on a Spark Connect client (no JVM access) the tables are left to the
+    scratch folder's retention.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        return
+    conf = sc._jsc.hadoopConfiguration()
+    Path = sc._jvm.org.apache.hadoop.fs.Path
     for p in paths:
         hp = Path(p)
         hp.getFileSystem(conf).delete(hp, True)
