@@ -36,10 +36,6 @@ def partial_sum(v, exact_scale: int | None) -> Column:
     return F.sum(units(v, exact_scale))
 
 
-def merge_sum(s) -> Column:
-    return F.sum(_col(s))
-
-
 def as_value(s, exact_scale: int | None) -> Column:
     """Turn a (merged) sum back into the metric's unit as a double."""
     s = _col(s)

@@ -9,7 +9,6 @@ a fresh local folder is created and registered as the checkpoint directory.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -73,12 +72,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the scratch root."""
     root = scratch_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so local paths can be handed to Python code."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
