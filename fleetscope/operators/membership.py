@@ -77,19 +77,6 @@ def tagged(s: str, key_sql: str, max_len: int) -> Column:
 
 _CLIENT_SQL = f"substring({S.SERVER}, {K.CLIENT_POS[0]}, {K.CLIENT_POS[1]})"
 _HOST_SQL = f"substring({S.SERVER}, {K.HOST_POS[0]}, {K.HOST_POS[1]})"
-_DISK_SQL = f"substring({S.DISK}, {K.DISK_POS[0]}, {K.DISK_POS[1]})"
-
-
-def _match(tagged_rows: DataFrame, scope: list[str], key_name: str, keep: list[str]) -> DataFrame:
-    """Equi-join candidate substrings to the key set within ``scope`` columns."""
-    keys = (tagged_rows.where(F.col("is_key"))
-            .select(*[F.col(c).alias(f"k_{c}") for c in scope], F.col("g").alias(key_name))
-            .distinct())
-    cands = tagged_rows.where(~F.col("is_key"))
-    cond = cands["g"] == keys[key_name]
-    for c in scope:
-        cond = cond & (cands[c] == keys[f"k_{c}"])
-    return cands.join(keys, cond, "inner").select(*keep, key_name)
 
 
 def _names(df: DataFrame) -> DataFrame:
@@ -120,10 +107,17 @@ def clients(df: DataFrame) -> DataFrame:
     return (_names(df).select(K.client_key(S.SERVER).alias("client")).distinct())
 
 
-def _client_members(grams: DataFrame, keys: DataFrame) -> DataFrame:
+def _client_rows(df: DataFrame) -> DataFrame:
+    """``(server_name, client, hosts)``: names joined once to their clients.
+
+    Each row carries the client's host-key set, so host membership needs no
+    second join: it keeps the host keys the name contains.
+    """
+    grams = _client_grams(df)
+    keys = _client_keys(grams)
     cands = grams.where(~F.col("is_key"))
-    return (cands.join(keys.select("client"), cands["g"] == keys["client"], "inner")
-            .select(S.SERVER, "client"))
+    return (cands.join(keys, cands["g"] == keys["client"], "inner")
+            .select(S.SERVER, "client", "hosts"))
 
 
 def client_members(df: DataFrame, match: str = "contains") -> DataFrame:
@@ -131,8 +125,7 @@ def client_members(df: DataFrame, match: str = "contains") -> DataFrame:
     _check_match(match)
     if match == "position":
         return _names(df).select(S.SERVER, K.client_key(S.SERVER).alias("client"))
-    grams = _client_grams(df)
-    return _client_members(grams, _client_keys(grams))
+    return _client_rows(df).select(S.SERVER, "client")
 
 
 def hosts(df: DataFrame, match: str = "contains", members: DataFrame | None = None) -> DataFrame:
@@ -146,6 +139,11 @@ def hosts(df: DataFrame, match: str = "contains", members: DataFrame | None = No
     return _client_keys(_client_grams(df)).select("client", F.explode("hosts").alias("host"))
 
 
+def _contained(keys_col: str, s: str) -> Column:
+    """The keys of a (small, bounded) key set that string column ``s`` contains."""
+    return F.filter(F.col(keys_col), lambda k: F.col(s).contains(k))
+
+
 def host_members(df: DataFrame, match: str = "contains",
                  members: DataFrame | None = None) -> DataFrame:
     """``(server_name, client, host)`` for every name, client and host.
@@ -157,16 +155,13 @@ def host_members(df: DataFrame, match: str = "contains",
         return _names(df).select(S.SERVER, K.client_key(S.SERVER).alias("client"),
                                  K.host_key(S.SERVER).alias("host"))
     if members is not None:
-        rows = members.select(S.SERVER, "client",
-                              F.inline(tagged(S.SERVER, _HOST_SQL, K.HOST_LEN)))
-        return _match(rows, ["client"], "host", [S.SERVER, "client"])
-    grams = _client_grams(df)
-    keys = _client_keys(grams)
-    cm = _client_members(grams, keys)
-    host_keys = keys.select(F.col("client").alias("k_client"), F.explode("hosts").alias("host"))
-    cands = cm.select(S.SERVER, "client", F.explode(substrings(S.SERVER, K.HOST_LEN)).alias("h"))
-    cond = (cands["client"] == host_keys["k_client"]) & (cands["h"] == host_keys["host"])
-    return cands.join(host_keys, cond, "inner").select(S.SERVER, "client", "host")
+        keys = (members.groupBy(F.col("client").alias("k_client"))
+                .agg(F.collect_set(K.host_key(S.SERVER)).alias("hosts")))
+        rows = (members.join(keys, members["client"] == keys["k_client"], "inner")
+                .select(S.SERVER, "client", "hosts"))
+    else:
+        rows = _client_rows(df)
+    return rows.select(S.SERVER, "client", F.explode(_contained("hosts", S.SERVER)).alias("host"))
 
 
 def _name_disk_pairs(df: DataFrame) -> DataFrame:
@@ -186,7 +181,10 @@ def disk_members(df: DataFrame, match: str = "contains",
                  members: DataFrame | None = None) -> DataFrame:
     """``(server_name, disk_name, client, host, disk)``.
 
-    ``members`` may pass a precomputed ``host_members`` table.
+    Disk keys of a host are the first characters of the disk names on the
+    host's rows; a (name, disk name) pair belongs to the host's disk keys its
+    disk name contains.  The disk-key set of a host is bounded by the alphabet
+    of one character.  ``members`` may pass a precomputed ``host_members``.
     """
     _check_match(match)
     if match == "position":
@@ -195,9 +193,12 @@ def disk_members(df: DataFrame, match: str = "contains",
                         K.host_key(S.SERVER).alias("host"), K.disk_key(S.DISK).alias("disk")))
     hm = members if members is not None else host_members(df, match)
     pairs = _name_disk_pairs(df).join(hm, S.SERVER, "inner")
-    rows = pairs.select(S.SERVER, S.DISK, "client", "host",
-                        F.inline(tagged(S.DISK, _DISK_SQL, K.DISK_LEN)))
-    return _match(rows, ["client", "host"], "disk", [S.SERVER, S.DISK, "client", "host"])
+    keys = (pairs.groupBy(F.col("client").alias("k_client"), F.col("host").alias("k_host"))
+            .agg(F.collect_set(K.disk_key(S.DISK)).alias("disks")))
+    cond = (pairs["client"] == keys["k_client"]) & (pairs["host"] == keys["k_host"])
+    return (pairs.join(keys, cond, "inner")
+            .select(S.SERVER, S.DISK, "client", "host",
+                    F.explode(_contained("disks", S.DISK)).alias("disk")))
 
 
 def client_disks(df: DataFrame, match: str = "contains",
