@@ -28,6 +28,7 @@ from fleetscope.session import scratch_path
 from fleetscope.sources import ingest as I
 from fleetscope.sources import readers as RD
 from fleetscope.sources import sinks as SK
+from fleetscope.streaming.ingest_stream import ingest_stream as ingest_stream_files
 
 EXACT_SCALE = 2
 MATCH = "contains"
@@ -83,6 +84,20 @@ def ingest_append(spark, sf):
     return I.read_table(spark, table, S.CPU_FAMILY)
 
 
+def ingest_stream(spark, sf):
+    """S2 streamed: land the CPU table, ingest it exactly once with Structured
+    Streaming (file source, checkpoint, ``availableNow``), run the stream a
+    second time (nothing new: no duplicates), read the table back."""
+    landing = scratch_path(spark, "landing-cpu-stream")
+    table = scratch_path(spark, "table-cpu-stream")
+    checkpoint = scratch_path(spark, "checkpoint-cpu-stream")
+    src = X.family_table(X.metrics_from_events(X.read_events(spark, sf)), S.CPU_FAMILY)
+    I.write_landing(src, landing, fmt="csv")
+    for _ in range(2):
+        ingest_stream_files(spark, landing, table, checkpoint, S.CPU_FAMILY, fmt="csv")
+    return I.read_table(spark, table, S.CPU_FAMILY)
+
+
 def sql_view_scan(spark, sf):
     """S3: temp view + ``SELECT *``."""
     return RD.sql_view_scan(spark, _wide(spark, sf).select(*WIDE_COLS), "metrics_view")
@@ -316,6 +331,7 @@ def overall_report(spark, sf):
 QUERIES: dict[str, Query] = {
     "scan_metrics": scan_metrics,
     "ingest_append": ingest_append,
+    "ingest_stream": ingest_stream,
     "sql_view_scan": sql_view_scan,
     "cached_scan": cached_scan,
     "sink_skip_existing": sink_skip_existing,

@@ -221,6 +221,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "scan_metrics": _q("", f"SELECT {_WIDE} FROM f"),
         "ingest_append": _q("", f"SELECT {_CPU_COLS} FROM f"),
+        "ingest_stream": _q("", f"SELECT {_CPU_COLS} FROM f"),
         "sql_view_scan": _q("", f"SELECT {_WIDE} FROM f"),
         "cached_scan": _q("", f"SELECT {_WIDE} FROM f"),
         "sink_skip_existing": cpu_hourly,

@@ -7,7 +7,7 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 # queries whose build writes a table (the write is the operator)
-WRITES = {"ingest_append", "sink_skip_existing", "sink_overwrite",
+WRITES = {"ingest_append", "ingest_stream", "sink_skip_existing", "sink_overwrite",
           "split_client", "split_host", "split_disk", "split_disk_fleet",
           "client_report_cpu", "client_report_mem", "client_report_disk", "overall_report"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
