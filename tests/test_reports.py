@@ -105,3 +105,19 @@ def test_disk_titles(spark):
     got = {(r.chart, r.title) for r in t.where("client = 'acm'").collect()}
     assert ("share", "Percentage Disk Usage for acm in 1 month") in got
     assert ("writes", "Hourly Average Disk Write/Sec for acm with host a Disk: C:") in got
+
+
+def test_command_line_job(spark):
+    from fleetscope.__main__ import main
+    from fleetscope.sources import ingest as I
+
+    wide = X.metrics_from_events(X.read_events(spark, SF_SMALL))
+    base = tempfile.mkdtemp(prefix="fleetscope-cli-")
+    for fam in (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY):
+        I.write_landing(X.family_table(wide, fam), f"{base}/{fam.name}", fmt="parquet")
+    paths = main(["--cpu", f"{base}/cpu", "--mem", f"{base}/mem", "--disk", f"{base}/disk",
+                  "--out", f"{base}/out", "--exact-scale", "2"])
+    overall = spark.read.parquet(paths["overall"])
+    assert overall.select("section_no").distinct().count() == 4
+    rep = spark.read.parquet(paths["cpu"])
+    assert rep.where("section = 'total'").count() > 0
