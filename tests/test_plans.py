@@ -51,3 +51,29 @@ def test_membership_reads_names_once(spark):
     plan = physical(df).split("== Initial Plan ==")[0]
     # one scan for the facts, one for the distinct names (shared by all levels)
     assert plan.count("FileScan") == 2, plan
+
+
+@pytest.mark.parametrize("name", ["cpu_hourly", "mem_weekly", "disk_writes_hourly",
+                                  "cpu_host_sum", "cpu_client_sum", "distinct_hours"])
+def test_facts_are_combined_map_side_before_any_shuffle(spark, name):
+    """Skew safety: the first operator above a facts scan that feeds an Exchange
+    is a partial aggregate, so a hot server ships one row per task and bucket."""
+    plan = physical(E.queries()[name](spark, SF_SMALL))
+    lines = plan.splitlines()
+    fact_scans = [i for i, l in enumerate(lines)
+                  if "FileScan" in l and "ts:" in l.split("ReadSchema:")[-1]]
+    assert fact_scans
+    for i in fact_scans:
+        # walk up the tree (to lines with less indentation) until an Exchange
+        depth = len(lines[i]) - len(lines[i].lstrip(" :+-"))
+        seen_partial = False
+        for j in range(i - 1, -1, -1):
+            d = len(lines[j]) - len(lines[j].lstrip(" :+-"))
+            if d >= depth:
+                continue
+            depth = d
+            if "Exchange" in lines[j]:
+                assert seen_partial, f"{name}: facts shuffled before a partial aggregate"
+                break
+            if "HashAggregate" in lines[j] and ("partial_" in lines[j] or "functions=[]" in lines[j]):
+                seen_partial = True
