@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     ap.add_argument("--exact-scale", type=int, default=None)
     ap.add_argument("--no-force", action="store_true", help="keep existing report tables")
     ap.add_argument("--dedupe", action="store_true", help="drop exact duplicate rows on read")
+    ap.add_argument("--report-date", default=None, help="date shown on the reports")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
@@ -40,7 +41,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
               for fam in (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY)}
     paths = write_reports(tables["cpu"], tables["mem"], tables["disk"], args.out,
                           match=args.match, exact_scale=args.exact_scale,
-                          force=not args.no_force)
+                          force=not args.no_force, report_date=args.report_date)
     print(json.dumps(paths))
     return paths
 

@@ -69,7 +69,7 @@ def _rows(df: DataFrame, section, x=None, y="y", y2=None, disk=None) -> DataFram
 
 def client_report(facts: DataFrame | None, family: S.MetricFamily, match: str = "contains",
                   exact_scale: int | None = None, rolled: DataFrame | None = None,
-                  materialize_rollup: bool = True) -> DataFrame:
+                  materialize_rollup: bool = True, report_date: str | None = None) -> DataFrame:
     """All charts of every client's report for one metric family.
 
     * cpu: hourly, weekly, monthly series per host, and ``total`` (total
@@ -78,6 +78,8 @@ def client_report(facts: DataFrame | None, family: S.MetricFamily, match: str =
       the client);
     * disk: ``share`` per host (mean disk writes), then per disk the hourly
       ``writes`` and ``reads`` charts (y = mean of AVG, y2 = mean of MAX).
+
+    ``report_date`` (optional) adds the date shown on the report's title page.
     """
     if rolled is None:
         rolled = family_rollup(facts, family, exact_scale)
@@ -108,6 +110,8 @@ def client_report(facts: DataFrame | None, family: S.MetricFamily, match: str =
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    if report_date is not None:  # the reference prints a fixed date on every title page
+        out = out.withColumn("report_date", F.lit(report_date))
     return out
 
 
@@ -150,10 +154,11 @@ def overall_report(cpu: DataFrame | None, mem: DataFrame | None, disk: DataFrame
 
 def write_reports(cpu: DataFrame, mem: DataFrame, disk: DataFrame, out_dir: str,
                   match: str = "contains", exact_scale: int | None = None,
-                  force: bool = True) -> dict[str, str]:
+                  force: bool = True, report_date: str | None = None) -> dict[str, str]:
     """The whole job: one rollup per family, three client reports, one overall.
 
-    Client reports are written partitioned by client (S5).  Returns the paths.
+    Client reports are written partitioned by client (S5), each client's files
+    ordered by host, disk, section and x.  Returns the paths.
     """
     facts = {"cpu": cpu, "mem": mem, "disk": disk}
     todo = {fam.name: family_rollup(facts[fam.name], fam, exact_scale)
@@ -163,7 +168,9 @@ def write_reports(cpu: DataFrame, mem: DataFrame, disk: DataFrame, out_dir: str,
     paths = {}
     for fam in (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY):
         path = f"{out_dir.rstrip('/')}/client_report_{fam.name}"
-        write_table(client_report(None, fam, match, exact_scale, rolled=rolled[fam.name]),
+        rep = client_report(None, fam, match, exact_scale, rolled=rolled[fam.name],
+                            report_date=report_date)
+        write_table(rep.sortWithinPartitions("client", "host", "disk", "section", "x"),
                     path, force=force)
         paths[fam.name] = path
     path = f"{out_dir.rstrip('/')}/overall_report"

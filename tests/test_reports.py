@@ -116,8 +116,9 @@ def test_command_line_job(spark):
     for fam in (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY):
         I.write_landing(X.family_table(wide, fam), f"{base}/{fam.name}", fmt="parquet")
     paths = main(["--cpu", f"{base}/cpu", "--mem", f"{base}/mem", "--disk", f"{base}/disk",
-                  "--out", f"{base}/out", "--exact-scale", "2"])
+                  "--out", f"{base}/out", "--exact-scale", "2", "--report-date", "2024-02-01"])
     overall = spark.read.parquet(paths["overall"])
     assert overall.select("section_no").distinct().count() == 4
     rep = spark.read.parquet(paths["cpu"])
     assert rep.where("section = 'total'").count() > 0
+    assert [r.report_date for r in rep.select("report_date").distinct().collect()] == ["2024-02-01"]
