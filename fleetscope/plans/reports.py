@@ -19,6 +19,8 @@ cut, and join planning sees its real size.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -165,20 +167,25 @@ def write_reports(cpu: DataFrame, mem: DataFrame, disk: DataFrame, out_dir: str,
             for fam in (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY)}
     scratch: dict[str, str] = {}
     rolled = materialize_all(todo, scratch)
-    paths = {}
+    root = out_dir.rstrip("/")
+    outputs = {}  # name -> (DataFrame, path, partition columns)
     for fam in (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY):
-        path = f"{out_dir.rstrip('/')}/client_report_{fam.name}"
         rep = client_report(None, fam, match, exact_scale, rolled=rolled[fam.name],
                             report_date=report_date)
-        write_table(rep.sortWithinPartitions("client", "host", "disk", "section", "x"),
-                    path, force=force)
-        paths[fam.name] = path
-    path = f"{out_dir.rstrip('/')}/overall_report"
-    write_table(overall_report(None, None, None, match, exact_scale, rolled=rolled),
-                path, force=force, partition_by=())
-    paths["overall"] = path
+        outputs[fam.name] = (rep.sortWithinPartitions("client", "host", "disk", "section", "x"),
+                             f"{root}/client_report_{fam.name}", ("client",))
+    outputs["overall"] = (overall_report(None, None, None, match, exact_scale, rolled=rolled),
+                          f"{root}/overall_report", ())
+
+    def write(name: str) -> None:  # the four jobs are independent: run them side by side
+        df, path, parts = outputs[name]
+        write_table(df, path, force=force, partition_by=parts)
+
+    with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
+        for f in [pool.submit(write, name) for name in outputs]:
+            f.result()
     drop(cpu.sparkSession, scratch.values())  # every job reading the rollups has run
-    return paths
+    return {name: path for name, (_, path, _) in outputs.items()}
 
 
 def to_pandas_checked(df: DataFrame, max_rows: int = 1_000_000):
