@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope import schema as S
-from fleetscope.functions import keys as K
 from fleetscope.operators import membership as M
 from fleetscope.operators import profiles as P
 from fleetscope.operators import shares as W

@@ -10,7 +10,6 @@ job under ANSI mode.  Columns other than the known ones pass through.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetscope import schema as S
