@@ -30,6 +30,7 @@ from fleetscope import schema as S
 from fleetscope.functions import arith as A
 from fleetscope.functions import keys as K
 from fleetscope.operators import membership as M
+from fleetscope.sources.scratch import materialize
 
 LEVEL_KEYS = {"client": ["client"], "host": ["client", "host"],
               "disk": ["client", "host", "disk"]}
@@ -106,7 +107,7 @@ def means(merged: DataFrame, n_metrics: int, exact_scale: int | None) -> list[Co
 def profiles(facts: DataFrame, metrics: Sequence[str], sections: Sequence[str] = ("hourly",),
              level: str = "host", match: str = "contains", exact_scale: int | None = None,
              row_filter: Column | None = None, members: DataFrame | None = None,
-             rolled: DataFrame | None = None) -> DataFrame:
+             rolled: DataFrame | None = None, materialize_rollup: bool = False) -> DataFrame:
     """``(client, host[, disk], section, x, y[, y2...])`` for every member.
 
     ``metrics`` gives the columns averaged into ``y``, ``y2``, ... (the disk
@@ -114,16 +115,29 @@ def profiles(facts: DataFrame, metrics: Sequence[str], sections: Sequence[str] =
     ``row_filter`` restricts the rows averaged (e.g. one processor) without
     changing who belongs to which key.  ``members`` / ``rolled`` may pass a
     precomputed membership table and rollup (as the reports do).
+
+    By default the plan scans the facts for the rollup and the name column once
+    more for membership.  ``materialize_rollup=True`` scans the facts once: the
+    rollup (plus one whole-period row per name, so names whose rows all lack a
+    time still define keys) is written to the scratch folder and membership is
+    derived from it - the better trade at fleet scale, where the extra name
+    scan costs more than writing ``names x buckets`` rows.
     """
+    names_src = facts
     if rolled is None:
         buckets = [date_bucket(s) for s in sections]
         if row_filter is not None:
             buckets = [Bucket(b.section, b.x, row_filter) for b in buckets]
+        if materialize_rollup:
+            buckets.append(whole_bucket("names"))
         rolled = rollup(facts, metrics, buckets, name_keys(level), exact_scale)
+        if materialize_rollup:
+            names_src = materialize(rolled, "rollup-profile")
+            rolled = names_src.where(F.col("section").isin(list(sections)))
     else:
         rolled = rolled.where(F.col("section").isin(list(sections)))
     if members is None:
-        members = members_for(facts, level, match)
+        members = members_for(names_src, level, match)
     merged = merge(rolled, members, level, len(metrics))
     group = LEVEL_KEYS[level] + ["section", "x"]
     return merged.select(*group, *means(merged, len(metrics), exact_scale))
@@ -131,14 +145,15 @@ def profiles(facts: DataFrame, metrics: Sequence[str], sections: Sequence[str] =
 
 def profile(facts: DataFrame, metric: str | Sequence[str], section: str = "hourly",
             level: str = "host", match: str = "contains", exact_scale: int | None = None,
-            row_filter: Column | None = None) -> DataFrame:
+            row_filter: Column | None = None, materialize_rollup: bool = False) -> DataFrame:
     """One chart's series for every member: ``(client, host[, disk], x, y[, y2])``.
 
     The weekly profile also carries ``day_name`` (``dayofweek`` 1 = Sunday is
     labelled ``Sun``).
     """
     metrics = [metric] if isinstance(metric, str) else list(metric)
-    out = profiles(facts, metrics, [section], level, match, exact_scale, row_filter).drop("section")
+    out = profiles(facts, metrics, [section], level, match, exact_scale, row_filter,
+                   materialize_rollup=materialize_rollup).drop("section")
     if section == "weekly":
         cols = out.columns
         i = cols.index("x") + 1
@@ -147,7 +162,8 @@ def profile(facts: DataFrame, metric: str | Sequence[str], section: str = "hourl
 
 
 def total_usage(facts: DataFrame, metric: str = S.CPU, match: str = "contains",
-                exact_scale: int | None = None, daily: DataFrame | None = None) -> DataFrame:
+                exact_scale: int | None = None, daily: DataFrame | None = None,
+                materialize_rollup: bool = False) -> DataFrame:
     """Total processor time per host: the sum of the host's daily means.
 
     ``(client, host, total_usage)``.  The daily means (at most 31 per host) are
@@ -155,7 +171,8 @@ def total_usage(facts: DataFrame, metric: str = S.CPU, match: str = "contains",
     ``daily`` may pass profile rows; only those of the monthly section count.
     """
     if daily is None:
-        daily = profiles(facts, [metric], ["monthly"], "host", match, exact_scale)
+        daily = profiles(facts, [metric], ["monthly"], "host", match, exact_scale,
+                         materialize_rollup=materialize_rollup)
     y = F.when(F.col("section") == "monthly", F.col("y"))
     return (daily.groupBy("client", "host")
             .agg(A.ordered_sum(F.collect_list(y)).alias("total_usage")))

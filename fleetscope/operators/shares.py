@@ -18,6 +18,7 @@ from fleetscope import schema as S
 from fleetscope.functions import arith as A
 from fleetscope.operators import membership as M
 from fleetscope.operators import profiles as P
+from fleetscope.sources.scratch import materialize
 
 AGGS = ("sum", "avg")
 TOTAL_SECTION = "total_processor"
@@ -44,17 +45,22 @@ def _sizes(rolled: DataFrame, members: DataFrame, level: str, section: str,
 
 def host_sizes(facts: DataFrame, metric: str, agg: str = "sum", match: str = "contains",
                exact_scale: int | None = None, members: DataFrame | None = None,
-               rolled: DataFrame | None = None) -> DataFrame:
+               rolled: DataFrame | None = None, materialize_rollup: bool = False) -> DataFrame:
     """``(client, host, size)``: a metric's sum or mean over each host's rows.
 
     A row that belongs to two hosts of a client counts in both (reference
     behaviour), so host sizes of a client can add up to more than its rows.
     ``rolled`` may pass a rollup with an ``all`` section of this metric as ``s0``.
+    ``materialize_rollup`` writes the per-name rollup first and derives
+    membership from it (one fact scan instead of two; see ``profiles``).
     """
+    names_src = facts
     if rolled is None:
         rolled = P.rollup(facts, [metric], [P.whole_bucket()], [S.SERVER], exact_scale)
+        if materialize_rollup:
+            rolled = names_src = materialize(rolled, "rollup-sizes")
     if members is None:
-        members = M.host_members(facts, match)
+        members = M.host_members(names_src, match)
     return _sizes(rolled, members, "host", "all", agg, exact_scale)
 
 
@@ -93,10 +99,10 @@ def with_share(sizes: DataFrame, within: Sequence[str] = ("client",)) -> DataFra
 
 def host_share(facts: DataFrame, metric: str, agg: str, match: str = "contains",
                exact_scale: int | None = None, members: DataFrame | None = None,
-               rolled: DataFrame | None = None) -> DataFrame:
+               rolled: DataFrame | None = None, materialize_rollup: bool = False) -> DataFrame:
     """``(client, host, size, share, pct_label)``."""
-    return with_share(host_sizes(facts, metric, agg, match, exact_scale, members, rolled),
-                      ["client"])
+    return with_share(host_sizes(facts, metric, agg, match, exact_scale, members, rolled,
+                                 materialize_rollup), ["client"])
 
 
 def client_share(facts: DataFrame, metric: str = S.CPU, agg: str = "sum",

@@ -61,6 +61,14 @@ def test_null_time_dropped_from_profile_but_keeps_keys(spark):
     assert all(r.x is not None for r in prof)
 
 
+def test_null_time_keys_survive_materialized_rollup(spark):
+    df = table(spark, [("abc-x1", None, "_Total", "c:", 5.0),
+                       ("zzz-abc", "2024-01-01 03:00:00", "_Total", "c:", 7.0)])
+    got = {(r.client, r.host, r.x, r.y)
+           for r in P.profile(df, S.CPU, "hourly", materialize_rollup=True).collect()}
+    assert ("abc", "a", 3, 7.0) in got
+
+
 def test_nan_is_skipped_like_null(spark):
     df = table(spark, [("acm-a1", "2024-01-01 03:00:00", "_Total", "c:", float("nan")),
                        ("acm-a1", "2024-01-01 03:30:00", "_Total", "c:", None),

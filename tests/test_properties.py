@@ -69,3 +69,18 @@ def test_exact_mode_is_partition_independent(spark):
     a = {tuple(r) for r in P.profile(df, S.CPU, "hourly", exact_scale=2).collect()}
     b = {tuple(r) for r in P.profile(df.repartition(7), S.CPU, "hourly", exact_scale=2).collect()}
     assert a == b
+
+
+def test_materialized_rollup_gives_same_profiles(spark):
+    from fleetscope.operators import profiles as P
+
+    df = X.load_metrics(spark, SF_SMALL, S.CPU_FAMILY)
+    for section in ("hourly", "weekly"):
+        a = {tuple(r) for r in P.profile(df, S.CPU, section, exact_scale=2).collect()}
+        b = {tuple(r) for r in P.profile(df, S.CPU, section, exact_scale=2,
+                                         materialize_rollup=True).collect()}
+        assert a == b
+    a = {tuple(r) for r in W.host_share(df, S.CPU, "sum", exact_scale=2).collect()}
+    b = {tuple(r) for r in W.host_share(df, S.CPU, "sum", exact_scale=2,
+                                        materialize_rollup=True).collect()}
+    assert a == b
