@@ -84,3 +84,49 @@ def test_materialized_rollup_gives_same_profiles(spark):
     b = {tuple(r) for r in W.host_share(df, S.CPU, "sum", exact_scale=2,
                                         materialize_rollup=True).collect()}
     assert a == b
+
+
+pairs_st = st.lists(st.tuples(st.text(alphabet="ab-c", min_size=0, max_size=6),
+                              st.one_of(st.none(), st.text(alphabet="cd:_", min_size=0, max_size=3))),
+                    min_size=1, max_size=8)
+
+
+def brute_disk_members(pairs):
+    hm = brute_host_members({n for n, _ in pairs})
+    rows = [(n, d, c, h) for n, d in pairs if d is not None for (n2, c, h) in hm if n2 == n]
+    keys = {(c, h, d[:1]) for n, d, c, h in rows}
+    return {(n, d, c, h, k) for n, d, c, h in rows for (c2, h2, k) in keys
+            if (c2, h2) == (c, h) and k in d}
+
+
+@settings(max_examples=15, deadline=None)
+@given(pairs_st)
+def test_disk_substring_join_equals_contains(spark, pairs):
+    df = spark.createDataFrame(pairs, f"{S.SERVER} string, {S.DISK} string")
+    got = {tuple(r) for r in M.disk_members(df).select(
+        S.SERVER, S.DISK, "client", "host", "disk").collect()}
+    assert got == brute_disk_members(set(pairs))
+
+
+def test_hot_server_profile_is_exact(spark):
+    """One server with most of the rows: results equal a brute-force mean."""
+    from fleetscope.operators import profiles as P
+    from tests.helpers import table
+
+    rows = [("acm-a001", f"2024-01-01 {h:02d}:00:00", "_Total", "c:", float(i % 97) / 4)
+            for i in range(3000) for h in (i % 24,)]
+    rows += [("bet-b002", "2024-01-01 05:00:00", "_Total", "c:", 1.25),
+             ("cor-c003", "2024-01-01 05:00:00", "_Total", "c:", 2.5)]
+    df = table(spark, rows).repartition(6)
+    got = {(r.client, r.host, r.x): r.y for r in P.profile(df, S.CPU, "hourly", exact_scale=2).collect()}
+    from collections import defaultdict
+    acc = defaultdict(list)
+    for name, ts, _, _, v in rows:
+        hour = int(ts[11:13])
+        for c in ("acm", "bet", "cor"):
+            if c in name:
+                for h in {n[4:5] for n, *_ in rows if c in n}:
+                    if h in name:
+                        acc[(c, h, hour)].append(v)
+    want = {k: sum(round(v * 100) for v in vs) / 100 / len(vs) for k, vs in acc.items()}
+    assert got == want
