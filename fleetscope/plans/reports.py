@@ -46,9 +46,16 @@ def family_metrics(family: S.MetricFamily) -> list[str]:
     return list(family.profile_metrics)
 
 
+def report_sections(family: S.MetricFamily) -> tuple[str, ...]:
+    """Date sections a family's report draws: the disk report only hourly charts."""
+    return ("hourly",) if family.has_disk else DATE_SECTIONS
+
+
 def family_rollup(facts: DataFrame, family: S.MetricFamily, exact_scale: int | None = None,
-                  sections=DATE_SECTIONS) -> DataFrame:
+                  sections: tuple[str, ...] | None = None) -> DataFrame:
     """One scan: partial sums of the family's metrics for every report bucket."""
+    if sections is None:
+        sections = report_sections(family)
     buckets = [P.date_bucket(s) for s in sections] + [P.whole_bucket()]
     if family.name == "cpu":
         buckets.append(W.total_bucket())
