@@ -52,12 +52,18 @@ def report_sections(family: S.MetricFamily) -> tuple[str, ...]:
 
 
 def family_rollup(facts: DataFrame, family: S.MetricFamily, exact_scale: int | None = None,
-                  sections: tuple[str, ...] | None = None) -> DataFrame:
-    """One scan: partial sums of the family's metrics for every report bucket."""
+                  sections: tuple[str, ...] | None = None,
+                  processor_total: bool = True) -> DataFrame:
+    """One scan: partial sums of the family's metrics for every report bucket.
+
+    Buckets: the report's date sections, the whole period (every row, so every
+    name is present for membership) and, for CPU with ``processor_total``, the
+    ``_Total`` processor rows behind the client shares of the overall report.
+    """
     if sections is None:
         sections = report_sections(family)
     buckets = [P.date_bucket(s) for s in sections] + [P.whole_bucket()]
-    if family.name == "cpu":
+    if family.name == "cpu" and processor_total:
         buckets.append(W.total_bucket())
     names = P.name_keys("disk" if family.has_disk else "host")
     return P.rollup(facts, family_metrics(family), buckets, names, exact_scale)
@@ -90,7 +96,7 @@ def client_report(facts: DataFrame | None, family: S.MetricFamily, match: str =
     ``report_date`` (optional) adds the date shown on the report's title page.
     """
     if rolled is None:
-        rolled = family_rollup(facts, family, exact_scale)
+        rolled = family_rollup(facts, family, exact_scale, processor_total=False)
         if materialize_rollup:
             rolled = materialize(rolled, f"rollup-{family.name}")
     hm = M.host_members(rolled, match)
