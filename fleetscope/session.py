@@ -44,8 +44,22 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def _local_fallback(master: str | None) -> str:
+    """A fresh local folder, allowed only when the whole job runs on this machine."""
+    if master and not master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: written intermediate tables need a folder on "
+            "shared storage that every executor and the driver can reach")
+    return tempfile.mkdtemp(prefix="fleetscope-scratch-")
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for written tables; falls back to a new local one."""
+    """The shared folder for written tables (``spark.checkpoint.dir``).
+
+    When it is unset and the master is local (tests, single-machine runs) a
+    fresh local folder is used and registered; on a cluster an unset folder is
+    an error rather than a silent machine-local path.
+    """
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no SparkContext on the client
@@ -54,17 +68,14 @@ def scratch_root(spark: SparkSession) -> str:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured:
             return configured
-        local = tempfile.mkdtemp(prefix="fleetscope-scratch-")
+        local = _local_fallback(spark.conf.get("spark.master", None))
         spark.conf.set("spark.checkpoint.dir", local)
         return local
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    else:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="fleetscope-scratch-"))
+    sc.setCheckpointDir(configured or _local_fallback(sc.master))
     return sc._jsc.sc().getCheckpointDir().get()
 
 

@@ -98,3 +98,13 @@ def test_sink_modes(spark):
     SK.write_table(b, path, force=True)
     back = SK.read_written(spark, path, a.schema)
     assert [tuple(r) for r in back.collect()] == [("bet", "b", 2, 2.0)]
+
+
+def test_scratch_fallback_only_for_local_masters():
+    import pytest
+
+    from fleetscope.session import _local_fallback
+
+    assert os.path.isdir(_local_fallback("local[4]"))
+    with pytest.raises(RuntimeError):
+        _local_fallback("yarn")
