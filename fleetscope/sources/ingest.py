@@ -35,10 +35,21 @@ def write_landing(df: DataFrame, landing_dir: str, fmt: str = "csv",
 
 def ingest_append(spark: SparkSession, landing_dir: str, table_dir: str,
                   family: S.MetricFamily, fmt: str = "csv",
-                  options: dict | None = None) -> None:
-    """Read one landed batch and append it to the partitioned metric table."""
+                  options: dict | None = None,
+                  max_records_per_file: int = 10_000_000) -> None:
+    """Read one landed batch and append it to the partitioned metric table.
+
+    Each task sorts its rows by day, server and time before writing (no
+    shuffle): the server-name column then compresses to runs, which makes the
+    name-only scans of membership nearly free, and row-group statistics on
+    server and time become selective.  Files are capped at
+    ``max_records_per_file`` rows.
+    """
     df = read_metrics(spark, landing_dir, family, fmt=fmt, options=options)
-    (with_partition_column(df).write.mode("append")
+    (with_partition_column(df)
+     .sortWithinPartitions(PARTITION_COLUMN, S.SERVER, S.TIME)
+     .write.mode("append")
+     .option("maxRecordsPerFile", str(max_records_per_file))
      .partitionBy(PARTITION_COLUMN).parquet(table_dir))
 
 
