@@ -220,27 +220,28 @@ def titles(host_keys: DataFrame, family: S.MetricFamily,
     ``disk_keys`` with distinct ``(client, host, disk)``.  Rows: one ``heading``
     per host, one title per chart of the host (per disk for the disk charts,
     with the disk letter upper-cased), and one ``share`` (pie) title per client.
+    Each key row emits all its titles at once (``inline`` of an array).
     """
     c, h = F.col("client"), F.col("host")
     null = F.lit(None).cast("string")
 
-    def rows(df, chart, title, disk=null, host=h):
-        return df.select(c.alias("client"), host.alias("host"), disk.alias("disk"),
-                         F.lit(chart).alias("chart"), title.alias("title"))
+    def charts(pairs):
+        return F.inline(F.array(*[F.struct(F.lit(chart).alias("chart"), title.alias("title"))
+                                  for chart, title in pairs]))
 
-    parts = [rows(host_keys, "heading", F.format_string(HEADING_FORMAT, c, h))]
+    host_titles = [("heading", F.format_string(HEADING_FORMAT, c, h))]
+    if not family.has_disk:
+        host_titles += [(chart, F.format_string(fmt, c, h)) for chart, fmt in TITLE_FORMATS[family.name]]
+    parts = [host_keys.select(c, h, null.alias("disk"), charts(host_titles))]
     if family.has_disk:
         if disk_keys is None:
             raise ValueError("the disk family needs disk_keys")
-        for chart, fmt in TITLE_FORMATS["disk"]:
-            parts.append(rows(disk_keys, chart,
-                              F.format_string(fmt, c, h, F.upper(F.col("disk"))), F.col("disk")))
-    else:
-        for chart, fmt in TITLE_FORMATS[family.name]:
-            parts.append(rows(host_keys, chart, F.format_string(fmt, c, h)))
-    clients = host_keys.select("client").distinct()
-    parts.append(rows(clients, "share", F.format_string(SHARE_TITLE_FORMATS[family.name], c),
-                      host=null))
+        d = F.upper(F.col("disk"))
+        parts.append(disk_keys.select(c, h, F.col("disk"), charts(
+            [(chart, F.format_string(fmt, c, h, d)) for chart, fmt in TITLE_FORMATS["disk"]])))
+    parts.append(host_keys.select("client").distinct().select(
+        c, null.alias("host"), null.alias("disk"), F.lit("share").alias("chart"),
+        F.format_string(SHARE_TITLE_FORMATS[family.name], c).alias("title")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
