@@ -135,3 +135,16 @@ def test_mean_of_max_column(spark):
     rows = P.profile(df, [S.WRITES_AVG, S.WRITES_MAX], "hourly", "disk").collect()
     (r,) = [r for r in rows if r.host == "a" and r.disk == "c"]
     assert r.y == 2.0 and r.y2 == 2.0 and not math.isnan(r.y)
+
+
+def test_fleet_disk_split_takes_rows_of_every_client(spark):
+    """Q18: a client's disk keys come from its own rows, its disk rows from the fleet."""
+    df = table(spark, [("acm-a1", "2024-01-01 00:00:00", "_Total", "c:", 1.0),
+                       ("bet-b1", "2024-01-01 00:00:00", "_Total", "c:", 2.0),
+                       ("bet-b1", "2024-01-01 00:00:00", "_Total", "d:", 3.0)])
+    rows = {(r.client, r.disk, r.server_name, r.disk_name)
+            for r in M.split_fleet_disks(df).collect()}
+    # acm has only disk c, but gets bet's c: row too; it never gets d:
+    assert ("acm", "c", "bet-b1", "c:") in rows
+    assert not any(c == "acm" and d == "d" for c, d, _, _ in rows)
+    assert ("bet", "d", "bet-b1", "d:") in rows
