@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetscope.llm.common import bounded_batches
 
@@ -261,29 +262,32 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.set_column(b.schema.get_field_index("text"), "text", pa.array(out, pa.string()))
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``columns`` of ``docs`` (doc_id if none) with n_words, spans, items, n_items.
-
-    spans: merged runs of hit words, first and last word's number, from 0; items: ids
-    with occurring windows as strings, sorted; n_items also counts items without an id.
-    """
+def _found(docs: DataFrame, benchmark: DataFrame, cols: list[str]) -> DataFrame:
+    """The columns as c0, c1, ... (no name can clash), with text, n_words, spans, items, n_items."""
     bounded_batches(docs.sparkSession)
-    cols = ["doc_id"] if columns is None else columns
-    keep = docs.select(*cols).schema.fields
     out = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)], "text")
     for k, block in enumerate(_item_blocks(benchmark)):
         out = _pass(out, len(cols), block, k)
-    return out.select(*[F.col(f"c{i}").alias(f.name) for i, f in enumerate(keep)], "n_words", "spans", "items", "n_items")
+    return out
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, n_words, spans, items, n_items: one row per row of ``docs``.
+
+    spans: merged runs of hit words, first and last word's number, from 0; items: ids
+    with occurring windows as strings, sorted; n_items also counts items without an id.
+    """
+    return _found(docs, benchmark, ["doc_id"]).select(F.col("c0").alias("doc_id"), "n_words", "spans", "items", "n_items")
 
 
 def _pass(df: DataFrame, others: int, block: list[tuple], k: int) -> DataFrame:
     """Search one block of items; what former blocks found is carried along and merged."""
-    held = df.select(*[F.col(f"c{i}") for i in range(others)], *([F.struct("n_words", "spans", "items", "n_items").alias("old")] if k else []), "text")
-    from pyspark.sql import types as T
+    old = [F.struct("n_words", "spans", "items", "n_items").alias("old")] if k else []
+    held = df.select(*[f"c{i}" for i in range(others)], *old, "text")
     span = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
     schema = T.StructType([*held.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("spans", span),
                            T.StructField("items", T.ArrayType(T.StringType())), T.StructField("n_items", T.LongType())])
-    found = held.mapInArrow(_search(Phrases(block), others + bool(k)), schema)
+    found = held.mapInArrow(_search(Phrases(block), others + len(old)), schema)
     if not k:
         return found
     runs = F.aggregate(
@@ -313,12 +317,13 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     n_chars, if there, follows the new text.
     """
     rest = [c for c in docs.columns if c != "text"]
-    found = find_leaks(docs, benchmark, [*rest, "text"])
-    kept = found.select(*rest, "text", "spans", "n_words")
+    at = {c: F.col(f"c{i}") for i, c in enumerate(rest)}
+    found = _found(docs, benchmark, rest)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"] + 1)
-    kept = kept.where((F.size("spans") == 0) | (F.col("n_words") > hit)).drop("n_words")
-    cut = kept.mapInArrow(_cut, kept.schema).withColumn("_hit", F.size("spans") > 0)
-    if "n_chars" in docs.columns:
+    kept = (found.where((F.size("spans") == 0) | (F.col("n_words") > hit))
+            .select(*[f"c{i}" for i in range(len(rest))], "text", "spans"))
+    cut = kept.mapInArrow(_cut, kept.schema)
+    if "n_chars" in at:
         kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.when(F.col("_hit"), F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+        at["n_chars"] = F.when(F.size("spans") > 0, F.char_length("text").cast(kind)).otherwise(at["n_chars"])
+    return cut.select(*[at[c].alias(c) if c in at else F.col("text") for c in docs.columns])
