@@ -149,18 +149,20 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame) -> DataFrame:
     """``docs`` with each row as often as the mix takes it (not at all, once or twice)."""
-    p = materialize(plan(docs).select("u_id", "th", F.col("source").alias("u_source"), "m", "copies"), "mix-plan")
+    names = {"u_id": "_mix_id", "th": "_mix_uh", "source": "_mix_source", "m": "_mix_m", "copies": "_mix_copies"}
+    p = materialize(plan(docs).select(*names).withColumnsRenamed(names), "mix-plan")
     full = docs.withColumn("_mix_th", F.xxhash64("text"))
-    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("u_id")) & (F.col("_mix_th") == F.col("th"))
-            & F.col("source").cast("string").eqNullSafe(F.col("u_source")))
+    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("_mix_id")) & (F.col("_mix_th") == F.col("_mix_uh"))
+            & F.col("source").cast("string").eqNullSafe(F.col("_mix_source")))
+    copies, m = F.col("_mix_copies"), F.col("_mix_m")
 
     def taken(rows: DataFrame, n: Column) -> DataFrame:
         return (rows.withColumn("_mix_n", n.cast("int")).where("_mix_n > 0")
                 .withColumn("_mix_k", F.explode(F.sequence(F.lit(1), F.col("_mix_n")))).select(*docs.columns))
 
-    out = taken(full.join(p.where("m = 1 AND copies > 0"), same), F.col("copies"))
-    if p.where("m > 1").limit(1).count():
+    out = taken(full.join(p.where((m == 1) & (copies > 0)), same), copies)
+    if p.where(m > 1).limit(1).count():
         w = W.partitionBy("doc_id", "_mix_th", "source").orderBy(*[c for c in docs.columns if c != "text"])
-        many = full.join(p.where("m > 1"), same).withColumn("_mix_i", F.row_number().over(w))
-        out = out.union(taken(many, _per_row(F.col("copies"), F.col("m"), F.col("_mix_i"))))
+        many = full.join(p.where(m > 1), same).withColumn("_mix_i", F.row_number().over(w))
+        out = out.union(taken(many, _per_row(copies, m, F.col("_mix_i"))))
     return out
