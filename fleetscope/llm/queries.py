@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetscope.llm import (ann, decontaminate, langid, line_dedup, mixing, near_dup, reshard, token_counts,
                             toxicity, url_filter)
 from fleetscope.llm.common import held_out, read_table
-from pyspark.sql import functions as F
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +16,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    scored = toxicity.score(docs, toxicity.learn(docs, labels), ["doc_id"])
+    scored = toxicity.score(docs, toxicity.learn(docs, labels))
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                          (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "n_hits")
 

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetscope.llm.common import bounded_batches, held_out, tables
 
@@ -98,7 +99,7 @@ class Lexicon:
 
     def features(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         a = self.automaton()
-        got = np.array([self.measure(fold(t), a) if t else (0.0, 0, 0) for t in texts]).reshape(-1, 3)
+        got = np.array([self.measure(fold(t), a) if t else (0.0, 0, 0) for t in texts], float).reshape(-1, 3)
         return np.column_stack((np.ones(len(got)), np.log1p(got[:, 0]), np.log1p(1000 * got[:, 0] / np.maximum(got[:, 2], 1)))), got
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -226,10 +227,9 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
     return lexicon
 
 
-def score(docs: DataFrame, lexicon: Lexicon, columns: list[str]) -> DataFrame:
-    """``columns`` of ``docs`` with score, n_hits and hit_weight."""
+def _scored(docs: DataFrame, lexicon: Lexicon, columns: list[str]) -> DataFrame:
+    """The columns as c0, c1, ... (no name can clash) with score, n_hits and hit_weight."""
     bounded_batches(docs.sparkSession)
-    from pyspark.sql import types as T
     base = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], "text")
     schema = T.StructType([*base.schema.fields[:-1], T.StructField("score", T.DoubleType()),
                            T.StructField("n_hits", T.LongType()), T.StructField("hit_weight", T.DoubleType())])
@@ -241,13 +241,15 @@ def score(docs: DataFrame, lexicon: Lexicon, columns: list[str]) -> DataFrame:
                 [*b.columns[:-1], pa.array(lexicon.score(x)), pa.array(got[:, 1].astype(np.int64)), pa.array(got[:, 0])],
                 [f.name for f in schema.fields])
 
-    out = base.mapInArrow(run, schema)
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], "score", "n_hits", "hit_weight")
+    return base.mapInArrow(run, schema)
+
+
+def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """doc_id, score, n_hits, hit_weight: one row per row of ``docs``."""
+    return _scored(docs, lexicon, ["doc_id"]).withColumnRenamed("c0", "doc_id")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows whose score is ``threshold`` or more."""
-    lexicon = learn(docs, labels)
-    cols = docs.columns
-    out = score(docs, lexicon, cols)
-    return out.where(out[len(cols)] < threshold).select(*[out[i] for i in range(len(cols))])
+    out = _scored(docs, learn(docs, labels), docs.columns).where(F.col("score") < threshold)
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
