@@ -1,10 +1,11 @@
 """Session defaults and the shared scratch folder.
 
 On a cluster the job is submitted with its own configuration; ``get_session``
-only fills in what is unset.  ``scratch_root`` is where written tables go: the
-folder the cluster names in ``spark.checkpoint.dir`` (shared storage that
-survives executor loss).  Only when that is unset, as in tests and local runs,
-a fresh local folder is created and registered as the checkpoint directory.
+only fills in what neither the submission nor a running session has set.
+``scratch_root`` is where written tables go: the folder the cluster names in
+``spark.checkpoint.dir`` (shared storage that survives executor loss).  Only when that
+is unset and the master is known to be local, as in tests, a fresh local folder is
+created and registered as the checkpoint directory.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -37,16 +39,27 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    given = _given()
     for k, v in conf.items():
-        builder = builder.config(k, v)
+        if k not in given or k in (extra or {}):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def _given() -> set[str]:
+    """Settings of the running session, or else of the submission."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return set(active.conf.getAll)
+    SparkContext._ensure_initialized()  # what was submitted is known to the JVM only
+    return {k for k, _ in SparkConf().getAll()}
+
+
 def _local_fallback(master: str | None) -> str:
-    """A fresh local folder, allowed only when the whole job runs on this machine."""
-    if master and not master.startswith("local"):
+    """A fresh local folder, allowed only when the whole job is known to run on this machine."""
+    if not master or not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: written intermediate tables need a folder on "
             "shared storage that every executor and the driver can reach")
@@ -65,12 +78,7 @@ def scratch_root(spark: SparkSession) -> str:
     except Exception:  # Spark Connect: no SparkContext on the client
         sc = None
     if sc is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured:
-            return configured
-        local = _local_fallback(spark.conf.get("spark.master", None))
-        spark.conf.set("spark.checkpoint.dir", local)
-        return local
+        return spark.conf.get("spark.checkpoint.dir", None) or _local_fallback(None)
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()

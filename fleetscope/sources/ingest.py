@@ -1,16 +1,22 @@
-"""Batch ingest of landed files into the metric table.
+"""Ingest of landed files into the metric table.
 
 The reference reads one spreadsheet in the driver and inserts its rows into a
 document store.  Here a batch is a landing *directory* of files (any number,
-read in parallel by the executors), read with the family's schema, cleaned, and
-appended to a Parquet table partitioned by ``metric_date`` so later reads prune
-by date.  Append keeps the reference's semantics: ingesting the same batch twice
-doubles its rows (``read_table(..., dedupe=True)`` drops exact duplicates on
-read).  ``fleetscope.streaming`` offers the exactly-once variant.
+read in parallel by the executors), cleaned and added to a Parquet table laid out as
+
+    table/load=<id>/metric_date=<day>/part-*.parquet
+
+Every load has a folder of its own: a batch load a fresh one, a stream's micro-batch (see
+``fleetscope.streaming``) the one of its number, which a retry replaces.  So batches and
+streams feed one table, nothing hides anything, and reads prune by day.  Ingesting the same
+batch twice doubles its rows, as in the reference (``read_table(..., dedupe=True)`` drops exact
+duplicates on read).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +24,7 @@ from fleetscope import schema as S
 from fleetscope.sources.readers import clean, read_metrics
 
 PARTITION_COLUMN = "metric_date"
+LOAD_COLUMN = "load"
 
 
 def with_partition_column(df: DataFrame) -> DataFrame:
@@ -33,30 +40,44 @@ def write_landing(df: DataFrame, landing_dir: str, fmt: str = "csv",
     writer.save(landing_dir)
 
 
+def write_load(rows: DataFrame, table_dir: str, load: str,
+               max_records_per_file: int = 10_000_000) -> None:
+    """Write clean rows as one load of the table, in place of an earlier try of the same load.
+
+    Rows are rebalanced by day and server first: a day's rows meet in tasks of the
+    adaptive advisory size (large days are split, small ones share a task), so the number of
+    files follows the data and not tasks times days.  Each task sorts its rows by day, server and
+    time: the server-name column compresses to runs, and row-group statistics on
+    server and time become selective.
+    """
+    (with_partition_column(rows)
+     .hint("rebalance", PARTITION_COLUMN, S.SERVER)
+     .sortWithinPartitions(PARTITION_COLUMN, S.SERVER, S.TIME)
+     .write.mode("overwrite")
+     .option("maxRecordsPerFile", str(max_records_per_file))
+     .partitionBy(PARTITION_COLUMN).parquet(f"{table_dir.rstrip('/')}/{LOAD_COLUMN}={load}"))
+
+
 def ingest_append(spark: SparkSession, landing_dir: str, table_dir: str,
                   family: S.MetricFamily, fmt: str = "csv",
                   options: dict | None = None,
                   max_records_per_file: int = 10_000_000) -> None:
-    """Read one landed batch and append it to the partitioned metric table.
-
-    Each task sorts its rows by day, server and time before writing (no
-    shuffle): the server-name column then compresses to runs, which makes the
-    name-only scans of membership nearly free, and row-group statistics on
-    server and time become selective.  Files are capped at
-    ``max_records_per_file`` rows.
-    """
+    """Read one landed batch and add it to the metric table as a new load."""
     df = read_metrics(spark, landing_dir, family, fmt=fmt, options=options)
-    (with_partition_column(df)
-     .sortWithinPartitions(PARTITION_COLUMN, S.SERVER, S.TIME)
-     .write.mode("append")
-     .option("maxRecordsPerFile", str(max_records_per_file))
-     .partitionBy(PARTITION_COLUMN).parquet(table_dir))
+    write_load(df, table_dir, f"batch-{uuid.uuid4().hex}", max_records_per_file)
 
 
 def read_table(spark: SparkSession, table_dir: str, family: S.MetricFamily,
-               dedupe: bool = False) -> DataFrame:
-    """Read the metric table written by ``ingest_append`` (internal names)."""
+               dedupe: bool = False, extras: bool = False) -> DataFrame:
+    """Read the metric table (internal names).
+
+    ``extras`` also gives the further columns that any load has.  ``dedupe`` drops rows
+    that agree in all columns, further ones included.
+    """
+    if extras or dedupe:
+        df = spark.read.option("mergeSchema", "true").parquet(table_dir).drop(LOAD_COLUMN, PARTITION_COLUMN)
+        df = df.dropDuplicates() if dedupe else df
+        rest = [c for c in df.columns if c not in family.columns] if extras else []
+        return df.select(*family.columns, *["`" + c.replace("`", "``") + "`" for c in rest])
     schema = clean(spark.createDataFrame([], family.source_schema())).schema
-    df = spark.read.schema(schema.add(PARTITION_COLUMN, "date")).parquet(table_dir)
-    df = df.select(*family.columns)
-    return df.dropDuplicates() if dedupe else df
+    return spark.read.schema(schema).parquet(table_dir).select(*family.columns)

@@ -1,14 +1,17 @@
 """Reading metric tables (S1), SQL over a view (S3), cached shared input.
 
-``read_metrics`` reads any Spark data source with an explicit schema (no
-inference) and hands back the *clean* table: internal column names, NaN turned
-into NULL (``avg`` skips NULL but not NaN), and time text parsed with
-``try_to_timestamp`` so a malformed value becomes NULL instead of failing the
-job under ANSI mode.  Columns other than the known ones pass through.
+``read_metrics`` reads any Spark data source and hands back the *clean* table:
+internal column names, NaN turned into NULL (``avg`` skips NULL but not NaN),
+and time text parsed leniently, so a malformed value becomes NULL instead of
+failing the job under ANSI mode.  Columns are taken by name: they may come in
+any order, a missing one is an error, and further columns pass through.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -16,19 +19,21 @@ from fleetscope import schema as S
 
 
 def clean_sql(name: str, dtype: T.DataType) -> str:
-    """SQL expression cleaning one source column; aliased to its internal name."""
+    """SQL expression cleaning one source column; aliased to its internal name.
+
+    Time text is read as wall-clock time, whatever the session's time zone.
+    """
     internal = S.COLUMN_MAP.get(name, name)
-    c = f"`{name}`"
+    c = "`" + name.replace("`", "``") + "`"
+    text = isinstance(dtype, T.StringType)
+    alias = "`" + internal.replace("`", "``") + "`"
     if internal == S.TIME:
-        if isinstance(dtype, T.StringType):
-            c = f"cast(try_to_timestamp({c}) AS timestamp_ntz)"
-        elif isinstance(dtype, T.DateType):
-            c = f"cast({c} AS timestamp_ntz)"
+        c = f"{'try_cast' if text else 'cast'}({c} AS timestamp_ntz)"
     elif internal in S.METRIC_COLUMNS:
-        c = f"nanvl(cast({c} AS double), cast(NULL AS double))"
-    elif internal in S.STRING_COLUMNS and not isinstance(dtype, T.StringType):
+        c = f"nanvl({'try_cast' if text else 'cast'}({c} AS double), cast(NULL AS double))"
+    elif internal in S.STRING_COLUMNS and not text:
         c = f"cast({c} AS string)"
-    return f"{c} AS `{internal}`"
+    return f"{c} AS {alias}"
 
 
 def clean(df: DataFrame, dedupe: bool = False) -> DataFrame:
@@ -37,24 +42,56 @@ def clean(df: DataFrame, dedupe: bool = False) -> DataFrame:
     return out.dropDuplicates() if dedupe else out
 
 
+def checked(columns: list[str], family: S.MetricFamily) -> list[str]:
+    """The columns, the family's first; an error if one of these is missing or a name is taken twice."""
+    missing = [c for c in family.source_columns if c not in columns]
+    if missing:
+        raise ValueError(f"the {family.name} table lacks the columns {missing}; it has {columns}")
+    rest = [c for c in columns if c not in family.source_columns]
+    names = [n.lower() for n in (*family.columns, *(S.COLUMN_MAP.get(c, c) for c in rest))]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"the {family.name} table has several columns for {twice}")
+    return [*family.source_columns, *rest]
+
+
+def header(spark: SparkSession, path: str | list[str], options: dict | None = None) -> list[str]:
+    """Column names of CSV files, from the first file's header line."""
+    return spark.read.options(**{**(options or {}), "header": "true", "inferSchema": "false"}).csv(path).columns
+
+
+def text_schema(columns: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
 def read_metrics(spark: SparkSession, path: str | list[str], family: S.MetricFamily,
                  fmt: str = "parquet", options: dict | None = None,
                  schema: T.StructType | None = None, dedupe: bool = False) -> DataFrame:
     """Scan a metric table from any source format and return it clean.
 
-    ``schema`` defaults to the family's source schema; text formats get the time
-    column as a string, parsed leniently.  Connector formats (a document store,
-    JDBC) work the same way once their jar is on the classpath: pass ``fmt`` and
-    ``options`` (e.g. ``{"uri": ...}``) and ``path=[]``.
+    The family's columns come first, further columns after them.  CSV files take their columns
+    from the header line; every file's header must be the first file's, or the read fails.
+    (With ``header=false`` they must hold the family's columns in order.)  JSON without a
+    ``schema`` is read with the family's columns only, so that nothing has to be
+    inferred.  Other formats bring their schema along.  Connector formats (a
+    document store, JDBC) work the same way once their jar is on the classpath: pass
+    ``fmt`` and ``options`` (e.g. ``{"uri": ...}``) and ``path=[]``.
     """
-    if schema is None:
-        text = fmt in ("csv", "json", "text")
-        schema = family.source_schema(T.StringType() if text else T.TimestampNTZType())
-    reader = spark.read.format(fmt).schema(schema).options(**(options or {}))
-    if fmt == "csv" and "header" not in (options or {}):
-        reader = reader.option("header", "true")
+    options = dict(options or {})
+    if fmt == "csv":
+        options.setdefault("header", "true")
+        if schema is None:
+            named = str(options["header"]).lower() == "true"
+            schema = text_schema(header(spark, path, options) if named else list(family.source_columns))
+        options.setdefault("enforceSchema", "false")
+    elif fmt == "json" and schema is None:
+        schema = family.source_schema(T.StringType())
+    reader = spark.read.format(fmt).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
     df = reader.load(path) if path else reader.load()
-    return clean(df, dedupe=dedupe)
+    columns = checked(df.columns, family)
+    return clean(df.select(*["`" + c.replace("`", "``") + "`" for c in columns]), dedupe=dedupe)
 
 
 def sql_view_scan(spark: SparkSession, df: DataFrame, view: str = "metrics") -> DataFrame:
@@ -69,13 +106,16 @@ def cached_scan(spark: SparkSession, df: DataFrame, view: str = "metrics_cached"
 
     Worth it only when several outputs are computed from the same input in one
     session and the input fits the cluster's storage memory; the operators of
-    this package need one scan per output and do not call it.  ``partitions``
-    (optionally by ``keys``) repartitions first; by default the scan layout is
-    kept and AQE sizes later shuffles.  The cache is lazily filled by the first
-    action and recomputed from lineage if an executor is lost.
+    this package need one scan per output and do not call it.  Partitions are
+    rebalanced to the adaptive advisory size (by ``keys``, if any), or to the given number of
+    ``partitions``.  The cache is lazily filled by the first action and recomputed from
+    lineage if an executor is lost.  It stays until ``uncache``; ``cached`` does both.
     """
+    uncache(spark, view)
     if partitions:
         df = df.repartition(partitions, *keys) if keys else df.repartition(partitions)
+    else:
+        df = df.hint("rebalance", *keys)
     df.createOrReplaceTempView(view)
     spark.catalog.cacheTable(view)
     return spark.table(view)
@@ -84,3 +124,13 @@ def cached_scan(spark: SparkSession, df: DataFrame, view: str = "metrics_cached"
 def uncache(spark: SparkSession, view: str = "metrics_cached") -> None:
     if spark.catalog.tableExists(view):
         spark.catalog.uncacheTable(view)
+
+
+@contextmanager
+def cached(spark: SparkSession, df: DataFrame, view: str = "metrics_cached",
+           partitions: int | None = None, keys: tuple[str, ...] = ()) -> Iterator[DataFrame]:
+    """``cached_scan`` for the length of a block."""
+    try:
+        yield cached_scan(spark, df, view, partitions, keys)
+    finally:
+        uncache(spark, view)

@@ -1,41 +1,53 @@
 """Exactly-once ingest of landed files with Structured Streaming (S2, streamed).
 
-The batch ingest appends whatever it is given, so re-running it doubles rows.
+The batch ingest adds whatever it is given, so re-running it doubles rows.
 A file-source stream with a checkpoint remembers which landing files it has
-committed: each file is appended to the metric table once, however often the
-job runs.  ``trigger(availableNow=True)`` processes what has landed and stops,
-so the job can be scheduled like a batch; on executor loss the next run
-resumes from the checkpoint.  The checkpoint belongs in shared storage next to
-the table.
+committed.  Each micro-batch is written as the load of its number, replacing
+what an interrupted try of the same micro-batch left, so every file is added to the
+metric table once, however often the job runs, and beside any batch loads.
+``trigger(availableNow=True)`` processes what has landed and stops, so the job can be
+scheduled like a batch; on executor loss the next run resumes from the checkpoint.  The
+checkpoint belongs in shared storage next to the table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from fleetscope import schema as S
-from fleetscope.sources.ingest import PARTITION_COLUMN, with_partition_column
-from fleetscope.sources.readers import clean
+from fleetscope.sources.ingest import write_load
+from fleetscope.sources.readers import checked, clean, header, text_schema
 
 
 def ingest_stream(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
                   family: S.MetricFamily, fmt: str = "csv", options: dict | None = None,
                   max_files_per_trigger: int | None = None) -> dict | None:
-    """Append every not-yet-ingested landing file to the table; returns the last progress."""
-    text = fmt in ("csv", "json")
-    schema = family.source_schema(T.StringType() if text else T.TimestampNTZType())
-    reader = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
-    if fmt == "csv" and "header" not in (options or {}):
-        reader = reader.option("header", "true")
+    """Add every not-yet-ingested landing file to the table; returns the last progress.
+
+    CSV columns are taken from the header, as in ``read_metrics``.
+    """
+    options = dict(options or {})
+    if fmt == "csv":
+        options.setdefault("header", "true")
+        options.setdefault("enforceSchema", "false")
+        schema = text_schema(header(spark, landing_dir, options))
+    else:
+        schema = family.source_schema(T.StringType() if fmt == "json" else T.TimestampNTZType())
+    reader = spark.readStream.format(fmt).schema(schema).options(**options)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    rows = with_partition_column(clean(reader.load(landing_dir)))
-    query = (rows.writeStream.format("parquet")
-             .option("path", table_dir)
+    columns = checked(schema.fieldNames(), family)
+    rows = clean(reader.load(landing_dir).select(*["`" + c.replace("`", "``") + "`" for c in columns]))
+    stream = hashlib.md5(checkpoint_dir.rstrip("/").encode()).hexdigest()[:12]
+
+    def write(batch: DataFrame, number: int) -> None:
+        write_load(batch, table_dir, f"stream-{stream}-{number}")
+
+    query = (rows.writeStream.foreachBatch(write)
              .option("checkpointLocation", checkpoint_dir)
-             .partitionBy(PARTITION_COLUMN)
-             .outputMode("append")
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
