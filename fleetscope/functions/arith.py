@@ -4,14 +4,15 @@ Two modes:
 
 * default: ``sum`` / ``count`` of doubles, what ``avg`` does;
 * ``exact_scale=k``: every value is taken as an integer number of ``10^-k`` units
-  (``round(v * 10^k)`` as ``bigint``), summed exactly, and turned into a double once
-  at the end.  Results then do not depend on partitioning or summation order, and a
-  partial sum computed before a shuffle merges without error.  Use it for data
-  with at most ``k`` decimals (the spreadsheets hold two) and no NaN.
-
-Sums of already-derived doubles (a total of daily means, a share denominator) are
-made order-independent by folding a *sorted* array; these groups are small by
-construction (at most 31 days, or the hosts of one client).
+  (``bigint``), summed exactly, and turned into a double once at the end.  Results
+  then do not depend on partitioning or summation order, and a partial sum computed
+  before a shuffle merges without error.  It is for data with at most ``k`` decimals
+  (the spreadsheets hold two): a value with more decimals, NaN, an infinity or a value
+  beyond 2^53 units fails the query instead of being rounded.
+
+Sums of already-derived doubles are made order-independent by adding them in
+ascending order: a total of daily means by folding a sorted array of at most 31
+days, a share denominator by a running sum over the hosts of one client.
 """
 
 from __future__ import annotations
@@ -20,6 +21,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# How far a scaled value may lie from a whole unit: what adding doubles of k
+# decimals can leave, far below half a unit; and the same relative to large values.
+UNIT_ERROR = 1e-6
+RELATIVE_ERROR = 2.0 ** -50
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -29,7 +36,15 @@ def units(v, exact_scale: int | None) -> Column:
     v = _col(v)
     if exact_scale is None:
         return v
-    return F.round(v * F.lit(10 ** exact_scale)).cast("bigint")
+    scaled = v * F.lit(float(10 ** exact_scale))
+    whole = F.round(scaled)
+    # a double that stands for k decimals is within rounding error of a whole unit
+    error = F.greatest(F.lit(UNIT_ERROR), F.abs(scaled) * F.lit(RELATIVE_ERROR))
+    fits = (F.abs(scaled) < F.lit(2.0 ** 53)) & (F.abs(scaled - whole) <= error)
+    return (F.when(v.isNull(), F.lit(None).cast("bigint"))
+            .when(fits, whole.cast("bigint"))
+            .otherwise(F.raise_error(F.concat(
+                F.lit(f"not representable at exact_scale={exact_scale}: "), v.cast("string"))).cast("bigint")))
 
 
 def partial_sum(v, exact_scale: int | None) -> Column:

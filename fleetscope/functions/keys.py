@@ -18,10 +18,6 @@ from fleetscope import schema as S
 CLIENT_POS = (1, 3)
 HOST_POS = (5, 1)
 DISK_POS = (1, 1)
-# Longest key of each level; membership generates substrings up to this length.
-CLIENT_LEN = 3
-HOST_LEN = 1
-DISK_LEN = 1
 # Weekday labels for dayofweek 1..7 (1 = Sunday).
 DAY_LABELS = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
 # --- end of fixed values ---------------------------------------------------------

@@ -11,11 +11,13 @@ How it runs
 -----------
 Membership only depends on names, so it is computed on the *distinct* names (a
 small dimension even for a huge fact table) and joined back on the name with an
-equi-join.  ``contains`` with a key of bounded length ``L`` is turned into an
-equi-join as well: each distinct name is expanded into its distinct substrings
-of length ``0..L`` (at most ``L * len(name) + 1`` of them) and those are joined on
-equality to the keys.  No theta join, no nested loop, no pair enumeration; the
-work grows linearly with the number of distinct names.
+equi-join.  ``contains`` with keys of bounded length is turned into an equi-join
+as well: each distinct name is expanded into its distinct substrings of the
+lengths that occur among the keys - normally one length, ``len(name) - 2``
+substrings - and those are joined on equality to the keys.  Shorter substrings, which
+very many names share, are made only if some name is so short that it gives such a
+key.  No theta join, no nested loop, no pair enumeration; the work grows linearly
+with the number of distinct names.
 
 Levels are built in order, as the reference does: host keys of a client come
 from the rows already matched to that client, disk keys of a host from the rows
@@ -43,40 +45,38 @@ def _check_match(match: str) -> None:
         raise ValueError(f"match must be one of {MATCH_MODES}, got {match!r}")
 
 
-def substrings_sql(s: str, max_len: int) -> str:
-    """SQL for the distinct substrings of column ``s`` of length 0..max_len.
+def substrings(s: str, lengths: Column) -> Column:
+    """Distinct substrings of column ``s`` of the given lengths (an array).
 
-    ``contains(s, k)`` with ``len(k) <= max_len`` holds exactly when ``k`` is in
+    ``contains(s, k)`` with ``len(k)`` among the lengths holds exactly when ``k`` is in
     this array, so membership becomes an equality join on its elements.
-    ``sequence(1, 0)`` would count down, so names shorter than ``n`` get no
-    ``n``-grams.
     """
-    parts = ["array('')"]
-    for n in range(1, max_len + 1):
-        parts.append(f"CASE WHEN length({s}) >= {n} "
-                     f"THEN transform(sequence(1, length({s}) - {n - 1}), i -> substr({s}, i, {n})) "
-                     f"ELSE cast(array() AS array<string>) END")
-    return f"array_distinct(flatten(array({', '.join(parts)})))"
+    c = F.col(s)
 
+    def of(n: Column) -> Column:
+        last = F.length(c) - n + 1
+        some = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(c, i, n))
+        return (F.when(n == 0, F.array(F.lit(""))).when(last >= 1, some)
+                .otherwise(F.array().cast("array<string>")))
 
-def substrings(s: str, max_len: int) -> Column:
-    return F.expr(substrings_sql(s, max_len))
+    return F.array_distinct(F.flatten(F.transform(lengths, of)))
 
 
-def tagged(s: str, key_sql: str, max_len: int) -> Column:
+def lengths_of(keys: DataFrame, key: Column) -> Column:
+    """The lengths that occur among some keys, as a scalar subquery (an array of few numbers)."""
+    return keys.agg(F.collect_set(F.length(key)).alias("lengths")).scalar()
+
+
+def tagged(s: str, key: Column, lengths: Column) -> Column:
     """``array<struct<g, is_key>>``: the row's own key, then its substrings.
 
     Exploding this once per distinct name gives one relation from which both
     the key set (``is_key``) and the candidate matches (``not is_key``) are
-    taken, so the names are scanned and shuffled once for a membership level.
+    taken, so the names are shuffled once for a membership level.
     """
-    return F.expr(f"concat(array(named_struct('g', {key_sql}, 'is_key', true)), "
-                  f"transform({substrings_sql(s, max_len)}, "
-                  f"x -> named_struct('g', x, 'is_key', false)))")
-
-
-_CLIENT_SQL = f"substring({S.SERVER}, {K.CLIENT_POS[0]}, {K.CLIENT_POS[1]})"
-_HOST_SQL = f"substring({S.SERVER}, {K.HOST_POS[0]}, {K.HOST_POS[1]})"
+    grams = F.transform(substrings(s, lengths),
+                        lambda x: F.struct(x.alias("g"), F.lit(False).alias("is_key")))
+    return F.concat(F.array(F.struct(key.alias("g"), F.lit(True).alias("is_key"))), grams)
 
 
 def _names(df: DataFrame) -> DataFrame:
@@ -85,7 +85,10 @@ def _names(df: DataFrame) -> DataFrame:
 
 def _client_grams(df: DataFrame) -> DataFrame:
     """``(server_name, g, is_key)`` over the distinct names."""
-    return _names(df).select(S.SERVER, F.inline(tagged(S.SERVER, _CLIENT_SQL, K.CLIENT_LEN)))
+    names = _names(df)
+    key = K.client_key(S.SERVER)
+    named = names.withColumn("_lengths", lengths_of(names, key))
+    return named.select(S.SERVER, F.inline(tagged(S.SERVER, key, F.col("_lengths"))))
 
 
 def _client_keys(grams: DataFrame) -> DataFrame:
@@ -98,7 +101,7 @@ def _client_keys(grams: DataFrame) -> DataFrame:
     """
     return (grams.groupBy(F.col("g").alias("client"))
             .agg(F.max("is_key").alias("is_client"),
-                 F.collect_set(F.expr(_HOST_SQL)).alias("hosts"))
+                 F.collect_set(K.host_key(S.SERVER)).alias("hosts"))
             .where(F.col("is_client")).select("client", "hosts"))
 
 
@@ -107,7 +110,7 @@ def clients(df: DataFrame) -> DataFrame:
     return (_names(df).select(K.client_key(S.SERVER).alias("client")).distinct())
 
 
-def _client_rows(df: DataFrame) -> DataFrame:
+def client_rows(df: DataFrame) -> DataFrame:
     """``(server_name, client, hosts)``: names joined once to their clients.
 
     Each row carries the client's host-key set, so host membership needs no
@@ -125,7 +128,7 @@ def client_members(df: DataFrame, match: str = "contains") -> DataFrame:
     _check_match(match)
     if match == "position":
         return _names(df).select(S.SERVER, K.client_key(S.SERVER).alias("client"))
-    return _client_rows(df).select(S.SERVER, "client")
+    return client_rows(df).select(S.SERVER, "client")
 
 
 def hosts(df: DataFrame, match: str = "contains", members: DataFrame | None = None) -> DataFrame:
@@ -148,19 +151,21 @@ def host_members(df: DataFrame, match: str = "contains",
                  members: DataFrame | None = None) -> DataFrame:
     """``(server_name, client, host)`` for every name, client and host.
 
-    ``members`` may pass a precomputed ``client_members`` table.
+    ``members`` may pass a precomputed ``client_rows`` or ``client_members`` table.
     """
     _check_match(match)
     if match == "position":
         return _names(df).select(S.SERVER, K.client_key(S.SERVER).alias("client"),
                                  K.host_key(S.SERVER).alias("host"))
-    if members is not None:
+    if members is not None and "hosts" in members.columns:
+        rows = members
+    elif members is not None:
         keys = (members.groupBy(F.col("client").alias("k_client"))
                 .agg(F.collect_set(K.host_key(S.SERVER)).alias("hosts")))
         rows = (members.join(keys, members["client"] == keys["k_client"], "inner")
                 .select(S.SERVER, "client", "hosts"))
     else:
-        rows = _client_rows(df)
+        rows = client_rows(df)
     return rows.select(S.SERVER, "client", F.explode(_contained("hosts", S.SERVER)).alias("host"))
 
 
@@ -221,7 +226,8 @@ def fleet_disk_members(df: DataFrame, match: str = "contains") -> DataFrame:
     if match == "position":
         return (names.join(cd, K.disk_key(S.DISK) == cd["disk"], "inner")
                 .select(S.DISK, "client", "disk"))
-    grams = names.select(S.DISK, F.explode(substrings(S.DISK, K.DISK_LEN)).alias("g"))
+    named = names.withColumn("_lengths", lengths_of(names, K.disk_key(S.DISK)))
+    grams = named.select(S.DISK, F.explode(substrings(S.DISK, F.col("_lengths"))).alias("g"))
     return grams.join(cd, grams["g"] == cd["disk"], "inner").select(S.DISK, "client", "disk")
 
 

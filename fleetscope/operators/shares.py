@@ -3,14 +3,17 @@
 A size is one number per host (or client): the sum of a metric over the host's
 rows for CPU, the mean for memory and disk.  A share is the size divided by the
 total of the sizes within the client (host shares) or the fleet (client
-shares), computed with a window over the small table of sizes.  Sizes use the
-same rollup and merge as the profiles, with one whole-period bucket.
+shares).  Sizes use the same rollup and merge as the profiles, with one
+whole-period bucket.
+
+Totals are never gathered into arrays.  A client's total is a window over its hosts,
+of which there are as many as a one-character key allows; the fleet's total is one
+aggregate (partial sums, then their sum), read as a scalar subquery.  With
+``exact_scale`` the totals of sums add the integer units.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +25,7 @@ from fleetscope.sources.scratch import materialize
 
 AGGS = ("sum", "avg")
 TOTAL_SECTION = "total_processor"
+UNITS = "_units"
 
 
 def size_of(s: str, n: str, agg: str, exact_scale: int | None) -> Column:
@@ -39,11 +43,26 @@ def total_bucket(processor: str = S.TOTAL_PROCESSOR) -> P.Bucket:
 
 def _sizes(rolled: DataFrame, members: DataFrame, level: str, section: str,
            agg: str, exact_scale: int | None) -> DataFrame:
+    """``(keys..., size, units)``: units is what totals of sums add up (NULL for means)."""
     merged = P.merge(rolled.where(F.col("section") == section), members, level, 1, by_x=False)
-    return merged.select(*P.LEVEL_KEYS[level], size_of("s0", "n0", agg, exact_scale).alias("size"))
+    units = F.col("s0") if agg == "sum" else F.lit(None).cast("double")
+    return merged.select(*P.LEVEL_KEYS[level], size_of("s0", "n0", agg, exact_scale).alias("size"),
+                         units.alias(UNITS))
+
+
+def _host_sizes(facts: DataFrame | None, metric: str, agg: str, match: str, exact_scale: int | None,
+                members: DataFrame | None, rolled: DataFrame | None, materialize_rollup: bool) -> DataFrame:
+    names_src = facts
+    if rolled is None:
+        rolled = P.rollup(facts, [metric], [P.whole_bucket()], [S.SERVER], exact_scale)
+        if materialize_rollup:
+            rolled = names_src = materialize(rolled, "rollup-sizes")
+    if members is None:
+        members = M.host_members(names_src if names_src is not None else rolled, match)
+    return _sizes(rolled, members, "host", "all", agg, exact_scale)
 
 
-def host_sizes(facts: DataFrame, metric: str, agg: str = "sum", match: str = "contains",
+def host_sizes(facts: DataFrame | None, metric: str, agg: str = "sum", match: str = "contains",
                exact_scale: int | None = None, members: DataFrame | None = None,
                rolled: DataFrame | None = None, materialize_rollup: bool = False) -> DataFrame:
     """``(client, host, size)``: a metric's sum or mean over each host's rows.
@@ -54,61 +73,93 @@ def host_sizes(facts: DataFrame, metric: str, agg: str = "sum", match: str = "co
     ``materialize_rollup`` writes the per-name rollup first and derives
     membership from it (one fact scan instead of two; see ``profiles``).
     """
+    return _host_sizes(facts, metric, agg, match, exact_scale, members, rolled,
+                       materialize_rollup).drop(UNITS)
+
+
+def _client_sizes(facts: DataFrame | None, metric: str, agg: str, match: str, exact_scale: int | None,
+                  processor: str | None, members: DataFrame | None, rolled: DataFrame | None,
+                  materialize_rollup: bool) -> DataFrame:
+    section = "all" if processor is None else TOTAL_SECTION
     names_src = facts
     if rolled is None:
-        rolled = P.rollup(facts, [metric], [P.whole_bucket()], [S.SERVER], exact_scale)
+        buckets = [P.whole_bucket() if processor is None else total_bucket(processor)]
+        if materialize_rollup:  # a row for every name, also those without the processor
+            buckets.append(P.whole_bucket("names"))
+        rolled = P.rollup(facts, [metric], buckets, [S.SERVER], exact_scale)
         if materialize_rollup:
-            rolled = names_src = materialize(rolled, "rollup-sizes")
+            rolled = names_src = materialize(rolled, "rollup-client-sizes")
     if members is None:
-        members = M.host_members(names_src, match)
-    return _sizes(rolled, members, "host", "all", agg, exact_scale)
+        members = M.client_members(names_src if names_src is not None else rolled, match)
+    sizes = _sizes(rolled, members, "client", section, agg, exact_scale)
+    # a client with no rows on that processor still gets a (NULL) size
+    return members.select("client").distinct().join(sizes, "client", "left")
 
 
-def client_sizes(facts: DataFrame, metric: str = S.CPU, agg: str = "sum",
+def client_sizes(facts: DataFrame | None, metric: str = S.CPU, agg: str = "sum",
                  match: str = "contains", exact_scale: int | None = None,
                  processor: str | None = S.TOTAL_PROCESSOR,
-                 members: DataFrame | None = None, rolled: DataFrame | None = None) -> DataFrame:
+                 members: DataFrame | None = None, rolled: DataFrame | None = None,
+                 materialize_rollup: bool = False) -> DataFrame:
     """``(client, size)`` over each client's rows on one processor.
 
     Clients come from all rows; only the sum is restricted to rows whose
     ``processor`` contains ``processor`` (``None``: all rows).
     """
-    section = "all" if processor is None else TOTAL_SECTION
-    if rolled is None:
-        bucket = P.whole_bucket() if processor is None else total_bucket(processor)
-        rolled = P.rollup(facts, [metric], [bucket], [S.SERVER], exact_scale)
-    if members is None:
-        members = M.client_members(facts, match)
-    sizes = _sizes(rolled, members, "client", section, agg, exact_scale)
-    # a client with no rows on that processor still gets a (NULL) size
-    return members.select("client").distinct().join(sizes, "client", "left")
+    return _client_sizes(facts, metric, agg, match, exact_scale, processor, members, rolled,
+                         materialize_rollup).drop(UNITS)
 
 
-def with_share(sizes: DataFrame, within: Sequence[str] = ("client",)) -> DataFrame:
-    """Add ``share`` = size / total of sizes within ``within``, and ``pct_label``.
+def _with_share(sizes: DataFrame, total: Column) -> DataFrame:
+    out = sizes.withColumn("share", A.share(F.col("size"), total)).drop(UNITS)
+    return out.withColumn("pct_label", A.pct_label("share"))
+
 
-    The total is an ordered sum over the partition (hosts of one client, or all
-    clients: one row each), so it is the same however rows are distributed.
+def share_within_client(sizes: DataFrame, agg: str, exact_scale: int | None = None) -> DataFrame:
+    """Add ``share`` = size / total of the client's sizes, and ``pct_label``.
+
+    ``sizes`` has one row per host, so a window holds as many rows as a client has
+    one-character host keys.  Exact sums add their units; other sizes add in
+    ascending order, so the total does not depend on how rows are distributed.
     A zero or NULL total gives a NULL share.
     """
-    w = Window.partitionBy(*within)
-    total = A.ordered_sum(F.collect_list("size").over(w))
-    out = sizes.withColumn("share", A.share(F.col("size"), total))
-    return out.withColumn("pct_label", A.pct_label("share"))
+    client = Window.partitionBy("client")
+    if agg == "sum" and exact_scale is not None:
+        total = A.as_value(F.sum(UNITS).over(client), exact_scale)
+        return _with_share(sizes, total)
+    upto = client.orderBy(F.col("size").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    whole = upto.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    running = sizes.withColumn("_running", F.sum("size").over(upto))
+    return _with_share(running.withColumn("_total", F.last("_running").over(whole)),
+                       F.col("_total")).drop("_running", "_total")
+
+
+def share_of_fleet(sizes: DataFrame, agg: str, exact_scale: int | None = None) -> DataFrame:
+    """Add ``share`` = size / total over all rows of ``sizes``, and ``pct_label``.
+
+    The total is one aggregate over the sizes; no row carries more than this one number.
+    """
+    if agg == "sum" and exact_scale is not None:
+        total = sizes.agg(A.as_value(F.sum(UNITS), exact_scale).alias("total"))
+    else:
+        total = sizes.agg(F.sum("size").alias("total"))
+    return _with_share(sizes, total.scalar())
 
 
-def host_share(facts: DataFrame, metric: str, agg: str, match: str = "contains",
+def host_share(facts: DataFrame | None, metric: str, agg: str, match: str = "contains",
                exact_scale: int | None = None, members: DataFrame | None = None,
                rolled: DataFrame | None = None, materialize_rollup: bool = False) -> DataFrame:
     """``(client, host, size, share, pct_label)``."""
-    return with_share(host_sizes(facts, metric, agg, match, exact_scale, members, rolled,
-                                 materialize_rollup), ["client"])
+    return share_within_client(_host_sizes(facts, metric, agg, match, exact_scale, members, rolled,
+                                           materialize_rollup), agg, exact_scale)
 
 
-def client_share(facts: DataFrame, metric: str = S.CPU, agg: str = "sum",
+def client_share(facts: DataFrame | None, metric: str = S.CPU, agg: str = "sum",
                  match: str = "contains", exact_scale: int | None = None,
                  processor: str | None = S.TOTAL_PROCESSOR, members: DataFrame | None = None,
-                 rolled: DataFrame | None = None) -> DataFrame:
+                 rolled: DataFrame | None = None, materialize_rollup: bool = False) -> DataFrame:
     """``(client, size, share, pct_label)`` over the fleet."""
-    sizes = client_sizes(facts, metric, agg, match, exact_scale, processor, members, rolled)
-    return with_share(sizes, [])
+    sizes = _client_sizes(facts, metric, agg, match, exact_scale, processor, members, rolled,
+                          materialize_rollup)
+    return share_of_fleet(sizes, agg, exact_scale)
