@@ -2,17 +2,20 @@
 
 Every query reads ``events`` from ``sf_dir`` (through the fixture mapping of
 FIXTURES.md) over the whole table and returns a DataFrame.  Most plans are
-lazy.  Three kinds run jobs while building, always writing to a fresh location
-below the shared scratch folder:
+lazy.  Four kinds run jobs while building, always writing to a fresh location
+below the shared scratch folder (``sources.scratch``):
 
 * source/sink queries, whose write *is* the operator; they return the
   read-back table;
 * splits, which write the small membership table first so that the join to
-  the facts is planned as a broadcast;
+  the facts is planned on its size;
+* profiles, sizes, shares and distinct disks and x-values, which write their rollup (or
+  distinct names) and derive membership from it: one scan of the facts each;
 * reports, which write the family rollup once.
 
 Aggregates use exact arithmetic at two decimals (``EXACT_SCALE``), which the
-fixture's values satisfy, so results are independent of partitioning.
+fixture's values satisfy (a value that does not would fail the query), so results are
+independent of partitioning.
 """
 
 from __future__ import annotations
@@ -31,10 +34,10 @@ from fleetscope.operators import profiles as P
 from fleetscope.operators import shares as W
 from fleetscope.plans import fixtures as X
 from fleetscope.plans import reports as R
-from fleetscope.session import scratch_path
 from fleetscope.sources import ingest as I
 from fleetscope.sources import readers as RD
 from fleetscope.sources import sinks as SK
+from fleetscope.sources.scratch import table_path
 from fleetscope.streaming.ingest_stream import ingest_stream as ingest_stream_files
 
 EXACT_SCALE = 2
@@ -83,8 +86,8 @@ def scan_metrics(spark, sf):
 
 def ingest_append(spark, sf):
     """Land the CPU table as CSV files, ingest them, read the table back."""
-    landing = scratch_path(spark, "landing-cpu")
-    table = scratch_path(spark, "table-cpu")
+    landing = table_path(spark, "landing-cpu")
+    table = table_path(spark, "table-cpu")
     src = X.family_table(X.metrics_from_events(X.read_events(spark, sf)), S.CPU_FAMILY)
     I.write_landing(src, landing, fmt="csv")
     I.ingest_append(spark, landing, table, S.CPU_FAMILY, fmt="csv")
@@ -95,9 +98,9 @@ def ingest_stream(spark, sf):
     """S2 streamed: land the CPU table, ingest it exactly once with Structured
     Streaming (file source, checkpoint, ``availableNow``), run the stream a
     second time (nothing new: no duplicates), read the table back."""
-    landing = scratch_path(spark, "landing-cpu-stream")
-    table = scratch_path(spark, "table-cpu-stream")
-    checkpoint = scratch_path(spark, "checkpoint-cpu-stream")
+    landing = table_path(spark, "landing-cpu-stream")
+    table = table_path(spark, "table-cpu-stream")
+    checkpoint = table_path(spark, "checkpoint-cpu-stream")
     src = X.family_table(X.metrics_from_events(X.read_events(spark, sf)), S.CPU_FAMILY)
     I.write_landing(src, landing, fmt="csv")
     for _ in range(2):
@@ -111,9 +114,8 @@ def sql_view_scan(spark, sf):
 
 
 def cached_scan(spark, sf):
-    """Repartitioned, cached view read back as a table."""
-    return RD.cached_scan(spark, _wide(spark, sf).select(*WIDE_COLS), "metrics_cached",
-                          partitions=spark.sparkContext.defaultParallelism)
+    """Rebalanced, cached view read back as a table (a former run's cache is released first)."""
+    return RD.cached_scan(spark, _wide(spark, sf).select(*WIDE_COLS), "metrics_cached")
 
 
 def _profile_schema():
@@ -124,16 +126,16 @@ def _profile_schema():
 
 
 def sink_skip_existing(spark, sf):
-    """S5, force off: the second write to an existing table is skipped."""
-    path = scratch_path(spark, "chart-skip")
+    """S5, force off: the second write finds every chart (client, host) written and adds nothing."""
+    path = table_path(spark, "chart-skip")
     SK.write_table(cpu_hourly(spark, sf), path, force=False)
-    SK.write_table(mem_hourly(spark, sf), path, force=False)  # ignored: table exists
+    SK.write_table(mem_hourly(spark, sf), path, force=False)
     return SK.read_written(spark, path, _profile_schema())
 
 
 def sink_overwrite(spark, sf):
     """S5, force on: the second write replaces the first."""
-    path = scratch_path(spark, "chart-force")
+    path = table_path(spark, "chart-force")
     SK.write_table(mem_hourly(spark, sf), path, force=True)
     SK.write_table(cpu_hourly(spark, sf), path, force=True)
     return SK.read_written(spark, path, _profile_schema())
@@ -232,30 +234,31 @@ def distinct_hosts(spark, sf):
 
 
 def distinct_disks(spark, sf):
-    return D.distinct_disks(_disk(spark, sf), MATCH)
+    return D.distinct_disks(_disk(spark, sf), MATCH, materialize_names=True)
 
 
 def distinct_disks_client(spark, sf):
-    return D.distinct_client_disks(_disk(spark, sf), MATCH)
+    return D.distinct_client_disks(_disk(spark, sf), MATCH, materialize_names=True)
 
 
 def distinct_hours(spark, sf):
-    return D.distinct_parts(_cpu(spark, sf), "hour", MATCH)
+    return D.distinct_parts(_cpu(spark, sf), "hour", MATCH, materialize_names=True)
 
 
 def distinct_weekdays(spark, sf):
-    return D.distinct_parts(_cpu(spark, sf), "dayofweek", MATCH)
+    return D.distinct_parts(_cpu(spark, sf), "dayofweek", MATCH, materialize_names=True)
 
 
 def distinct_monthdays(spark, sf):
-    return D.distinct_parts(_cpu(spark, sf), "dayofmonth", MATCH)
+    return D.distinct_parts(_cpu(spark, sf), "dayofmonth", MATCH, materialize_names=True)
 
 
 # --- profiles (A1-A9) -------------------------------------------------------------------------
 
 def _prof(loader, metric, section):
     def q(spark, sf):
-        return P.profile(loader(spark, sf), metric, section, "host", MATCH, EXACT_SCALE)
+        return P.profile(loader(spark, sf), metric, section, "host", MATCH, EXACT_SCALE,
+                         materialize_rollup=True)
     q.__name__ = f"{metric}_{section}"
     return q
 
@@ -270,50 +273,59 @@ mem_monthly = _prof(_mem, S.MEM, "monthly")
 
 def disk_writes_hourly(spark, sf):
     return P.profile(_disk(spark, sf), [S.WRITES_AVG, S.WRITES_MAX], "hourly", "disk",
-                     MATCH, EXACT_SCALE)
+                     MATCH, EXACT_SCALE, materialize_rollup=True)
 
 
 def disk_reads_hourly(spark, sf):
     return P.profile(_disk(spark, sf), [S.READS_AVG, S.READS_MAX], "hourly", "disk",
-                     MATCH, EXACT_SCALE)
+                     MATCH, EXACT_SCALE, materialize_rollup=True)
 
 
 def cpu_total_usage(spark, sf):
-    return P.total_usage(_cpu(spark, sf), S.CPU, MATCH, EXACT_SCALE)
+    return P.total_usage(_cpu(spark, sf), S.CPU, MATCH, EXACT_SCALE,
+                         materialize_rollup=True)
 
 
 # --- sizes and shares (A10-A13, W1-W4) ---------------------------------------------------------
 
 def cpu_host_sum(spark, sf):
-    return W.host_sizes(_cpu(spark, sf), S.CPU, "sum", MATCH, EXACT_SCALE)
+    return W.host_sizes(_cpu(spark, sf), S.CPU, "sum", MATCH, EXACT_SCALE,
+                        materialize_rollup=True)
 
 
 def mem_host_avg(spark, sf):
-    return W.host_sizes(_mem(spark, sf), S.MEM, "avg", MATCH, EXACT_SCALE)
+    return W.host_sizes(_mem(spark, sf), S.MEM, "avg", MATCH, EXACT_SCALE,
+                        materialize_rollup=True)
 
 
 def disk_host_avg(spark, sf):
-    return W.host_sizes(_disk(spark, sf), S.WRITES_AVG, "avg", MATCH, EXACT_SCALE)
+    return W.host_sizes(_disk(spark, sf), S.WRITES_AVG, "avg", MATCH, EXACT_SCALE,
+                        materialize_rollup=True)
 
 
 def cpu_client_sum(spark, sf):
-    return W.client_sizes(_cpu(spark, sf), S.CPU, "sum", MATCH, EXACT_SCALE)
+    return W.client_sizes(_cpu(spark, sf), S.CPU, "sum", MATCH, EXACT_SCALE,
+                        materialize_rollup=True)
 
 
 def cpu_host_share(spark, sf):
-    return W.host_share(_cpu(spark, sf), S.CPU, "sum", MATCH, EXACT_SCALE)
+    return W.host_share(_cpu(spark, sf), S.CPU, "sum", MATCH, EXACT_SCALE,
+                        materialize_rollup=True)
 
 
 def mem_host_share(spark, sf):
-    return W.host_share(_mem(spark, sf), S.MEM, "avg", MATCH, EXACT_SCALE)
+    return W.host_share(_mem(spark, sf), S.MEM, "avg", MATCH, EXACT_SCALE,
+                        materialize_rollup=True)
 
 
 def disk_host_share(spark, sf):
-    return W.host_share(_disk(spark, sf), S.WRITES_AVG, "avg", MATCH, EXACT_SCALE)
+    return W.host_share(_disk(spark, sf), S.WRITES_AVG, "avg", MATCH, EXACT_SCALE,
+                        materialize_rollup=True)
 
 
 def cpu_client_share(spark, sf):
-    return W.client_share(_cpu(spark, sf), S.CPU, "sum", MATCH, EXACT_SCALE)
+    return W.client_share(_cpu(spark, sf), S.CPU, "sum", MATCH, EXACT_SCALE,
+                        materialize_rollup=True)
 
 
 # --- reports (R1, R2) ------------------------------------------------------------------------------

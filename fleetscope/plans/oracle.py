@@ -1,10 +1,10 @@
 """DuckDB SQL equivalent of every catalog query (the correctness oracle).
 
-Written independently of the Spark plans, in the plainest form: membership is a
-join on ``contains`` (a theta join, fine at test scale), profiles are
-``GROUP BY`` over the joined rows.  Arithmetic matches the Spark side exactly:
-sums of integer hundredths, one division; ordered folds for sums of derived
-doubles.  Views ``events`` etc. are registered by the caller.
+In the plainest form: membership is a join on ``contains`` (a theta join, fine at
+test scale), profiles are ``GROUP BY`` over the joined rows.  Arithmetic is that of the
+registered queries, so that results compare bit by bit: sums of integer hundredths,
+one division; ordered folds for sums of derived doubles.  The default mode (plain
+``avg`` and ``sum``) has its own checks, with a tolerance, in ``tests/test_default_mode.py``.  Views ``events`` etc. are registered by the caller.
 """
 
 from __future__ import annotations
@@ -107,9 +107,12 @@ _CLIENT_SIZE = (f"SELECT cm.client, {_sum('f.cpu_pct')} AS size FROM cm "
                 f"USING (server_name) GROUP BY cm.client")
 
 
-def _share(sizes_cte: str, keys: str, within: str) -> str:
+def _share(sizes_cte: str, keys: str, within: str, agg: str) -> str:
     over = f"OVER (PARTITION BY {within})" if within else "OVER ()"
-    tot = _ordered_sum(f"list(size) {over}")
+    if agg == "sum":  # sizes of two decimals: their total in hundredths
+        tot = f"(CAST(sum(CAST(round(size * 100) AS BIGINT)) {over} AS DOUBLE) / CAST(100 AS DOUBLE))"
+    else:
+        tot = _ordered_sum(f"list(size) {over}")
     return (f"SELECT {keys}, size, share, {_pct_label('share')} AS pct_label FROM ("
             f"SELECT {keys}, size, size / NULLIF({tot}, 0) AS share FROM {sizes_cte}) s")
 
@@ -143,9 +146,14 @@ def _titles() -> str:
     return " UNION ALL ".join(t)
 
 
-def _report_rows(section_expr, x, y, y2, disk="CAST(NULL AS VARCHAR)"):
-    return (f"client, host, {disk} AS disk, {section_expr} AS section, CAST({x} AS INTEGER) AS x, "
-            f"CAST({y} AS DOUBLE) AS y, CAST({y2} AS DOUBLE) AS y2")
+def _report_rows(section, x, y, y2, title, disk="CAST(NULL AS VARCHAR)"):
+    label = f"CAST({_DAY} AS VARCHAR)" if section == "weekly" else "CAST(NULL AS VARCHAR)"
+    return (f"client, host, {disk} AS disk, '{section}' AS section, CAST({x} AS INTEGER) AS x, "
+            f"{label} AS x_label, CAST({y} AS DOUBLE) AS y, CAST({y2} AS DOUBLE) AS y2, {title} AS title")
+
+
+def _series_title(section: str, what: str) -> str:
+    return f"'{section.capitalize()} {what} Usage for ' || client || ' with host ' || host"
 
 
 def _cpu_report() -> str:
@@ -154,12 +162,10 @@ def _cpu_report() -> str:
             f"pm AS ({_profile_select('cpu_pct', 'monthly')}),\n"
             f"tot AS (SELECT client, host, {_ordered_sum('list(y)')} AS total_usage FROM pm "
             f"GROUP BY client, host)")
-    sel = " UNION ALL ".join([
-        f"SELECT {_report_rows(repr('hourly'), 'x', 'y', 'NULL')} FROM ph",
-        f"SELECT {_report_rows(repr('weekly'), 'x', 'y', 'NULL')} FROM pw",
-        f"SELECT {_report_rows(repr('monthly'), 'x', 'y', 'NULL')} FROM pm",
-        f"SELECT {_report_rows(repr('total'), 'NULL', 'total_usage', 'NULL')} FROM tot",
-    ])
+    sel = " UNION ALL ".join(
+        [f"SELECT {_report_rows(s, 'x', 'y', 'NULL', _series_title(s, 'CPU'))} FROM {t}"
+         for s, t in (("hourly", "ph"), ("weekly", "pw"), ("monthly", "pm"))]
+        + [f"SELECT {_report_rows('total', 'NULL', 'total_usage', 'NULL', repr('Total Processor Time'))} FROM tot"])
     return _q(ctes, sel)
 
 
@@ -168,13 +174,12 @@ def _mem_report() -> str:
             f"pw AS ({_profile_select('mem_pct', 'weekly')}),\n"
             f"pm AS ({_profile_select('mem_pct', 'monthly')}),\n"
             f"hs AS ({_host_size('mem_pct', 'avg')}),\n"
-            f"sh AS ({_share('hs', 'client, host', 'client')})")
-    sel = " UNION ALL ".join([
-        f"SELECT {_report_rows(repr('hourly'), 'x', 'y', 'NULL')} FROM ph",
-        f"SELECT {_report_rows(repr('weekly'), 'x', 'y', 'NULL')} FROM pw",
-        f"SELECT {_report_rows(repr('monthly'), 'x', 'y', 'NULL')} FROM pm",
-        f"SELECT {_report_rows(repr('share'), 'NULL', 'size', 'share')} FROM sh",
-    ])
+            f"sh AS ({_share('hs', 'client, host', 'client', 'avg')})")
+    pie = "'Percentage Memory Usage for ' || client || ' in 1 month'"
+    sel = " UNION ALL ".join(
+        [f"SELECT {_report_rows(s, 'x', 'y', 'NULL', _series_title(s, 'Memory'))} FROM {t}"
+         for s, t in (("hourly", "ph"), ("weekly", "pw"), ("monthly", "pm"))]
+        + [f"SELECT {_report_rows('share', 'NULL', 'size', 'share', pie)} FROM sh"])
     return _q(ctes, sel)
 
 
@@ -182,11 +187,14 @@ def _disk_report() -> str:
     ctes = (f"pw AS ({_disk_profile_select('disk_writes_avg', 'disk_writes_max')}),\n"
             f"pr AS ({_disk_profile_select('disk_reads_avg', 'disk_reads_max')}),\n"
             f"hs AS ({_host_size('disk_writes_avg', 'avg')}),\n"
-            f"sh AS ({_share('hs', 'client, host', 'client')})")
+            f"sh AS ({_share('hs', 'client, host', 'client', 'avg')})")
+    pie = "'Percentage Disk Usage for ' || client || ' in 1 month'"
+    rest = "client || ' with host ' || host || ' Disk: ' || upper(disk) || ':'"
+    writes, reads = f"'Hourly Average Disk Write/Sec for ' || {rest}", f"'Hourly Average Disk Reads/Sec for ' || {rest}"
     sel = " UNION ALL ".join([
-        f"SELECT {_report_rows(repr('share'), 'NULL', 'size', 'share')} FROM sh",
-        f"SELECT {_report_rows(repr('writes'), 'x', 'y', 'y2', 'disk')} FROM pw",
-        f"SELECT {_report_rows(repr('reads'), 'x', 'y', 'y2', 'disk')} FROM pr",
+        f"SELECT {_report_rows('share', 'NULL', 'size', 'share', pie)} FROM sh",
+        f"SELECT {_report_rows('writes', 'x', 'y', 'y2', writes, 'disk')} FROM pw",
+        f"SELECT {_report_rows('reads', 'x', 'y', 'y2', reads, 'disk')} FROM pr",
     ])
     return _q(ctes, sel)
 
@@ -196,18 +204,20 @@ def _overall_report() -> str:
             f"s2 AS ({_CLIENT_SIZE}),\n"
             f"s3 AS ({_host_size('mem_pct', 'avg')}),\n"
             f"s4 AS ({_host_size('disk_writes_avg', 'avg')}),\n"
-            f"w1 AS ({_share('s1', 'client, host', 'client')}),\n"
-            f"w2 AS ({_share('s2', 'client', '')}),\n"
-            f"w3 AS ({_share('s3', 'client, host', 'client')}),\n"
-            f"w4 AS ({_share('s4', 'client, host', 'client')})")
+            f"w1 AS ({_share('s1', 'client, host', 'client', 'sum')}),\n"
+            f"w2 AS ({_share('s2', 'client', '', 'sum')}),\n"
+            f"w3 AS ({_share('s3', 'client, host', 'client', 'avg')}),\n"
+            f"w4 AS ({_share('s4', 'client, host', 'client', 'avg')})")
+    cpu, mem, disk = (f"'Percentage {w} usage of every client''s hosts'" for w in ("CPU", "Memory", "Disk"))
     sel = " UNION ALL ".join([
-        "SELECT 1 AS section_no, 'cpu_host_share' AS section, client, host, size, share FROM w1",
-        "SELECT 2, 'cpu_client_share', client, CAST(NULL AS VARCHAR), size, share FROM w2",
-        "SELECT 3, 'mem_host_share', client, host, size, share FROM w3",
-        "SELECT 4, 'disk_host_share', client, host, size, share FROM w4",
+        f"SELECT 1 AS section_no, 'cpu_host_share' AS section, client, host, size, share, {cpu} AS title FROM w1",
+        "SELECT 2, 'cpu_client_share', client, CAST(NULL AS VARCHAR), size, share, "
+        "'Total Percentage Usage per Host in 1 month' FROM w2",
+        f"SELECT 3, 'mem_host_share', client, host, size, share, {mem} FROM w3",
+        f"SELECT 4, 'disk_host_share', client, host, size, share, {disk} FROM w4",
     ])
     return _q(ctes, f"SELECT CAST(section_no AS INTEGER) AS section_no, section, client, host, "
-                    f"size, share FROM ({sel}) u")
+                    f"size, share, title FROM ({sel}) u")
 
 
 def _distinct_parts(section: str) -> str:
@@ -274,12 +284,12 @@ def oracle_sql() -> dict[str, str]:
         "disk_host_avg": _q("", _host_size("disk_writes_avg", "avg")),
         "cpu_client_sum": _q("", _CLIENT_SIZE),
         "cpu_host_share": _q(f"s AS ({_host_size('cpu_pct', 'sum')})",
-                             _share("s", "client, host", "client")),
+                             _share("s", "client, host", "client", "sum")),
         "mem_host_share": _q(f"s AS ({_host_size('mem_pct', 'avg')})",
-                             _share("s", "client, host", "client")),
+                             _share("s", "client, host", "client", "avg")),
         "disk_host_share": _q(f"s AS ({_host_size('disk_writes_avg', 'avg')})",
-                              _share("s", "client, host", "client")),
-        "cpu_client_share": _q(f"s AS ({_CLIENT_SIZE})", _share("s", "client", "")),
+                              _share("s", "client, host", "client", "avg")),
+        "cpu_client_share": _q(f"s AS ({_CLIENT_SIZE})", _share("s", "client", "", "sum")),
         "client_report_cpu": _cpu_report(),
         "client_report_mem": _mem_report(),
         "client_report_disk": _disk_report(),

@@ -2,11 +2,11 @@
 
 A report is a long table instead of a PDF: every chart's series becomes rows
 
-    client, host, disk, section, x, y, y2
+    client, host, disk, section, x, x_label, y, y2, title
 
 and the overall report stacks the share tables
 
-    section_no, section, client, host, size, share.
+    section_no, section, client, host, size, share, title.
 
 Each metric family is scanned **once**: ``family_rollup`` computes partial sums
 per server name and bucket for every section the reports need (hourly, weekly,
@@ -20,19 +20,19 @@ cut, and join planning sees its real size.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope import schema as S
+from fleetscope.functions import keys as K
 from fleetscope.operators import membership as M
 from fleetscope.operators import profiles as P
 from fleetscope.operators import shares as W
-from fleetscope.sources.scratch import drop, materialize, materialize_all
-from fleetscope.sources.sinks import write_table
+from fleetscope.sources.scratch import materialize, materialize_all, scope
+from fleetscope.sources.sinks import CHART_KEYS, finished, missing, read_written, write_table
 
-REPORT_COLUMNS = ["client", "host", "disk", "section", "x", "y", "y2"]
-OVERALL_COLUMNS = ["section_no", "section", "client", "host", "size", "share"]
 DATE_SECTIONS = ("hourly", "weekly", "monthly")
 
 # Sections of the overall report, in page order.
@@ -81,6 +81,20 @@ def _rows(df: DataFrame, section, x=None, y="y", y2=None, disk=None) -> DataFram
         lit_or_col(y2, "double").alias("y2"))
 
 
+REPORT_COLUMNS = ["client", "host", "disk", "section", "x", "x_label", "y", "y2", "title"]
+OVERALL_COLUMNS = ["section_no", "section", "client", "host", "size", "share", "title"]
+
+
+def chart_title(family: S.MetricFamily) -> Column:
+    """Title of a report row's chart, from client, host, disk and section (P10)."""
+    c, h, d = F.col("client"), F.col("host"), F.upper(F.col("disk"))
+    out = F.when(F.col("section") == "share", F.format_string(SHARE_TITLE_FORMATS[family.name], c))
+    for chart, fmt in TITLE_FORMATS[family.name]:
+        args = (c, h, d) if family.has_disk else (c, h)
+        out = out.when(F.col("section") == chart, F.format_string(fmt, *args))
+    return out.when(F.col("section") == "total", F.lit(TOTAL_LABEL))
+
+
 def client_report(facts: DataFrame | None, family: S.MetricFamily, match: str = "contains",
                   exact_scale: int | None = None, rolled: DataFrame | None = None,
                   materialize_rollup: bool = True, report_date: str | None = None) -> DataFrame:
@@ -93,7 +107,8 @@ def client_report(facts: DataFrame | None, family: S.MetricFamily, match: str =
     * disk: ``share`` per host (mean disk writes), then per disk the hourly
       ``writes`` and ``reads`` charts (y = mean of AVG, y2 = mean of MAX).
 
-    ``report_date`` (optional) adds the date shown on the report's title page.
+    ``title`` is the chart's title, ``x_label`` the weekday of the weekly series.
+    ``report_date`` (optional) adds the heading and date of the report's title page.
     """
     if rolled is None:
         rolled = family_rollup(facts, family, exact_scale, processor_total=False)
@@ -107,9 +122,13 @@ def client_report(facts: DataFrame | None, family: S.MetricFamily, match: str =
         share = W.host_share(None, family.share_metric, family.share_agg, match, exact_scale,
                              members=hm, rolled=rolled.select(S.SERVER, "section", "x", "s0", "n0"))
         parts = [_rows(share, "share", y="size", y2="share")]
-        for i, (chart, _, _) in enumerate(S.DISK_CHARTS):
-            parts.append(_rows(prof, chart, x="x", y="y" if i == 0 else f"y{2 * i + 1}",
-                               y2=f"y{2 * i + 2}", disk="disk"))
+        # both charts come from one merged row, so membership is built and joined once
+        ys = ["y"] + [f"y{i}" for i in range(2, 2 * len(S.DISK_CHARTS) + 1)]
+        charts = F.array(*[F.struct(F.lit(chart).alias("chart"), F.col(ys[2 * i]).alias("ya"),
+                                    F.col(ys[2 * i + 1]).alias("yb"))
+                           for i, (chart, _, _) in enumerate(S.DISK_CHARTS)])
+        each = prof.select("client", "host", "disk", "x", F.inline(charts))
+        parts.append(_rows(each, F.col("chart"), x="x", y="ya", y2="yb", disk="disk"))
     else:
         prof = P.profiles(None, family_metrics(family), DATE_SECTIONS, "host", match,
                           exact_scale, members=hm, rolled=rolled)
@@ -124,17 +143,23 @@ def client_report(facts: DataFrame | None, family: S.MetricFamily, match: str =
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    label = F.when(F.col("section") == "weekly", K.day_label("x"))
+    out = out.withColumns({"x_label": label, "title": chart_title(family)}).select(*REPORT_COLUMNS)
     if report_date is not None:  # the reference prints a fixed date on every title page
-        out = out.withColumn("report_date", F.lit(report_date))
+        out = out.withColumns({"report_heading": F.format_string(REPORT_HEADINGS[family.name], F.col("client")),
+                               "report_date": F.lit(report_date)})
     return out
 
 
 def overall_report(cpu: DataFrame | None, mem: DataFrame | None, disk: DataFrame | None,
                    match: str = "contains", exact_scale: int | None = None,
-                   rolled: dict[str, DataFrame] | None = None,
-                   materialize_rollup: bool = True) -> DataFrame:
+                   rolled: dict[str, DataFrame] | None = None, materialize_rollup: bool = True,
+                   report_date: str | None = None) -> DataFrame:
     """Every client's host shares of CPU, the clients' CPU shares, and the host
-    shares of memory and disk, stacked in page order (R2)."""
+    shares of memory and disk, stacked in page order (R2).
+
+    ``title`` is the section's title; ``report_date`` adds the heading and date of the title page.
+    """
     rolled = dict(rolled or {})
     facts = {"cpu": cpu, "mem": mem, "disk": disk}
     todo = {f"rollup-{fam.name}": family_rollup(facts[fam.name], fam, exact_scale, sections=())
@@ -143,8 +168,12 @@ def overall_report(cpu: DataFrame | None, mem: DataFrame | None, disk: DataFrame
         todo = materialize_all(todo)
     rolled.update({k.removeprefix("rollup-"): v for k, v in todo.items()})
     cpu_r = rolled["cpu"]
-    cpu_hm = M.host_members(cpu_r, match)
-    cpu_cm = M.client_members(cpu_r, match)
+    if match == "contains":  # one table of names and clients serves both CPU sections
+        rows = M.client_rows(cpu_r)
+        rows = materialize(rows, "members-cpu") if materialize_rollup else rows
+        cpu_cm, cpu_hm = rows.select(S.SERVER, "client"), M.host_members(cpu_r, match, members=rows)
+    else:
+        cpu_cm, cpu_hm = M.client_members(cpu_r, match), M.host_members(cpu_r, match)
     parts = {
         "cpu_host_share": W.host_share(None, S.CPU, "sum", match, exact_scale,
                                        members=cpu_hm, rolled=cpu_r),
@@ -161,55 +190,103 @@ def overall_report(cpu: DataFrame | None, mem: DataFrame | None, disk: DataFrame
     out = None
     for no, name in OVERALL_SECTIONS:
         p = parts[name].select(F.lit(no).alias("section_no"), F.lit(name).alias("section"),
-                               "client", "host", "size", "share")
+                               "client", "host", "size", "share", F.lit(OVERALL_TITLES[no]).alias("title"))
         out = p if out is None else out.unionByName(p)
+    if report_date is not None:
+        out = out.withColumns({"report_heading": F.lit(OVERALL_HEADING), "report_date": F.lit(report_date)})
     return out.orderBy("section_no", "client", "host")
 
 
+# --- which charts a job has to write ------------------------------------------------------
+
+def _charts(names: DataFrame, family: S.MetricFamily, match: str) -> DataFrame:
+    """``(client, host, disk, section)`` of every chart of a family's client reports."""
+    null = F.lit(None).cast("string").alias("disk")
+
+    def each(keys: DataFrame, disk, sections) -> DataFrame:
+        return keys.select("client", "host", disk, F.explode(F.array(*map(F.lit, sections))).alias("section"))
+
+    hosts = M.hosts(names, match)
+    if not family.has_disk:
+        return each(hosts, null, (*DATE_SECTIONS, "total" if family.name == "cpu" else "share"))
+    return each(hosts, null, ("share",)).union(
+        each(M.disks(names, match), F.col("disk"), [c for c, _, _ in S.DISK_CHARTS]))
+
+
+def _overall_charts(names: dict[str, DataFrame], match: str) -> DataFrame:
+    """``(section_no, client, host)`` of every row of the overall report."""
+    parts = []
+    for no, section in OVERALL_SECTIONS:
+        family = section.split("_")[0]
+        keys = (M.clients(names[family]).withColumn("host", F.lit(None).cast("string"))
+                if section == "cpu_client_share" else M.hosts(names[family], match))
+        parts.append(keys.select(F.lit(no).alias("section_no"), "client", "host"))
+    return reduce(DataFrame.union, parts)
+
+
+def _lacking(spark: SparkSession, path: str, wanted: DataFrame) -> bool:
+    """Whether the table at ``path`` lacks any of the wanted charts."""
+    if not finished(spark, path):
+        return True
+    written = read_written(spark, path, wanted.schema)
+    return not missing(wanted, written, wanted.columns).isEmpty()
+
+
 def write_reports(cpu: DataFrame, mem: DataFrame, disk: DataFrame, out_dir: str,
                   match: str = "contains", exact_scale: int | None = None,
                   force: bool = True, report_date: str | None = None) -> dict[str, str]:
     """The whole job: one rollup per family, three client reports, one overall.
 
     Client reports are written partitioned by client (S5), each client's files
-    ordered by host, disk, section and x.  Returns the paths.
+    ordered by host, disk, section and x.  Without ``force`` only charts that are not there
+    yet are written: the wanted charts follow from the distinct names alone, families that lack
+    none get no rollup, and a job that lacks nothing ends there.  Returns the paths.
     """
+    spark, root = cpu.sparkSession, out_dir.rstrip("/")
+    families = (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY)
     facts = {"cpu": cpu, "mem": mem, "disk": disk}
-    todo = {fam.name: family_rollup(facts[fam.name], fam, exact_scale)
-            for fam in (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY)}
-    scratch: dict[str, str] = {}
-    rolled = materialize_all(todo, scratch)
-    root = out_dir.rstrip("/")
-    outputs = {}  # name -> (DataFrame, path, partition columns)
-    for fam in (S.CPU_FAMILY, S.MEM_FAMILY, S.DISK_FAMILY):
-        rep = client_report(None, fam, match, exact_scale, rolled=rolled[fam.name],
-                            report_date=report_date)
-        outputs[fam.name] = (rep.sortWithinPartitions("client", "host", "disk", "section", "x"),
-                             f"{root}/client_report_{fam.name}", ("client",))
-    outputs["overall"] = (overall_report(None, None, None, match, exact_scale, rolled=rolled),
-                          f"{root}/overall_report", ())
-
-    def write(name: str) -> None:  # the four jobs are independent: run them side by side
-        df, path, parts = outputs[name]
-        write_table(df, path, force=force, partition_by=parts)
-
-    with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
-        for f in [pool.submit(write, name) for name in outputs]:
-            f.result()
-    drop(cpu.sparkSession, scratch.values())  # every job reading the rollups has run
-    return {name: path for name, (_, path, _) in outputs.items()}
-
-
-def to_pandas_checked(df: DataFrame, max_rows: int = 1_000_000):
-    """Fetch a final, small result (a chart's series) to the driver.
-
-    Raises instead of silently truncating when the result is larger than
-    ``max_rows``; use it on aggregates, never on fact rows.
+    paths = {fam.name: f"{root}/client_report_{fam.name}" for fam in families}
+    paths["overall"] = f"{root}/overall_report"
+    with scope(spark):
+        todo = set(paths)
+        if not force and any(finished(spark, p) for p in paths.values()):
+            names = materialize_all({fam.name: facts[fam.name].select(
+                *P.name_keys("disk" if fam.has_disk else "host")).distinct() for fam in families})
+            todo = {fam.name for fam in families
+                    if _lacking(spark, paths[fam.name], _charts(names[fam.name], fam, match))}
+            if _lacking(spark, paths["overall"], _overall_charts(names, match)):
+                todo.add("overall")
+        need = [fam for fam in families if fam.name in todo or "overall" in todo]
+        rolled = materialize_all({fam.name: family_rollup(
+            facts[fam.name], fam, exact_scale, report_sections(fam) if fam.name in todo else ())
+            for fam in need})
+        outputs = {fam.name: (client_report(None, fam, match, exact_scale, rolled=rolled[fam.name],
+                                            report_date=report_date), ("client",), CHART_KEYS)
+                   for fam in need if fam.name in todo}
+        if "overall" in todo:
+            outputs["overall"] = (overall_report(None, None, None, match, exact_scale, rolled=rolled,
+                                                 report_date=report_date), (), ("section_no", "client", "host"))
+
+        def write(name: str) -> None:  # the jobs are independent: run them side by side
+            df, parts, keys = outputs[name]
+            write_table(df, paths[name], force=force, partition_by=parts, keys=keys)
+
+        if outputs:
+            with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
+                for f in [pool.submit(write, name) for name in outputs]:
+                    f.result()
+    return paths
+
+
+def chart_series(report: DataFrame, client: str, host: str, section: str, disk: str | None = None):
+    """One chart's points as a pandas table, ordered by x.
+
+    A chart has at most one point for each hour, weekday or day of the month, which bounds
+    what reaches the driver; anything larger is for a sink.
     """
-    pdf = df.limit(max_rows + 1).toPandas()
-    if len(pdf) > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; write it with a sink instead")
-    return pdf
+    one = report.where((F.col("client") == client) & (F.col("host") == host)
+                       & (F.col("section") == section) & F.col("disk").eqNullSafe(F.lit(disk)))
+    return one.select("x", "x_label", "y", "y2").orderBy("x").toPandas()
 
 
 def titles(host_keys: DataFrame, family: S.MetricFamily,
@@ -266,6 +343,10 @@ SHARE_TITLE_FORMATS = {
     "mem": "Percentage Memory Usage for %s in 1 month",
     "disk": "Percentage Disk Usage for %s in 1 month",
 }
+# heading of a report's title page, and the label of the total under a host's charts
+REPORT_HEADINGS = {"cpu": "%s CPU Report", "mem": "%s Memory Report", "disk": "%s Disk Report"}
+OVERALL_HEADING = "Overall Report"
+TOTAL_LABEL = "Total Processor Time"
 # section titles of the overall report, by section number
 OVERALL_TITLES = {
     1: "Percentage CPU usage of every client's hosts",

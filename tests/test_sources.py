@@ -87,12 +87,146 @@ def test_sql_view_and_cached_scan(spark):
     assert not spark.catalog.isCached("t_cached")
 
 
+def land(rows, name="land.csv"):
+    path = fresh(name)
+    with open(path, "w") as f:
+        f.write("\n".join(rows) + "\n")
+    return path
+
+
+def test_csv_columns_are_taken_by_name(spark):
+    import pytest
+
+    want = [("acm-a1", 5, "_Total", 7.5)]
+    reordered = land([f"{S.SRC_TIME},{S.SRC_SERVER},{S.SRC_CPU},{S.SRC_PROCESSOR}", "2024-01-01 05:00:00,acm-a1,7.5,_Total"])
+    extra = land([f"rack,{S.SRC_SERVER},{S.SRC_TIME},note,{S.SRC_PROCESSOR},{S.SRC_CPU}", "r1,acm-a1,2024-01-01 05:00:00,n,_Total,7.5"])
+    for path in (reordered, extra):
+        df = RD.read_metrics(spark, path, S.CPU_FAMILY, fmt="csv")
+        assert [(r.server_name, r.hr_time.hour, r.processor, r.cpu_pct) for r in df.collect()] == want
+    assert RD.read_metrics(spark, extra, S.CPU_FAMILY, fmt="csv").columns == [*S.CPU_FAMILY.columns, "rack", "note"]
+    with pytest.raises(ValueError, match="lacks"):
+        RD.read_metrics(spark, land([f"{S.SRC_SERVER},{S.SRC_TIME},{S.SRC_CPU}", "a,b,1"]), S.CPU_FAMILY, fmt="csv")
+    with pytest.raises(Exception):  # a second file with another header is refused, not shifted
+        folder = fresh("two")
+        os.makedirs(folder)
+        for i, src in enumerate((reordered, extra)):
+            os.link(src, f"{folder}/{i}.csv")
+        RD.read_metrics(spark, folder, S.CPU_FAMILY, fmt="csv").collect()
+
+
+def test_stream_takes_csv_columns_by_name(spark):
+    folder, table, ckpt = fresh("landing"), fresh("table"), fresh("ckpt")
+    os.makedirs(folder)
+    os.link(land([f"{S.SRC_CPU},note,{S.SRC_SERVER},{S.SRC_PROCESSOR},{S.SRC_TIME}", "7.5,n,acm-a1,0,2024-01-01 05:00:00"]), f"{folder}/1.csv")
+    ingest_stream(spark, folder, table, ckpt, S.CPU_FAMILY)
+    (r,) = I.read_table(spark, table, S.CPU_FAMILY, extras=True).collect()
+    assert (r.server_name, r.hr_time.hour, r.processor, r.cpu_pct, r.note) == ("acm-a1", 5, "0", 7.5, "n")
+
+
+def test_time_text_does_not_depend_on_the_session_zone(spark):
+    path = land([f"{S.SRC_SERVER},{S.SRC_TIME},{S.SRC_PROCESSOR},{S.SRC_CPU}", "acm-a1,2024-03-10 02:00:00,0,1"])
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = RD.read_metrics(spark, path, S.CPU_FAMILY, fmt="csv")
+        assert df.select(F.hour(S.TIME)).first()[0] == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_batch_and_stream_feed_one_table(spark):
+    src = cpu_source(spark).limit(5).cache()
+    landing, table, ckpt = fresh("landing"), fresh("table"), fresh("ckpt")
+    I.write_landing(src.limit(3), landing + "/a")
+    I.write_landing(src.limit(2), landing + "-s/b")
+    I.ingest_append(spark, landing + "/a", table, S.CPU_FAMILY)
+    ingest_stream(spark, landing + "-s/*", table, ckpt, S.CPU_FAMILY)
+    assert I.read_table(spark, table, S.CPU_FAMILY).count() == 5
+    I.ingest_append(spark, landing + "/a", table, S.CPU_FAMILY)
+    ingest_stream(spark, landing + "-s/*", table, ckpt, S.CPU_FAMILY)
+    assert I.read_table(spark, table, S.CPU_FAMILY).count() == 8
+    src.unpersist()
+
+
+def test_a_retried_load_replaces_its_rows(spark):
+    rows = RD.clean(cpu_source(spark).limit(4))
+    table = fresh("table")
+    for _ in range(2):
+        I.write_load(rows, table, "stream-x-0")
+    assert I.read_table(spark, table, S.CPU_FAMILY).count() == 4
+
+
+def test_files_follow_the_data_and_not_tasks_times_days(spark):
+    src = cpu_source(spark).repartition(12)
+    landing, table = fresh("landing"), fresh("table")
+    I.write_landing(src, landing)
+    I.ingest_append(spark, landing, table, S.CPU_FAMILY)
+    days = src.select(F.to_date(S.SRC_TIME)).distinct().count()
+    files = [f for _, _, names in os.walk(table) for f in names if f.endswith(".parquet")]
+    assert days <= len(files) <= days + 2
+
+
+def test_dedupe_sees_further_columns(spark):
+    head = f"{S.SRC_SERVER},{S.SRC_TIME},{S.SRC_PROCESSOR},{S.SRC_CPU},core"
+    path = land([head] + ["acm-a1,2024-01-01 05:00:00,0,1,1", "acm-a1,2024-01-01 05:00:00,0,1,2", "acm-a1,2024-01-01 05:00:00,0,1,2"])
+    table = fresh("table")
+    I.ingest_append(spark, path, table, S.CPU_FAMILY)
+    assert RD.read_metrics(spark, path, S.CPU_FAMILY, fmt="csv", dedupe=True).count() == 2
+    assert I.read_table(spark, table, S.CPU_FAMILY, dedupe=True).count() == 2
+    assert I.read_table(spark, table, S.CPU_FAMILY).count() == 3
+
+
+def test_cached_block_releases(spark):
+    with RD.cached(spark, spark.range(10), "t_block") as df:
+        assert df.count() == 10 and spark.catalog.isCached("t_block")
+    assert not spark.catalog.isCached("t_block")
+
+
+def test_sink_keeps_odd_clients_and_skips_chart_by_chart(spark):
+    schema = "client string, host string, section string, x int, y double"
+    one = spark.createDataFrame([("acm", "a", "hourly", 1, 1.0), ("", "a", "hourly", 1, 2.0), ("001", "", "hourly", 1, 3.0),
+                                 (None, "a", "hourly", 1, 4.0)], schema)
+    path = fresh("chart")
+    os.makedirs(path)  # what a failed first run may leave
+    SK.write_table(one, path, force=False)
+    back = SK.read_written(spark, path, one.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, one.collect()))
+    assert "client" in spark.read.parquet(path).columns
+    assert {r["client"] for r in spark.read.parquet(path).collect()} == {"acm", "", "001", None}
+    two = spark.createDataFrame([("acm", "a", "hourly", 1, 9.0), ("bet", "a", "hourly", 1, 5.0), ("acm", "a", "weekly", 1, 6.0),
+                                 (None, "a", "hourly", 1, 7.0)], schema)
+    SK.write_table(two, path, force=False)
+    got = {(r.client, r.section, r.y) for r in SK.read_written(spark, path, one.schema).collect()}
+    assert got == {("acm", "hourly", 1.0), ("", "hourly", 2.0), ("001", "hourly", 3.0), (None, "hourly", 4.0),
+                   ("bet", "hourly", 5.0), ("acm", "weekly", 6.0)}
+
+
+def test_submitted_settings_are_kept():
+    import subprocess
+    import sys
+
+    from tests.conftest import ROOT
+
+    code = ("from pyspark import SparkConf\n"
+            "from fleetscope.session import get_session\n"
+            "s = get_session('local[1]')\n"
+            "print(s.conf.get('spark.sql.session.timeZone'), s.conf.get('spark.sql.adaptive.coalescePartitions.minPartitionSize'),"
+            " s.conf.get('spark.sql.adaptive.skewJoin.enabled'))\n"
+            "t = get_session()\n"
+            "print(t.conf.get('spark.sql.session.timeZone'))\n")
+    env = dict(os.environ, PYTHONPATH=ROOT, PYSPARK_SUBMIT_ARGS="--conf spark.sql.session.timeZone=Asia/Tokyo "
+               "--conf spark.sql.adaptive.coalescePartitions.minPartitionSize=7m --conf spark.ui.enabled=false pyspark-shell")
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
+    lines = [line for line in out.stdout.splitlines() if line.startswith("Asia")]
+    assert lines == ["Asia/Tokyo 7m true", "Asia/Tokyo"], out.stdout + out.stderr[-1500:]
+
+
 def test_sink_modes(spark):
     a = spark.createDataFrame([("acm", "a", 1, 1.0)], "client string, host string, x int, y double")
     b = spark.createDataFrame([("bet", "b", 2, 2.0)], "client string, host string, x int, y double")
     path = fresh("chart")
     SK.write_table(a, path, force=False)
-    SK.write_table(b, path, force=False)
+    SK.write_table(a.withColumn("y", F.lit(5.0)), path, force=False)  # the chart is there
     back = SK.read_written(spark, path, a.schema)
     assert [tuple(r) for r in back.collect()] == [("acm", "a", 1, 1.0)]
     SK.write_table(b, path, force=True)
@@ -106,5 +240,6 @@ def test_scratch_fallback_only_for_local_masters():
     from fleetscope.session import _local_fallback
 
     assert os.path.isdir(_local_fallback("local[4]"))
-    with pytest.raises(RuntimeError):
-        _local_fallback("yarn")
+    for master in ("yarn", None, "", "spark://h:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            _local_fallback(master)
