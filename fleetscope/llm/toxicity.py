@@ -8,8 +8,10 @@ thousand words, give its score through a logistic curve.
 
 ``learn`` builds the lexicon from a bounded sample of labelled rows (``TRAIN_ROWS``):
 Spark counts, for every word and word beginning, the toxic and other documents that hold it;
-a gram enters if its log-likelihood ratio against the labels is at least ``LEAST_LLR``
-beyond the documents that stronger entries already cover.  Its weight is its log odds.
+a gram enters if it is ``LEAST_RATIO`` times as frequent in toxic documents and its
+log-likelihood ratio against the labels is at least ``LEAST_LLR`` beyond what the entries nested
+with it explain.  Its weight is its log odds.  Copies of one toxic document count as one there,
+else every word of theirs would look like an entry.
 
 Nulls and ties: null or empty text has no hit and the lowest score.  Labels that are null
 or belong to no document are not learned from; a document labelled twice counts once for each
@@ -26,15 +28,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetscope.llm.common import bounded_batches, held_out, tables
+from fleetscope.llm.common import bounded_batches, held_out, mix64, tables
 
 TRAIN_ROWS = 12_000     # labelled rows a model is fitted on, those of the smallest id hashes
 MAX_ENTRIES = 5_000     # entries of a lexicon: bounds what each task receives
 LEAST_LLR = 30.0
+LEAST_RATIO = 12.0      # how much more often an entry stands in toxic documents
 STEMS = range(4, 9)     # letters of word beginnings that may become entries
 THRESHOLD = 0.3
 
@@ -139,31 +143,52 @@ def _llr(pos, neg, n_pos, n_neg):
     return np.where(a > p, 2 * (of(a, pos, k) + of(b, n_pos - pos, n - k) - of(p, n_pos, n)), 0.0)
 
 
-def _cover(grams: dict[str, tuple[int, int]], docs: list[list[str]], n_pos: int, n_neg: int) -> list[str]:
-    """Entries, strongest first, each strong enough on the toxic documents not yet covered."""
+def _bands(text: str) -> list[int]:
+    """Eight hashes, each of two minima over the text's words; copies share some of them."""
+    h = np.array([xxhash.xxh3_64_intdigest(w) for w in set(fold(text).split())] or [0], np.uint64)
+    low = [int(mix64(h ^ np.uint64(i + 1)).min()) for i in range(16)]
+    return [xxhash.xxh3_64_intdigest(f"{i} {a} {b}") >> 1 for i, (a, b) in enumerate(zip(low[::2], low[1::2], strict=True))]
+
+
+def _apart(docs: list[tuple[list[int], list[str]]]) -> list[list[str]]:
+    """The grams of documents that share no band with an earlier one."""
+    seen, out = set(), []
+    for bands, grams in docs:
+        if not seen & set(bands):
+            out.append(grams)
+        seen |= set(bands)
+    return out
+
+
+def _select(grams: dict[str, tuple[int, int]], docs: list[list[str]], n_neg: int) -> list[str]:
+    """Entries, strongest first.
+
+    A gram must be strong on the documents (copies apart) that no entry nested with it
+    covers: of a word, its beginnings and longer words with the same beginning, the strongest
+    stands for all, and others enter only by what they add.
+    """
     holders = {g: set() for g in grams}
     for d, gs in enumerate(docs):
         for g in gs:
             holders[g].add(d)
     names = list(grams)
     neg = np.array([grams[g][1] for g in names], float)
-    left = np.array([len(holders[g]) for g in names], float)
-    open_, chosen, of_doc = set(range(len(docs))), [], {}
-    for i, g in enumerate(names):
-        for d in holders[g]:
-            of_doc.setdefault(d, []).append(i)
-    size = np.array([len(g) for g in names])
-    while open_ and len(chosen) < MAX_ENTRIES:
-        value = _llr(left, neg, n_pos, n_neg)
-        best = value.max(initial=0)
-        if best < LEAST_LLR:
-            break
-        i = max(np.flatnonzero(value >= best - 1e-9), key=lambda k: (size[k], names[k]))
+    value = _llr(np.array([len(holders[g]) for g in names], float), neg, len(docs), n_neg)
+    chosen, inner, by_core = [], {}, {}
+    for i in sorted(np.flatnonzero(value >= LEAST_LLR), key=lambda k: (-value[k], -len(names[k]), names[k])):
+        core = names[i].strip()
+        starts = [core[:k] for k in range(1, len(core) + 1)]
+        # entries this gram extends, and entries that extend it
+        nested = {e for c in starts for e in by_core.get(c, ()) if e[-1] != " " or c == core} | inner.get(core, set())
+        left = holders[names[i]].difference(*(holders[e] for e in nested))
+        if nested and _llr(np.array([float(len(left))]), neg[i:i + 1], len(docs), n_neg)[0] < LEAST_LLR:
+            continue
         chosen.append(names[i])
-        for d in holders[names[i]] & open_:
-            open_.discard(d)
-            for k in of_doc[d]:
-                left[k] -= 1
+        by_core.setdefault(core, set()).add(names[i])
+        for c in starts:
+            inner.setdefault(c, set()).add(names[i])
+        if len(chosen) == MAX_ENTRIES:
+            break
     return chosen
 
 
@@ -203,16 +228,18 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
     least = max(2, math.ceil(LEAST_LLR / (2 * math.log((n_pos + n_neg) / n_pos)))) if n_pos < n_pos + n_neg else 2
     counts = (train.mapInArrow(_count, "gram string, pos long, neg long")
               .groupBy("gram").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-              .where((F.col("pos") >= least) & (F.col("pos") * n_neg > F.col("neg") * n_pos * 3)))
+              .where((F.col("pos") >= least) & (F.col("pos") * n_neg > F.col("neg") * n_pos * LEAST_RATIO)))
     rows_ = [r for r in counts.toLocalIterator() if _llr(float(r["pos"]), float(r["neg"]), n_pos, n_neg) >= LEAST_LLR]
     grams = {r["gram"]: (r["pos"], r["neg"]) for r in rows_}
 
     def held(batches):
         for (texts,) in tables(batches, "text"):
-            yield pa.RecordBatch.from_arrays([pa.array([sorted(_grams(t) & grams.keys()) for t in texts], pa.list_(pa.string()))], ["g"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_bands(t) for t in texts], pa.list_(pa.int64())),
+                 pa.array([sorted(_grams(t) & grams.keys()) for t in texts], pa.list_(pa.string()))], ["bands", "grams"])
 
-    toxic = [r["g"] for r in train.where("toxic = 1").select("text").mapInArrow(held, "g array<string>").collect()]
-    for g in _cover(grams, sorted(toxic), n_pos, n_neg):
+    toxic = train.where("toxic = 1").select("text").mapInArrow(held, "bands array<long>, grams array<string>").collect()
+    for g in _select(grams, _apart(sorted((list(r["bands"]), list(r["grams"])) for r in toxic)), n_neg):
         pos, neg = grams[g]
         lexicon.entries[g] = math.log((pos + 0.5) / (n_pos + 1)) - math.log((neg + 0.5) / (n_neg + 1))
 
