@@ -16,8 +16,9 @@ alike (locality-sensitive).
    below the threshold go.  The rest is confirmed on full shingle sets.
 4. Confirmed links are contracted to components.  A bucket that still spans several
    components compares every pair across them, in blocks of registers: members
-   outside the bucket's largest component against all members.  What passes the
-   estimate is confirmed on full sets, and the components are final.
+   outside the bucket's largest component against all members.  Members with a pair
+   that passes the estimate get their full sets, once for each block, and the block
+   confirms its pairs; a component that a member has met is not met again.
 
 A link is lost only if no band of either set agrees, which at the threshold 0.85
 has a probability below 3e-9, or if the estimate is off by five standard errors.
@@ -47,46 +48,88 @@ Q = (1 << 16) - 2       # largest finite register value
 RATE = 20.0             # rate of the first points, so that registers of one-shingle sets stay above 0
 BAND = 6                # registers a band holds
 BANDS = M // BAND
+TEXT_BYTES = 1 << 21    # bytes of text that are split into words together
+SKETCH_SHINGLES, SKETCH_ROWS = 500_000, 2048  # shingles, rows that are sketched together
 PROBE, BUILD = 256, 1024  # block sizes of the comparison across components
 ERRORS = 5.0            # standard errors an estimate may lie below the threshold
 
 
 # --- shingles and registers ---------------------------------------------------
 
-def words(text: str) -> list[bytes]:
-    """Words [^\\x20\\x09-\\x0D]+ of the text with A-Z lower-cased (both hold for bytes)."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
-
-
-class Shingler:
-    """Distinct shingle hashes of a text; word hashes are kept while they are few."""
-
-    def __init__(self, width: int = 5, keep: int = 400_000):
-        self.width, self.keep, self.seen = width, keep, {}
-        self.salt = mix64(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)
-
-    def hashes(self, ws: list[bytes]) -> np.ndarray:
-        seen = self.seen
-        if len(seen) > self.keep:
-            seen.clear()
-        out = []
-        for w in ws:
-            h = seen.get(w)
-            if h is None:
-                h = seen[w] = xxhash.xxh3_64_intdigest(w)
-            out.append(h)
-        return np.array(out, dtype=np.uint64)
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        ws = words(text) if text else []
-        if not ws:
-            return np.empty(0, np.uint64)
-        h, k = self.hashes(ws), min(self.width, len(ws))
-        n = len(ws) - k + 1
-        acc = np.full(n, np.uint64(k))
-        for i in range(k):
-            acc = mix64(acc ^ (h[i:i + n] * self.salt[i]))
-        return np.unique(acc)
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words [^\x20\x09-\x0D]+ of a text with A-Z lower-cased, and where they begin.
+
+    A word's hash is the sum of its bytes times a random number of their place, mixed.
+    """
+    data = np.frombuffer(raw.lower(), np.uint8)  # lower() of bytes changes A-Z only
+    edge = np.diff(np.concatenate(([True], _BLANK[data], [True])).astype(np.int8))
+    first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    if not len(first):
+        return np.empty(0, np.uint64), first
+    size = last - first
+    place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    random = mix64(np.arange(int(size.max()), dtype=np.uint64)) | np.uint64(1)
+    part = (data[~_BLANK[data]].astype(np.uint64) + np.uint64(1)) * random[place]
+    return mix64(np.add.reduceat(part, np.cumsum(size) - size) ^ size.astype(np.uint64)), first
+
+
+def _pieces(raw: bytes) -> Iterator[bytes]:
+    """A very long text in parts that end at a blank."""
+    at = 0
+    while at < len(raw):
+        end = at + TEXT_BYTES
+        if end < len(raw):
+            cut = max(raw.rfind(c, at, end) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
+            if cut <= at:  # no blank in this part: the next one, wherever it is
+                cut = min((k for k in (raw.find(c, end) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")) if k >= 0), default=len(raw))
+            end = cut
+        yield raw[at:end]
+        at = end
+
+
+def _windows(h: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of ``width`` words: their hashes times odd random numbers, so that order counts."""
+    salt = mix64(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)
+    n = len(h) - width + 1
+    acc = np.full(max(n, 0), np.uint64(width))
+    for i in range(width):
+        acc = acc + h[i:i + n] * salt[i] if n > 0 else acc
+    return mix64(acc)
+
+
+def shingle_sets(texts: list[str | None], width: int = 5) -> list[np.ndarray]:
+    """Of each text the sorted hashes of its distinct shingles; fewer words are one shingle, none are none."""
+    raws = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+    out: list[np.ndarray] = [np.empty(0, np.uint64)] * len(raws)
+
+    def put(k: int, own: np.ndarray, runs: np.ndarray) -> None:
+        if len(own):
+            out[k] = np.unique(runs if len(own) >= width else _windows(own, len(own)))
+
+    lo = 0
+    while lo < len(raws):
+        if len(raws[lo]) > TEXT_BYTES:
+            own = np.concatenate([word_hashes(p)[0] for p in _pieces(raws[lo])])
+            put(lo, own, _windows(own, width))
+            lo += 1
+            continue
+        hi, size = lo, 0
+        while hi < len(raws) and len(raws[hi]) <= TEXT_BYTES and (hi == lo or size + len(raws[hi]) <= TEXT_BYTES):
+            size += len(raws[hi]) + 1
+            hi += 1
+        h, first = word_hashes(b" ".join(raws[lo:hi]))
+        starts = np.cumsum([0] + [len(r) + 1 for r in raws[lo:hi]])
+        ends = np.searchsorted(first, starts)
+        runs = _windows(h, width)
+        for k in range(lo, hi):
+            a, b = ends[k - lo], ends[k - lo + 1]
+            put(k, h[a:b], runs[a:max(a, b - width + 1)])
+        lo = hi
+    return out
 
 
 def registers(sets: list[np.ndarray]) -> np.ndarray:
@@ -95,12 +138,16 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     low = np.full(d * M, np.inf)
     seg = np.repeat(np.arange(d), [len(s) for s in sets])
     state = np.concatenate(sets) if d else np.empty(0, np.uint64)
-    x = np.zeros(len(state))
+    x, drawn = np.zeros(len(state)), 0
     live = np.arange(d)
     while len(state):
-        state = mix64(state)
-        x = x - np.log(unit(state)) / M
-        np.minimum.at(low, seg * M + (state & np.uint64(M - 1)).astype(np.int64), x)
+        # a few points at once where few shingles are left, as in short documents
+        many = max(1, min(64, 8192 // len(state)))
+        step = np.arange(drawn + 1, drawn + many + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        z = mix64(state[:, None] + step)
+        points = x[:, None] + np.cumsum(-np.log(unit(z)) / M, axis=1)
+        np.minimum.at(low, (seg[:, None] * M + (z & np.uint64(M - 1)).astype(np.int64)).ravel(), points.ravel())
+        x, drawn = points[:, -1], drawn + many
         top = np.full(d, -1.0)
         top[live] = low.reshape(d, M)[live].max(axis=1)
         on = x < top[seg]
@@ -111,20 +158,29 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shingles = Shingler()
-    for ids, texts, hashes in tables(batches, "doc_id", "text", "th"):
-        sets = [shingles(t) for t in texts]
+    ids, hashes, sets, size = [], [], [], 0
+
+    def out() -> pa.RecordBatch:
         full = [i for i, s in enumerate(sets) if len(s)]
         ck, regs = [None] * len(sets), [None] * len(sets)
-        for lo in range(0, len(full), 200):
-            part = full[lo:lo + 200]
-            for i, r in zip(part, registers([sets[i] for i in part]), strict=True):
-                ck[i], regs[i] = xxhash.xxh3_128_digest(sets[i].tobytes()), r.tobytes()
-        yield pa.RecordBatch.from_arrays(
+        for i, r in zip(full, registers([sets[i] for i in full]), strict=True):
+            ck[i], regs[i] = xxhash.xxh3_128_digest(sets[i].tobytes()), r.tobytes()
+        return pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()),
              pa.array([len(s) for s in sets], pa.int64()), pa.array(ck, pa.binary()), pa.array(regs, pa.binary())],
             ["doc_id", "th", "n", "ck", "regs"])
 
+    for batch_ids, texts, batch_hashes in tables(batches, "doc_id", "text", "th"):
+        for i, x, h in zip(batch_ids, shingle_sets(texts), batch_hashes, strict=True):
+            ids.append(i)
+            hashes.append(h)
+            sets.append(x)
+            size += len(x)
+            if size >= SKETCH_SHINGLES or len(sets) >= SKETCH_ROWS:
+                yield out()
+                ids, hashes, sets, size = [], [], [], 0
+    yield out()
+
 
 def sketch(docs: DataFrame) -> DataFrame:
     """(doc_id, th, n, ck, regs) per row: text hash, set size, set hash, registers."""
@@ -173,35 +229,128 @@ def _estimate(least: float):
     return run
 
 
+_GROUP = ["band", "key", "pb", "bb"]
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Whole groups of rows with equal _GROUP, which stand together: one table for each batch."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([*held, b])
+        ends = _starts(t)
+        if len(ends) > 1:  # the last group may go on
+            yield t.slice(0, int(ends[-1])).combine_chunks()
+            t = t.slice(int(ends[-1]))
+        held = t.combine_chunks().to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _starts(t: pa.Table) -> np.ndarray:
+    keys = np.stack([t.column(c).to_numpy() for c in _GROUP])
+    return np.flatnonzero(np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(0))))
+
+
 def _across(least: float):
-    """Pairs of one block that lie in different components, may be links and share no earlier band."""
-    def run(key, pdf):
-        import pandas as pd
-        band, out = int(key[0]), []
-        regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(-1, M)
-        ck, root, n = pdf["ck"].to_numpy(), pdf["root"].to_numpy(), pdf["n"].to_numpy()
-        probe, build = np.flatnonzero(pdf["probe"]), np.flatnonzero(~pdf["probe"])
-        outer = pdf["outer"].to_numpy()
-        for i in probe:
-            j = build[(root[build] != root[i]) & (~outer[build] | (ck[build] > ck[i]))]
-            if not len(j):
+    """Of each group: members with partners in other components that may be links.
+
+    A pair counts in the first band it shares only.  Probes carry the list of their
+    partners' places among the group's members.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches):
+            regs = np.frombuffer(b"".join(t.column("regs").to_pylist()), np.uint16).reshape(-1, M)
+            ck, root = np.array(t.column("ck").to_pylist(), object), np.array(t.column("root").to_pylist(), object)
+            _, ck_no = np.unique(ck, return_inverse=True)
+            _, root_no = np.unique(root, return_inverse=True)
+            n, probe, outer = (t.column(c).to_numpy() for c in ("n", "probe", "outer"))
+            band = t.column("band").to_numpy()
+            ends = np.append(_starts(t), t.num_rows)
+            pending, size, hits = [], 0, []
+
+            def evaluate():
+                i, j = (np.concatenate(x) for x in zip(*pending, strict=True))
+                for lo in range(0, len(i), 8192):
+                    a, b = i[lo:lo + 8192], j[lo:lo + 8192]
+                    same = (regs[a] == regs[b])[:, :BANDS * BAND].reshape(len(a), BANDS, BAND).all(2)
+                    first = same.argmax(1) == band[a]
+                    a, b = a[first], b[first]
+                    if len(a):
+                        ra, rb = regs[a], regs[b]
+                        ok = plausible((ra > rb).sum(1), (ra < rb).sum(1), n[a], n[b], least)
+                        hits.append((a[ok], b[ok]))
+
+            for lo, hi in zip(ends[:-1], ends[1:], strict=True):
+                p, b = lo + np.flatnonzero(probe[lo:hi]), lo + np.flatnonzero(~probe[lo:hi])
+                if not len(p) or not len(b):
+                    continue
+                i, j = np.repeat(p, len(b)), np.tile(b, len(p))
+                on = (root_no[i] != root_no[j]) & (~outer[j] | (ck_no[j] > ck_no[i]))
+                if on.any():
+                    pending.append((i[on], j[on]))
+                    size += int(on.sum())
+                if size >= 65_536:
+                    evaluate()
+                    pending, size = [], 0
+            if pending:
+                evaluate()
+            if not hits:
                 continue
-            eq = regs[j, :band * BAND] == regs[i, :band * BAND]
-            j = j[~eq.reshape(len(j), band, BAND).all(2).any(1)]
-            if len(j):
-                more, less = (regs[i] > regs[j]).sum(1), (regs[i] < regs[j]).sum(1)
-                j = j[plausible(more, less, np.full(len(j), n[i]), n[j], least)]
-                out += [(ck[i], ck[k]) for k in j]
-        return pd.DataFrame(out, columns=["a", "b"])
+            i, j = (np.concatenate(x) for x in zip(*hits, strict=True))
+            rows = np.unique(np.concatenate((i, j)))
+            mates: dict[int, list[bytes]] = {}
+            for a, b in zip(i.tolist(), j.tolist(), strict=True):
+                mates.setdefault(a, []).append(ck[b])
+            yield pa.RecordBatch.from_arrays(
+                [*(t.column(c).take(rows).combine_chunks() for c in (*_GROUP, "ck", "root")),
+                 pa.array([mates.get(r, []) for r in rows.tolist()], pa.list_(pa.binary()))],
+                [*_GROUP, "ck", "root", "mates"])
+    return run
+
+
+def _links(num: int, den: int):
+    """Of each group: links across components, confirmed on full sets; a component met once is not met again."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches):
+            ck, root, mates = (t.column(c).to_pylist() for c in ("ck", "root", "mates"))
+            shingles, out = t.column("shingles"), []
+            ends = np.append(_starts(t), t.num_rows)
+            for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                at = {ck[r]: r for r in range(lo, hi)}
+                sets: dict[int, np.ndarray] = {}
+                up: dict[bytes, bytes] = {}
+
+                def find(x):
+                    while up.get(x, x) != x:
+                        x = up[x]
+                    return x
+
+                def full(r):
+                    if r not in sets:
+                        sets[r] = shingles[r].values.to_numpy()
+                    return sets[r]
+
+                for r in range(lo, hi):
+                    for mate in mates[r]:
+                        a, b = find(root[r]), find(root[at[mate]])
+                        if a == b:
+                            continue
+                        x, y = full(r), full(at[mate])
+                        both = len(np.intersect1d(x, y, assume_unique=True))
+                        if den * both >= num * (len(x) + len(y) - both):
+                            up[a] = b
+                            out.append((ck[r], mate))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], ["a", "b"])
     return run
 
 
 # --- candidates and links ---------------------------------------------------------
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shingles = Shingler()
     for ck, texts in tables(batches, "ck", "text"):
-        sets = [shingles(t).view(np.int64) for t in texts]
+        sets = [x.view(np.int64) for x in shingle_sets(texts)]
         yield pa.RecordBatch.from_arrays([pa.array(ck, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
                                          ["ck", "shingles"])
 
@@ -269,13 +418,16 @@ def classes(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     slot = lambda n: F.pmod(F.xxhash64("ck"), F.col(n)).cast("int")
     span = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     cols = ["band", "key", "ck", "root", "n", "regs", "outer"]
+    gather = lambda df: df.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
     probes = (m.where("outer").withColumn("pb", slot("pbs")).withColumn("bb", F.explode(span("bbs")))
               .select(*cols, "pb", "bb", F.lit(True).alias("probe")))
     builds = (m.withColumn("bb", slot("bbs")).withColumn("pb", F.explode(span("pbs")))
               .select(*cols, "pb", "bb", F.lit(False).alias("probe")))
-    late = (probes.union(builds).groupBy("band", "key", "pb", "bb")
-            .applyInPandas(_across(least), "a binary, b binary"))
-    links = links.union(materialize(_confirm(late, sets, num, den), "late-links"))
+    slim = "band int, key long, pb int, bb int, ck binary, root binary"
+    near = (gather(probes.union(builds)).mapInArrow(_across(least), f"{slim}, mates array<binary>")
+            .groupBy(*_GROUP, "ck", "root").agg(F.flatten(F.collect_list("mates")).alias("mates")))
+    late = gather(near.join(sets, "ck")).mapInArrow(_links(num, den), "a binary, b binary")
+    links = links.union(materialize(late, "late-links"))
 
     root = components(links).withColumnRenamed("node", "ck")
     c = reps.select("ck", "low").join(root, "ck", "left").withColumn("root", F.coalesce("root", "ck"))

@@ -117,7 +117,25 @@ def test_components_of_paths_stars_and_cycles(spark):
     assert components(df.where("a < 0")).collect() == []
 
 
-@pytest.mark.parametrize("text", ["", "a", "AÉ b", "x\x0by\x1cz"])
-def test_words_are_bytes_between_ascii_blanks(text):
-    low = re.sub("[A-Z]", lambda m: m[0].lower(), text)
-    assert near_dup.words(text) == [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", low)]
+TEXTS = ["", "a", "AÉ b", "x\x0by\x1cz", " lead and trail \n", "a b c d e", "a b c d e f a b c d e", "É" * 50, "one two\tthree"]
+
+
+def test_words_are_runs_between_ascii_blanks():
+    seen = {}
+    for t in [*TEXTS, prose(1, 300)]:
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), t)
+        want = re.findall(r"[^\x20\x09-\x0D]+", low)
+        got = near_dup.word_hashes(t.encode())[0].tolist()
+        assert len(got) == len(want)
+        for h, w in zip(got, want, strict=True):
+            assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
+@pytest.mark.parametrize("piece", [1 << 21, 64, 7])
+def test_shingle_sets_do_not_depend_on_the_batch(monkeypatch, piece):
+    texts = [*TEXTS, None, prose(1, 300), prose(2, 4), "w" * 300]
+    alone = [near_dup.shingle_sets([t])[0].tolist() for t in texts]
+    assert [len(x) for x in alone] == [len(shingles(t)) for t in texts]
+    monkeypatch.setattr(near_dup, "TEXT_BYTES", piece)
+    assert [x.tolist() for x in near_dup.shingle_sets(texts)] == alone
