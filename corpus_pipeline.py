@@ -1,7 +1,8 @@
 """The corpus pipeline: five filtering and layout stages over ``documents``, one after another.
 
 Every stage's result is written as Parquet in the shared scratch folder and read again
-as the next one's input, so a lost executor never repeats an earlier stage.
+as the next one's input, so a lost executor never repeats an earlier stage; it is deleted
+once the next stage is written.
 
 toxicity      rows that score 0.3 or more go
 near_dedup    one row of each class of near copies stays (five words, similarity 0.8)
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetscope.llm import decontaminate, mixing, near_dup, reshard, toxicity
-from fleetscope.llm.common import materialize, read_table
+from fleetscope.llm.common import drop, read_table, scope, table_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +49,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs, former = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = table_path(spark, f"stage-{name}")
+        with scope(spark):  # a stage's own intermediates go with it
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if former:
+            drop(spark, [former])
+        former = path
     return docs

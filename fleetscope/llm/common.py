@@ -8,13 +8,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.sources.scratch import materialize, materialize_all
+from fleetscope.sources.scratch import drop, materialize, scope, table_path
 
-__all__ = ["bounded_batches", "held_out", "materialize", "materialize_all", "mix64",
-           "mix64_int", "read_table", "tables", "unit"]
+__all__ = ["bounded_batches", "drop", "held_out", "materialize", "mix64", "mix64_int", "read_table",
+           "scope", "table_path", "tables", "unit"]
 
 #: Rows in one Arrow batch: bounds the memory of a Python worker on long texts.
-BATCH_ROWS = 1000
+BATCH_ROWS = 256
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -40,7 +40,9 @@ _WORD = re.compile(r"[^\W\d_]{1,%d}" % LETTERS)
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """The text's words in lower case; none if it holds no letter."""
+    ws = _WORD.findall(text.lower()) if text else []
+    return ws if any(map(str.isalpha, ws)) or any(c.isalpha() for w in ws for c in w) else []
 
 
 def features(ws: list[str]) -> np.ndarray:
@@ -248,7 +250,7 @@ def learn(docs: DataFrame, rows: int = TRAIN_ROWS) -> Field | None:
 
 def predict(docs: DataFrame, field: Field | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score: one row per row of ``docs``."""
-    bounded_batches(docs.sparkSession, 500)
+    bounded_batches(docs.sparkSession)
     base = docs.select("doc_id", held_out("doc_id").alias("held_out"), "text")
     kind = base.schema["doc_id"].dataType.simpleString()
     if field is None:

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from fleetscope.llm.common import bounded_batches, materialize, mix64, tables, unit
+from fleetscope.llm.common import bounded_batches, materialize, mix64, scope, table_path, tables, unit
 from fleetscope.llm.components import components
 
 M = 256                 # registers
@@ -371,8 +371,22 @@ def classes(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     its shingle set (null: empty).  Rows link when den * |A & B| >= num * |A | B|;
     component_id is the smallest doc_id reachable by links.
     """
-    spark, least = docs.sparkSession, num / den
+    spark = docs.sparkSession
     t = materialize(sketch(docs), "sketches")
+    path = table_path(spark, "near-labels")
+    with scope(spark):  # what leads to the labels goes once they are written
+        label = _labels(docs, t, num, den)
+        label.write.parquet(path)
+    label = spark.read.schema(label.schema).parquet(path)
+    body = t.select("doc_id", "th", "n", "ck")
+    empty = body.where("n = 0").withColumn("component_id", F.col("doc_id"))
+    return body.where("n > 0").join(label, "ck").select("doc_id", "th", "n", "ck", "component_id").union(
+        empty.select("doc_id", "th", "n", "ck", "component_id"))
+
+
+def _labels(docs: DataFrame, t: DataFrame, num: int, den: int) -> DataFrame:
+    """(ck, component_id) of every class in the sketches ``t`` of ``docs``."""
+    least = num / den
     reps = materialize(t.where("n > 0").groupBy("ck").agg(
         F.min("doc_id").alias("low"), F.min(F.struct("doc_id", "th")).alias("rep"),
         F.first("n").alias("n"), F.first("regs").alias("regs")), "classes")
@@ -432,11 +446,7 @@ def classes(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     root = components(links).withColumnRenamed("node", "ck")
     c = reps.select("ck", "low").join(root, "ck", "left").withColumn("root", F.coalesce("root", "ck"))
     low = c.groupBy("root").agg(F.min("low").alias("component_id"))
-    label = materialize(c.join(low, "root").select("ck", "component_id"), "labels")
-    body = t.select("doc_id", "th", "n", "ck")
-    empty = body.where("n = 0").withColumn("component_id", F.col("doc_id"))
-    return body.where("n > 0").join(label, "ck").select("doc_id", "th", "n", "ck", "component_id").union(
-        empty.select("doc_id", "th", "n", "ck", "component_id"))
+    return c.join(low, "root").select("ck", "component_id")
 
 
 def _repeated(t: DataFrame) -> bool:

@@ -65,7 +65,7 @@ def test_features_do_not_depend_on_the_batch():
 
 
 def test_awkward_and_empty(spark):
-    data = AWKWARD + [(50, "123 456 --", "de")]
+    data = AWKWARD + [(50, "123 456 --", "de"), (51, "² ½ _", "de")]
     docs = documents(spark, data)
     got = L.predict(docs, L.learn(docs)).collect()
     assert len(got) == len(data)
