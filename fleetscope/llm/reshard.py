@@ -81,13 +81,14 @@ def by_source(n: int = OLD_SHARDS) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("source").cast("string"), F.lit("")).cast("binary")), F.lit(n)).cast("int")
 
 
-def _blocks(docs: DataFrame, old: Column, blocks: int) -> DataFrame:
-    """docs with _rs_old, _rs_size, _rs_block and _rs_pos, the place in the block from 0."""
+def _blocks(docs: DataFrame, old: Column, blocks: int, carry: dict[str, Column]) -> DataFrame:
+    """The carried columns with _rs_old, _rs_size, _rs_block and _rs_pos, the place in the block from 0."""
     key = F.xxhash64(F.col("doc_id"), F.col("text"))
-    out = docs.withColumns({"_rs_old": old, "_rs_size": size_of(), "_rs_key": key}).withColumn(
-        "_rs_block", F.pmod("_rs_key", F.lit(blocks)).cast("int"))
-    w = W.partitionBy("_rs_old", "_rs_block").orderBy("doc_id", "_rs_key")
-    return out.withColumn("_rs_pos", F.row_number().over(w) - 1).drop("_rs_key")
+    out = docs.select(*[c.alias(n) for n, c in carry.items()], F.col("doc_id").alias("_rs_id"), old.alias("_rs_old"),
+                      size_of().alias("_rs_size"), key.alias("_rs_key"),
+                      F.pmod(key, F.lit(blocks)).cast("int").alias("_rs_block"))
+    w = W.partitionBy("_rs_old", "_rs_block").orderBy("_rs_id", "_rs_key")
+    return out.withColumn("_rs_pos", F.row_number().over(w) - 1).drop("_rs_key", "_rs_id")
 
 
 def _divide(sizes: list[int], room: dict[int, float]) -> list[int]:
@@ -104,13 +105,17 @@ _MAP = T.StructType([T.StructField("m_old", T.IntegerType()), T.StructField("m_b
                      T.StructField("m_shards", T.ArrayType(T.IntegerType())), T.StructField("m_slots", T.ArrayType(T.LongType()))])
 
 
-def assign(docs: DataFrame, old: Column | None = None, old_shards: int = OLD_SHARDS, shards: int = SHARDS) -> DataFrame:
-    """``docs`` with _rs_old, _rs_size, shard and slot (gapless within its shard from 0)."""
+def assign(docs: DataFrame, old: Column | None = None, old_shards: int = OLD_SHARDS, shards: int = SHARDS,
+           carry: dict[str, Column] | None = None) -> DataFrame:
+    """``docs``, or the ``carry`` expressions on it, with _rs_old, _rs_size, shard and slot (gapless in its shard from 0).
+
+    Only what is carried is shuffled, once, by block.
+    """
+    carry = {c: F.col(c) for c in docs.columns} if carry is None else carry
     old = by_source(old_shards) if old is None else old
     n = docs.count()
     blocks = max(1, min(MOST_BLOCKS, n // (BLOCK_ROWS * old_shards)))
-    place = _blocks(docs, old, blocks)
-    slim = _blocks(docs.select("doc_id", "text", *_used(docs, old)), old, blocks)
+    place, slim = _blocks(docs, old, blocks, carry), _blocks(docs, old, blocks, {})
     stats = {(r[0], r[1]): (r[2], r[3]) for r in slim.groupBy("_rs_old", "_rs_block")
              .agg(F.sum("_rs_size"), F.count("*")).collect()}  # at most old_shards * MOST_BLOCKS rows
     supply = [sum(v[0] for k, v in stats.items() if k[0] == o) for o in range(old_shards)]
@@ -167,23 +172,18 @@ def assign(docs: DataFrame, old: Column | None = None, old_shards: int = OLD_SHA
             .drop("m_old", "m_block", "m_shard", "m_at", "m_shards", "m_slots", "_rs_block", "_rs_pos"))
 
 
-def _used(docs: DataFrame, old: Column) -> list[str]:
-    """The columns besides doc_id and text that the old shard may depend on."""
-    return [c for c in docs.columns if c not in ("doc_id", "text")]
-
-
 def shard_report(docs: DataFrame) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, old_shard: one row per row of ``docs``."""
-    slim = docs.select("doc_id", "text", "source")
-    return assign(slim).select(
-        "doc_id", F.col("_rs_size").alias("size"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+    carry = {"doc_id": F.col("doc_id"), "text_crc32": F.crc32(F.col("text").cast("binary"))}
+    return assign(docs, carry=carry).select(
+        "doc_id", F.col("_rs_size").alias("size"), "text_crc32",
         F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), F.col("_rs_old").alias("old_shard"))
 
 
 def reshard(docs: DataFrame) -> DataFrame:
     """``docs`` with shard and slot; columns of these names are replaced."""
-    kept = [c for c in docs.columns if c not in ("shard", "slot")]
-    return assign(docs.select(*kept)).select(*kept, "shard", "slot")
+    kept = {c: F.col(c) for c in docs.columns if c not in ("shard", "slot")}
+    return assign(docs, carry=kept).select(*kept, "shard", "slot")
 
 
 def rewrite_affected(assigned: DataFrame, layout: str) -> list[int]:
