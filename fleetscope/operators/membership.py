@@ -30,6 +30,8 @@ table; none of them triggers an action.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -233,6 +235,22 @@ def fleet_disk_members(df: DataFrame, match: str = "contains") -> DataFrame:
 
 # --- splits: the fact rows with their keys --------------------------------------
 
+BROADCAST_BYTES = 64 << 20   # membership tables up to this size in memory are broadcast
+ROW_BYTES = 64               # what a row of a hash relation takes besides its strings
+
+
+def measured(members: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A written membership table with the join strategy that its size in memory allows.
+
+    Files are dictionary-coded and compressed, so their size says little; the rows and the
+    bytes of their strings are counted instead.  Up to ``limit`` the table is broadcast and
+    the facts stay where they are; beyond, a sort-merge join with adaptive skew splitting takes over.
+    """
+    bytes_ = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(c), F.lit(0)) for c in members.columns])
+    size = members.agg(F.sum((bytes_ + ROW_BYTES + 16 * len(members.columns)).cast("long"))).first()[0] or 0
+    return F.broadcast(members) if size <= limit else members.hint("merge")
+
+
 def split(df: DataFrame, level: str = "host", match: str = "contains",
           materialize_members: bool = True) -> DataFrame:
     """Fact rows with the keys of every member they belong to.
@@ -241,7 +259,7 @@ def split(df: DataFrame, level: str = "host", match: str = "contains",
     reference's per-key DataFrames would hold it.
 
     The membership table is written to the scratch folder first
-    (``materialize_members``): its real size then decides the join strategy when
+    (``materialize_members``) and measured: its size in memory decides the join strategy when
     the plan is built - broadcast when it is small, so the facts are never
     shuffled, and a sort-merge join with AQE skew splitting otherwise.  Without
     it, the planner only has an estimate derived from the fact scan and would
@@ -256,7 +274,7 @@ def split(df: DataFrame, level: str = "host", match: str = "contains",
     else:
         raise ValueError(f"level must be client, host or disk, got {level!r}")
     if materialize_members:
-        m = materialize(m, f"members-{level}")
+        m = measured(materialize(m, f"members-{level}"))
     return df.join(m, on, "inner")
 
 
@@ -270,7 +288,7 @@ def split_fleet_disks(df: DataFrame, match: str = "contains",
     """
     m = fleet_disk_members(df, match)
     if materialize_members:
-        m = materialize(m, "members-fleet-disk")
+        m = measured(materialize(m, "members-fleet-disk"))
     return df.join(m, S.DISK, "inner")
 
 
