@@ -19,6 +19,8 @@ document, also if ids are null or repeat; but rows with equal id and text count
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,33 +29,51 @@ from fleetscope.llm.common import materialize
 DEPTH = 2
 MIN_DOCS = 20
 MIN_SHARE = 0.5
-_BLANK = r"[ \t\x0B\f\r]+"
+_BLANKS = ("\t", "\x0b", "\f", "\r")   # besides the space
+_DIGITS = "0123456789"
 
 
 def _lines(text: Column | str) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _words(line: Column) -> Column:
-    """The line's words, those with a digit generalised to <*>."""
-    return F.transform(F.split(F.trim(F.regexp_replace(line, _BLANK, " ")), " "),
-                       lambda w: F.when(w.rlike("[0-9]"), F.lit("<*>")).otherwise(w))
+def _spaced(line: Column) -> Column:
+    """The line's words with one space between them; the expensive form only where it is needed."""
+    odd = reduce(lambda a, b: a | b, [F.contains(line, F.lit(c)) for c in ("  ", *_BLANKS)])
+    return F.trim(F.when(odd, F.regexp_replace(line, "[ \t\\x0B\f\r]+", " ")).otherwise(line))
+
+
+def _count(text: Column | str, mark: str) -> Column:
+    """How often the one-byte mark stands in the text."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(mark), F.lit("")))
+
+
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later expressions read and do not compute again."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def _general(word: Column) -> Column:
+    """A word, or <*> if it holds a digit."""
+    return F.when(F.translate(word, _DIGITS, "") != word, F.lit("<*>")).otherwise(word)
 
 
 def templates(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> tuple[DataFrame, DataFrame]:
     """(h1, h2) of the lines to drop, and (doc_id, th, h1, h2, place) of all lines that may be."""
     # every line that is not blank, with its leaf
     base = docs.select("doc_id", F.xxhash64("text").alias("th"), "text").where("text IS NOT NULL")
-    raw = base.select("doc_id", "th", F.posexplode(_lines("text")).alias("place", "line")).where(F.col("line").rlike(r"[^ \t\x0B\f\r]"))
-    line = raw.withColumn("w", _words(F.col("line")))
-    leaf = F.xxhash64(F.size("w"), *[F.coalesce(F.get("w", F.lit(i)), F.lit("")) for i in range(depth)])
-    norm = F.array_join("w", " ")
-    line = line.select("doc_id", "th", "place", leaf.alias("leaf"), norm.alias("norm"),
-                       F.xxhash64(norm).alias("h1"), F.xxhash64(F.lit("2"), norm).alias("h2"))
+    raw = base.select("doc_id", "th", F.posexplode(_lines("text")).alias("place", "raw"))
+    line = _once(raw, "line", _spaced(F.col("raw"))).where("line <> ''").drop("raw")
+    lead = F.split(F.substring_index("line", " ", depth), " ")
+    leaf = F.xxhash64(_count("line", " ") + 1, F.array_join(F.transform(lead, _general), " "))
+    line = line.select("doc_id", "th", "place", "line", leaf.alias("leaf"))
     # leaves that enough documents reach
     wide = (line.select("leaf", "doc_id", "th").distinct().groupBy("leaf").count()
             .where(F.col("count") >= min_docs).select("leaf"))
-    kept = materialize(line.join(wide, "leaf"), "line-candidates")
+    norm = F.array_join(F.transform(F.split("line", " "), _general), " ")
+    kept = _once(line.join(wide, "leaf"), "norm", norm).drop("line")
+    kept = materialize(kept.select("*", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit("2"), "norm").alias("h2")),
+                       "line-candidates")
     # words that are constant at their place, by lines
     text = kept.groupBy("leaf", "h1", "h2").agg(F.first("norm").alias("norm"), F.count("*").alias("n"))
     word = text.select("leaf", "h1", "h2", "n", F.posexplode(F.split("norm", " ")).alias("at", "word"))
@@ -81,6 +101,6 @@ def dedup_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, m
     all_ = _lines("text")
     places = F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), "gone")
     left = F.array_join(F.transform(places, lambda i: F.get(all_, i)), "\n")
-    return out.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(all_)).cast("long").alias("n_lines"),
+    return out.select("doc_id", F.coalesce(_count("text", "\n") + 1, F.lit(0)).cast("long").alias("n_lines"),
                       F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
                       F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text"))
