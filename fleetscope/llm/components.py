@@ -17,11 +17,12 @@ def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return (both.join(low, "u").where(F.col("v") > F.col("u"))
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+            .select(F.col("v").alias("u"), F.col("m").alias("v")))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     low = e.groupBy("u").agg(F.min("v").alias("m"))
+    # repeated edges, which the large star leaves, go here
     across = e.join(low, "u").where(F.col("v") > F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return across.union(low.select("u", F.col("m").alias("v"))).distinct()
 

@@ -49,7 +49,7 @@ RATE = 20.0             # rate of the first points, so that registers of one-shi
 BAND = 6                # registers a band holds
 BANDS = M // BAND
 TEXT_BYTES = 1 << 21    # bytes of text that are split into words together
-SKETCH_SHINGLES, SKETCH_ROWS = 500_000, 2048  # shingles, rows that are sketched together
+SKETCH_SHINGLES, SKETCH_ROWS = 300_000, 2048  # shingles, rows that are sketched together
 PROBE, BUILD = 256, 1024  # block sizes of the comparison across components
 ERRORS = 5.0            # standard errors an estimate may lie below the threshold
 
@@ -311,7 +311,7 @@ def _across(least: float):
 
 
 def _links(num: int, den: int):
-    """Of each group: links across components, confirmed on full sets; a component met once is not met again."""
+    """Of each group: pairs of roots whose components link, confirmed on full sets; none is met twice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches):
             ck, root, mates = (t.column(c).to_pylist() for c in ("ck", "root", "mates"))
@@ -341,7 +341,7 @@ def _links(num: int, den: int):
                         both = len(np.intersect1d(x, y, assume_unique=True))
                         if den * both >= num * (len(x) + len(y) - both):
                             up[a] = b
-                            out.append((ck[r], mate))
+                            out.append((root[r], root[at[mate]]))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], ["a", "b"])
     return run
 
@@ -441,10 +441,11 @@ def _labels(docs: DataFrame, t: DataFrame, num: int, den: int) -> DataFrame:
     near = (gather(probes.union(builds)).mapInArrow(_across(least), f"{slim}, mates array<binary>")
             .groupBy(*_GROUP, "ck", "root").agg(F.flatten(F.collect_list("mates")).alias("mates")))
     late = gather(near.join(sets, "ck")).mapInArrow(_links(num, den), "a binary, b binary")
-    links = links.union(materialize(late, "late-links"))
+    over = components(late).toDF("root", "last")  # components of components
 
-    root = components(links).withColumnRenamed("node", "ck")
-    c = reps.select("ck", "low").join(root, "ck", "left").withColumn("root", F.coalesce("root", "ck"))
+    c = (reps.select("ck", "low").join(root.withColumnRenamed("node", "ck"), "ck", "left")
+         .withColumn("root", F.coalesce("root", "ck")))
+    c = c.join(over, "root", "left").withColumn("root", F.coalesce("last", "root"))
     low = c.groupBy("root").agg(F.min("low").alias("component_id"))
     return c.join(low, "root").select("ck", "component_id")
 
