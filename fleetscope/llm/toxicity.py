@@ -128,7 +128,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for texts, toxic in tables(batches, "text", "toxic"):
         for t, y in zip(texts, toxic, strict=True):
             (pos if y else neg).update(_grams(t or ""))
-            if len(pos) + len(neg) > 1_000_000:
+            if len(pos) + len(neg) > 400_000:
                 yield part()
                 pos, neg = Counter(), Counter()
     yield part()
