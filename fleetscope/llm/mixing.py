@@ -7,7 +7,7 @@ and s words is wanted t / s times: its whole copies are taken at once, and the f
 is rounded against other documents of its source.  Two documents meet, mass is
 transferred between them at random, in words, until one of them is integral, and the other goes
 on.  So every document's expectation is kept, and a source's taken words differ from its
-target by less than one document.
+target by less than one document, a short one, as the long ones meet first.
 
 The tree: documents are dealt to buckets by the hash of their id; a bucket leaves at
 most one fractional document of each source; ``FAN`` buckets' residuals meet in a group of the
@@ -70,8 +70,11 @@ def _draw(key: int) -> float:
 def _pivot(level: int, last: bool):
     """Rounds the documents of a group source by source; at most one of each source stays fractional."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["source", "u_id", "th"], na_position="last", kind="stable").reset_index(drop=True)
-        f, size = pdf["f"].to_numpy(copy=True), (pdf["size"] * pdf["m"]).to_numpy(float)
+        # large documents first: what stays fractional at the end, and is drawn at the root, is small
+        pdf = (pdf.assign(w=(pdf["size"] * pdf["m"]).astype(float))
+               .sort_values(["source", "w", "u_id", "th"], ascending=[True, False, True, True], na_position="last")
+               .reset_index(drop=True))
+        f, size = pdf["f"].to_numpy(copy=True), pdf.pop("w").to_numpy()
         seed = [mix64_int(((int(t) * 31) ^ (level + 1)) & (2**64 - 1)) for t in pdf["th"]]
         source = pdf["source"].where(pdf["source"].notna(), None).tolist()
         a = None
