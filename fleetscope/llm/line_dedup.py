@@ -5,8 +5,15 @@ has a fixed depth: the first level is the number of words, the next ``DEPTH`` le
 its leaves hold the lines that may share a template.  Within a leaf a word is
 constant at its place if at least ``MIN_DOCS`` lines have it there, and varies otherwise:
 a line's template is its words with fields and varying words as ``<*>``.  A template that
-occurs in ``MIN_DOCS`` documents or more, and of whose words at least ``MIN_SHARE`` are
-constant, is boilerplate, and its lines are dropped from all documents.
+occurs in ``MIN_DOCS`` documents or more is boilerplate, and its lines are dropped from all documents, if
+
+* all its words are constant, so that its lines are equal; or
+* none varies, so that they differ in fields only, and at least ``MIN_SHARE`` of its words are constant; or
+* at least ``MIN_SHARE`` of its words behind the leading ones are constant and stand at their place in
+  ``LEAF_SHARE`` of the leaf's lines: what the leaf is keyed by is no evidence, nor is a word that
+  merely many lines of a large leaf have.
+
+In the shares bare signs (no letter, no digit) do not count and fields count as not constant.
 
 Counts are combined before every shuffle, over whole lines and documents.  Leaves that
 fewer than ``MIN_DOCS`` documents reach go before words are compared, as none of
@@ -29,6 +36,7 @@ from fleetscope.llm.common import materialize
 DEPTH = 2
 MIN_DOCS = 20
 MIN_SHARE = 0.5
+LEAF_SHARE = 0.5
 _BLANKS = ("\t", "\x0b", "\f", "\r")   # besides the space
 _DIGITS = "0123456789"
 
@@ -58,7 +66,8 @@ def _general(word: Column) -> Column:
     return F.when(F.translate(word, _DIGITS, "") != word, F.lit("<*>")).otherwise(word)
 
 
-def templates(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> tuple[DataFrame, DataFrame]:
+def templates(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE,
+              leaf_share: float = LEAF_SHARE) -> tuple[DataFrame, DataFrame]:
     """(h1, h2) of the lines to drop, and (doc_id, th, h1, h2, place) of all lines that may be."""
     # every line that is not blank, with its leaf
     base = docs.select("doc_id", F.xxhash64("text").alias("th"), "text").where("text IS NOT NULL")
@@ -78,12 +87,22 @@ def templates(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min
     text = kept.groupBy("leaf", "h1", "h2").agg(F.first("norm").alias("norm"), F.count("*").alias("n"))
     word = text.select("leaf", "h1", "h2", "n", F.posexplode(F.split("norm", " ")).alias("at", "word"))
     known = word.groupBy("leaf", "at", "word").agg(F.sum("n").alias("n")).where((F.col("n") >= min_docs) & (F.col("word") != "<*>"))
-    part = word.join(known.select("leaf", "at", "word", F.lit(True).alias("fixed")), ["leaf", "at", "word"], "left")
-    shape = F.array_sort(F.collect_list(F.struct("at", F.when(F.col("fixed"), F.col("word")).otherwise("<*>").alias("word"))))
-    tmpl = part.groupBy("leaf", "h1", "h2").agg(shape.alias("t"), F.avg(F.coalesce(F.col("fixed").cast("int"), F.lit(0))).alias("share"))
-    tmpl = tmpl.select("h1", "h2", F.xxhash64("leaf", F.array_join("t.word", " ")).alias("template"), "share")
+    total = text.groupBy("leaf").agg(F.sum("n").alias("total"))
+    known = known.join(total, "leaf").select("leaf", "at", "word", F.lit(True).alias("fixed"),
+                                             (F.col("n") >= leaf_share * F.col("total")).alias("common"))
+    part = word.join(known, ["leaf", "at", "word"], "left")
+    times = lambda c: F.count(F.when(c, 1))
+    field, letter, fixed, behind = F.col("word") == "<*>", F.rlike("word", F.lit(r"\p{L}")), F.col("fixed"), F.col("at") >= depth
+    shape = F.array_sort(F.collect_list(F.struct("at", F.when(fixed, F.col("word")).otherwise("<*>").alias("word"))))
+    tmpl = part.groupBy("leaf", "h1", "h2").agg(
+        shape.alias("t"), times(fixed.isNull()).alias("open"), times(fixed.isNull() & ~field).alias("vary"),
+        times(field | letter).alias("of"), times(fixed & letter).alias("have"),
+        times(behind & (field | letter)).alias("b_of"), times(behind & F.col("common") & letter).alias("b_have"))
+    enough = lambda have, of: (F.col(of) > 0) & (F.col(have) >= min_share * F.col(of))
+    drops = (F.col("open") == 0) | (F.col("vary") == 0) & enough("have", "of") | enough("b_have", "b_of")
+    tmpl = tmpl.select("h1", "h2", F.xxhash64("leaf", F.array_join("t.word", " ")).alias("template"), drops.alias("drops"))
     # templates that enough documents share
-    tmpl = materialize(tmpl.where(F.col("share") >= min_share).drop("share"), "line-templates")
+    tmpl = materialize(tmpl.where("drops").drop("drops"), "line-templates")
     lines = kept.select("doc_id", "th", "place", "h1", "h2")
     met = lines.join(tmpl, ["h1", "h2"])
     many = (met.select("template", "doc_id", "th").distinct().groupBy("template").count()
@@ -91,9 +110,10 @@ def templates(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min
     return tmpl.join(many, "template").select("h1", "h2"), lines
 
 
-def dedup_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
+def dedup_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE,
+                leaf_share: float = LEAF_SHARE) -> DataFrame:
     """doc_id, n_lines, n_dropped, text: one row per row of ``docs``, text without the dropped lines."""
-    drop, lines = templates(docs, depth, min_docs, min_share)
+    drop, lines = templates(docs, depth, min_docs, min_share, leaf_share)
     gone = (lines.join(drop, ["h1", "h2"]).groupBy("doc_id", "th").agg(F.collect_set("place").alias("gone"))
             .select(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th"), "gone"))
     full = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))

@@ -50,3 +50,18 @@ def test_repeated_rows_count_as_one_document(spark):
 def test_no_python_in_the_plan(spark):
     plan = line_dedup.dedup_lines(documents(spark, rows(25)).select("doc_id", "text"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_unique_lines_of_one_opening_stay(spark):
+    word = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(4))
+    data = [(i, f"Is thndble {word(i)} {word(7 * i + 1)}.\n| {i} | {i * 7} |\nIs in {'the' if i < 30 else word(i)} {word(i + 999)}")
+            for i in range(90)]
+    assert all(r["n_dropped"] == 0 for r in line_dedup.dedup_lines(documents(spark, data)).collect())
+
+
+def test_equal_lines_go_from_a_large_leaf(spark):
+    word = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(4))
+    data = [(i, f"{prose(i, 6)}\n{'All of it is reserved' if i < 20 else f'All of {word(i)} {word(i + 999)} {word(i + 5000)}'}\n* * *")
+            for i in range(200)]
+    got = line_dedup.dedup_lines(documents(spark, data)).collect()
+    assert all(r["n_dropped"] == (2 if r["doc_id"] < 20 else 1) for r in got)
