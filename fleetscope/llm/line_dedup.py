@@ -22,6 +22,8 @@ their lines can be dropped.
 Nulls and ties: a null text stays null.  Lines end at U+000A; blank lines stay and have no
 template.  A template that repeats within one document counts once for it.  Each row is a
 document, also if ids are null or repeat; but rows with equal id and text count once.
+Copies under different ids count each: a text that only repeats itself, in ``MIN_DOCS`` documents or
+more, loses its lines in every copy and is kept in none.  Run the query behind a removal of copies.
 """
 
 from __future__ import annotations
