@@ -10,8 +10,8 @@ thousand words, give its score through a logistic curve.
 Spark counts, for every word and word beginning, the toxic and other documents that hold it;
 a gram enters if it is ``LEAST_RATIO`` times as frequent in toxic documents and its
 log-likelihood ratio against the labels is at least ``LEAST_LLR`` beyond what the entries nested
-with it explain.  Its weight is its log odds.  Copies of one toxic document count as one there,
-else every word of theirs would look like an entry.
+with it explain.  Its weight is its log odds.  Copies of one toxic document (a word Jaccard of ``COPY`` or
+more with one that counts) count as one there, else every word of theirs would look like an entry.
 
 Nulls and ties: null or empty text has no hit and the lowest score.  Labels that are null
 or belong to no document are not learned from; a document labelled twice counts once for each
@@ -33,13 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetscope.llm.common import bounded_batches, held_out, mix64, tables
+from fleetscope.llm.common import bounded_batches, held_out, tables
 
 TRAIN_ROWS = 12_000     # labelled rows a model is fitted on, those of the smallest id hashes
 MAX_ENTRIES = 5_000     # entries of a lexicon: bounds what each task receives
 LEAST_LLR = 30.0
 LEAST_RATIO = 12.0      # how much more often an entry stands in toxic documents
 STEMS = range(4, 9)     # letters of word beginnings that may become entries
+COPY = 0.8              # word Jaccard from which a toxic document is a copy of another
 THRESHOLD = 0.3
 
 # Look-alike letters of other scripts, with the Latin letter they imitate.
@@ -143,20 +144,35 @@ def _llr(pos, neg, n_pos, n_neg):
     return np.where(a > p, 2 * (of(a, pos, k) + of(b, n_pos - pos, n - k) - of(p, n_pos, n)), 0.0)
 
 
-def _bands(text: str) -> list[int]:
-    """Eight hashes, each of two minima over the text's words; copies share some of them."""
-    h = np.array([xxhash.xxh3_64_intdigest(w) for w in set(fold(text).split())] or [0], np.uint64)
-    low = [int(mix64(h ^ np.uint64(i + 1)).min()) for i in range(16)]
-    return [xxhash.xxh3_64_intdigest(f"{i} {a} {b}") >> 1 for i, (a, b) in enumerate(zip(low[::2], low[1::2], strict=True))]
+def _words(text: str) -> bytes:
+    """Sorted hashes of the text's folded words."""
+    return np.unique(np.array([xxhash.xxh3_64_intdigest(w) for w in set(fold(text).split())], np.uint64)).tobytes()
 
 
-def _apart(docs: list[tuple[list[int], list[str]]]) -> list[list[str]]:
-    """The grams of documents that share no band with an earlier one."""
-    seen, out = set(), []
-    for bands, grams in docs:
-        if not seen & set(bands):
-            out.append(grams)
-        seen |= set(bands)
+def _apart(docs: list[tuple[bytes, list[str]]], copy: float = COPY) -> list[list[str]]:
+    """The grams of documents whose word Jaccard with every earlier one of them is below ``copy``.
+
+    Two sets as alike as that share one of the first words of either, rare words first, as many as may be
+    missing and one more: only documents that share such a word are compared, on all their words.
+    """
+    sets = [np.frombuffer(words, np.uint64) for words, _ in docs]
+    _, at, n = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_inverse=True, return_counts=True)
+    rank = np.empty(len(n), np.int64)
+    rank[np.argsort(n, kind="stable")] = np.arange(len(n))
+    ranks = [np.sort(x) for x in np.split(rank[at], np.cumsum([len(x) for x in sets])[:-1])] if sets else []
+    holders, out, empty = {}, [], False
+    for d, r in enumerate(ranks):
+        first = r[:len(r) - math.ceil(copy * len(r) - 1e-9) + 1].tolist()
+        near = {e for w in first for e in holders.get(w, ()) if copy * len(r) <= len(ranks[e]) <= len(r) / copy}
+        if any((both := len(np.intersect1d(r, ranks[e], assume_unique=True))) >= copy * (len(r) + len(ranks[e]) - both) for e in near):
+            continue
+        if not len(r):
+            if empty:
+                continue
+            empty = True
+        out.append(docs[d][1])
+        for w in first:
+            holders.setdefault(w, []).append(d)
     return out
 
 
@@ -235,11 +251,11 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
     def held(batches):
         for (texts,) in tables(batches, "text"):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_bands(t) for t in texts], pa.list_(pa.int64())),
-                 pa.array([sorted(_grams(t) & grams.keys()) for t in texts], pa.list_(pa.string()))], ["bands", "grams"])
+                [pa.array([_words(t) for t in texts], pa.binary()),
+                 pa.array([sorted(_grams(t) & grams.keys()) for t in texts], pa.list_(pa.string()))], ["words", "grams"])
 
-    toxic = train.where("toxic = 1").select("text").mapInArrow(held, "bands array<long>, grams array<string>").collect()
-    for g in _select(grams, _apart(sorted((list(r["bands"]), list(r["grams"])) for r in toxic)), n_neg):
+    toxic = train.where("toxic = 1").select("text").mapInArrow(held, "words binary, grams array<string>").collect()
+    for g in _select(grams, _apart(sorted((bytes(r["words"]), list(r["grams"])) for r in toxic)), n_neg):
         pos, neg = grams[g]
         lexicon.entries[g] = math.log((pos + 0.5) / (n_pos + 1)) - math.log((neg + 0.5) / (n_neg + 1))
 

@@ -69,3 +69,20 @@ def test_curve_rises_with_weight():
     x = np.column_stack((np.ones(200), np.repeat([0.0, 2.0], 100), np.repeat([0.0, 3.0], 100)))
     w = X._fit(x, np.repeat([0.0, 1.0], 100))
     assert w[1] >= 0 and w[2] >= 0 and w[1] + w[2] > 0
+
+
+def test_only_true_copies_count_as_one():
+    common = [f"c{i}" for i in range(30)]
+    unlike = [common + [f"d{d}w{i}" for i in range(40)] for d in range(60)]            # word Jaccard 0.27
+    copies = [unlike[0][:-1] + [f"x{k}"] for k in range(25)]                           # 0.97
+    docs = [(X._words(" ".join(w)), [str(k)]) for k, w in enumerate(unlike + copies)]
+    assert len(X._apart(docs)) == 60 and X._apart([]) == []
+    rng = random.Random(3)
+    some = [{f"w{rng.randrange(40)}" for _ in range(rng.randrange(0, 30))} for _ in range(150)]
+    some += [set(rng.sample(sorted(s), len(s) - 1)) | {"new"} if s else s for s in some]
+    want = []
+    for s in some:
+        if all(len(s & k) < X.COPY * len(s | k) if s | k else False for k in want):
+            want.append(s)
+    got = X._apart([(X._words(" ".join(s)), sorted(s)) for s in some])
+    assert got == [sorted(s) for s in want]
