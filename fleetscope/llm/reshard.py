@@ -27,6 +27,7 @@ SHARDS = 8
 OLD_SHARDS = 6
 BLOCK_ROWS = 1000       # rows of a block, on average
 MOST_BLOCKS = 16_384    # blocks of an old shard
+FILE_ROWS = 100_000     # slots of a shard that one task rewrites
 
 
 def min_cost_flow(supply: list[int], capacity: list[int]) -> dict[tuple[int, int], int]:
@@ -186,11 +187,12 @@ def reshard(docs: DataFrame) -> DataFrame:
     return assign(docs, carry=kept).select(*kept, "shard", "slot")
 
 
-def rewrite_affected(assigned: DataFrame, layout: str) -> list[int]:
+def rewrite_affected(assigned: DataFrame, layout: str, file_rows: int = FILE_ROWS) -> list[int]:
     """Write the shards of ``assigned`` that gain or lose rows under ``layout``/shard=K, and only these.
 
     ``assigned`` is what ``assign`` gives, read from elsewhere than ``layout``.  Other
-    shards' files stay as they are; an old shard that is left empty keeps no file.
+    shards' files stay as they are; an old shard that is left empty keeps no file.  A shard's rows are
+    dealt by ranges of ``file_rows`` slots, so many tasks write it.
     Returns the affected shards.
     """
     spark = assigned.sparkSession
@@ -198,11 +200,12 @@ def rewrite_affected(assigned: DataFrame, layout: str) -> list[int]:
     affected = sorted({x for r in moved.select("_rs_old", "shard").distinct().collect() for x in r})
     if affected:
         body = assigned.where(F.col("shard").isin(affected)).drop("_rs_old", "_rs_size")
-        (body.repartition("shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("shard").parquet(layout))
-        filled = {r[0] for r in assigned.select("shard").distinct().collect()}
+        filled = {r[0]: r[1] for r in assigned.groupBy("shard").count().collect()}
+        ranges = sum(-(-filled.get(k, 0) // file_rows) for k in affected)
+        (body.repartition(max(1, ranges), "shard", F.floor(F.col("slot") / file_rows))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(layout))
         jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for k in set(affected) - filled:
+        for k in set(affected) - filled.keys():
             path = jvm.org.apache.hadoop.fs.Path(f"{layout}/shard={k}")
             path.getFileSystem(conf).delete(path, True)
     return affected

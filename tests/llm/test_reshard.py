@@ -91,3 +91,15 @@ def test_rewrite_touches_only_affected_shards(spark, tmp_path):
     assert {p.name for p in (tmp_path / "layout" / "shard=0").iterdir()} == before
     got = spark.read.parquet(layout)
     assert got.count() == 60 and {r["shard"]: r["count"] for r in got.groupBy("shard").count().collect()} == {0: 20, 1: 20, 2: 20}
+
+
+def test_an_affected_shard_is_written_by_many_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+    df = documents(spark, [(i, "x" * 99, "en", "s") for i in range(600)]).select("doc_id", "text")
+    out = reshard.assign(df, F.lit(0), old_shards=1, shards=2)
+    layout = tmp_path / "layout"
+    assert reshard.rewrite_affected(out, str(layout), file_rows=20) == [0, 1]
+    assert all(len(list((layout / f"shard={k}").glob("*.parquet"))) > 3 for k in (0, 1))
+    got = spark.read.parquet(str(layout))
+    assert sorted(r[0] for r in got.select("doc_id").collect()) == list(range(600))
+    assert got.select("shard", "slot").distinct().count() == 600
