@@ -31,6 +31,7 @@ from pyspark.sql import Window as W
 from fleetscope.llm.common import bounded_batches, held_out, mix64
 
 TRAIN_ROWS = 250     # labelled rows of each language that the field is fitted on
+PARTS = 16              # of a language, each of which names its first rows
 SPAN = 256           # words of one sequence
 LETTERS = 32         # letters of a word; a longer one is cut into such pieces
 BUCKETS = 1 << 16    # hashed features
@@ -235,12 +236,14 @@ class Labeller:
 def sample(docs: DataFrame, rows: int = TRAIN_ROWS) -> list[tuple[str, str]]:
     """At most ``rows`` (text, lang) of each language outside the held-out fold."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id"))
-    pick = known.select("lang", F.xxhash64("doc_id").alias("o"), F.xxhash64("text").alias("h"))
-    w = W.partitionBy("lang").orderBy("o", "h")
-    pick = pick.withColumn("r", F.row_number().over(w)).where(F.col("r") <= rows).select("lang", "o", "h").distinct()
+    pick = known.select("lang", F.xxhash64("doc_id").alias("o"), F.xxhash64("text").alias("h")).distinct()
+    for part in (["lang", F.pmod(F.xxhash64("o", "h"), F.lit(PARTS))], ["lang"]):  # a language's rows are not gathered
+        w = W.partitionBy(*part).orderBy("o", "h")
+        pick = pick.withColumn("r", F.row_number().over(w)).where(F.col("r") <= rows).select("lang", "o", "h")
     text = known.select("text", F.col("lang").alias("l"), F.xxhash64("doc_id").alias("o2"), F.xxhash64("text").alias("h2"))
     got = text.join(F.broadcast(pick), (F.col("l") == F.col("lang")) & (F.col("o") == F.col("o2")) & (F.col("h") == F.col("h2")))
-    return sorted({(r["o"], r["text"], r["lang"]) for r in got.select("o", "text", "lang").collect()})
+    got = got.groupBy("lang", "o", "h").agg(F.first("text").alias("text"))  # repeats go before they reach the driver
+    return sorted((r["o"], r["text"], r["lang"]) for r in got.select("o", "text", "lang").collect())
 
 
 def learn(docs: DataFrame, rows: int = TRAIN_ROWS) -> Field | None:

@@ -6,7 +6,8 @@ all entries, whole words and word beginnings, and all exception phrases; a hit i
 an exception phrase does not count.  The weights of a document's hits, also as weight per
 thousand words, give its score through a logistic curve.
 
-``learn`` builds the lexicon from a bounded sample of labelled rows (``TRAIN_ROWS``):
+``learn`` builds the lexicon from a bounded sample of labelled rows (``TRAIN_ROWS``; rows of equal id, text and
+label count once, and of one id and label at most ``ID_TEXTS`` texts):
 Spark counts, for every word and word beginning, the toxic and other documents that hold it;
 a gram enters if it is ``LEAST_RATIO`` times as frequent in toxic documents and its
 log-likelihood ratio against the labels is at least ``LEAST_LLR`` beyond what the entries nested
@@ -32,10 +33,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
-from fleetscope.llm.common import bounded_batches, held_out, tables
+from fleetscope.llm.common import bounded_batches, held_out, materialize, tables
 
 TRAIN_ROWS = 12_000     # labelled rows a model is fitted on, those of the smallest id hashes
+ID_TEXTS = 16           # texts of one id and label among them, those of the smallest hashes
 MAX_ENTRIES = 5_000     # entries of a lexicon: bounds what each task receives
 LEAST_LLR = 30.0
 LEAST_RATIO = 12.0      # how much more often an entry stands in toxic documents
@@ -226,6 +229,22 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float, ...]
     return tuple(np.maximum(w, [-np.inf] + [0] * (len(w) - 1)).tolist())
 
 
+def _sample(docs: DataFrame, known: DataFrame, rows: int) -> DataFrame:
+    """(text, toxic) of at most ``rows`` rows of the ids in ``known`` (l_id, toxic), each id, text and label once.
+
+    Rows are chosen by the hashes of their texts, so that repeats and an id that very many rows have
+    are reduced before any text is shuffled.
+    """
+    met = (docs.select("doc_id", "text").where("text IS NOT NULL")
+           .join(F.broadcast(known), F.col("doc_id") == F.col("l_id")).select("l_id", "toxic", F.xxhash64("text").alias("th"), "text"))
+    w = W.partitionBy("l_id", "toxic").orderBy("th")
+    pick = (met.select("l_id", "toxic", "th").distinct().withColumn("r", F.row_number().over(w)).where(F.col("r") <= ID_TEXTS)
+            .orderBy(F.xxhash64("l_id"), "l_id", "toxic", "th").limit(rows).select("l_id", "toxic", "th"))
+    pick = docs.sparkSession.createDataFrame(pick.collect(), pick.schema)  # bounded by rows
+    return (met.join(F.broadcast(pick), ["l_id", "toxic", "th"]).groupBy("l_id", "toxic", "th").agg(F.first("text").alias("text"))
+            .select("text", "toxic"))
+
+
 def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
           exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """Fit a lexicon on at most ``rows`` labelled rows outside the held-out fold."""
@@ -234,8 +253,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
              .select(F.col("doc_id").alias("l_id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
              .orderBy(F.xxhash64("l_id"), "l_id", "toxic").limit(rows))
     known = docs.sparkSession.createDataFrame(known.collect(), known.schema)  # bounded by rows
-    train = (docs.select("doc_id", "text").where("text IS NOT NULL")
-             .join(F.broadcast(known), F.col("doc_id") == F.col("l_id")).select("text", "toxic"))
+    train = materialize(_sample(docs, known, rows), "toxicity-sample")
     size = dict(train.groupBy("toxic").count().collect())
     n_pos, n_neg = size.get(1, 0), size.get(0, 0)
     lexicon = Lexicon(exceptions=exceptions)

@@ -76,3 +76,10 @@ def test_awkward_and_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert L.predict(empty, L.learn(empty)).collect() == []
     assert L.predict(docs, None).where("lang_pred <> 'und' OR score <> 0").count() == 0
+
+
+def test_repeats_do_not_fill_the_sample(spark):
+    data = rows(120)
+    first = L.sample(documents(spark, data), 1)[0][1]
+    many = data + [x for x in data if x[1] == first] * 200
+    assert L.sample(documents(spark, many), 20) == L.sample(documents(spark, data), 20)

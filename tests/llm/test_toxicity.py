@@ -86,3 +86,11 @@ def test_only_true_copies_count_as_one():
             want.append(s)
     got = X._apart([(X._words(" ".join(s)), sorted(s)) for s in some])
     assert got == [sorted(s) for s in want]
+
+
+def test_repeated_rows_of_one_labelled_id_are_one(spark):
+    known = table(spark, [(1, 1, 1), (2, 1, 0)]).select("doc_id", "toxic").toDF("l_id", "toxic")
+    many = [(1, prose(1, 9))] * 300 + [(2, prose(100 + i, 9)) for i in range(200)] + [(3, prose(3, 9))]
+    got = [tuple(r) for r in X._sample(documents(spark, many), known, X.TRAIN_ROWS).collect()]
+    assert got.count((prose(1, 9), 1)) == 1 and len(got) == len(set(got)) == 1 + X.ID_TEXTS
+    assert X._sample(documents(spark, many), known, 5).count() == 5
