@@ -87,7 +87,8 @@ def derived_log(pages: DataFrame) -> DataFrame:
 
     An entry whose first four hex digits v leave 0 modulo 3 (pages: 7) is added on day v mod
     200 of 2024, removed 30 + v mod 60 days later if v is even, and added again 120 days
-    after the first time if v leaves 0 modulo 5.
+    after the first time if v leaves 0 modulo 5.  Domains of one or two labels (com, example.com) are
+    left out, as in the SQL, so the list never holds a domain that most captures share; ``judge`` takes such entries.
     """
     name = pages.where("url IS NOT NULL").select(F.explode(keys("url")).alias("k")).select("k.kind", "k.value").distinct()
     name = name.where("kind <> 'domain' OR size(split(value, '[.]')) >= 3")
