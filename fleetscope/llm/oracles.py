@@ -115,4 +115,140 @@ SELECT dw.doc_id, coalesce(len(w), 0)::bigint AS n_words, coalesce(n_hit, 0)::bi
 FROM dw LEFT JOIN hit ON hit.doc_id = dw.doc_id LEFT JOIN item ON item.doc_id = dw.doc_id
 """
 
-ORACLES = {"op1_line_dedup": OP1, "op4_near_duplicates": OP4, "op6_url_filter": OP6, "op9_decontamination": OP9}
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, bit by bit; 3988292384 is its polynomial."""
+    codes = f"list_transform(range(strlen({text})), lambda i: ('0x' || substr(hex({text}), 2 * i::int + 1, 2))::bigint)"
+    return (f"(4294967295 - list_reduce([4294967295::BIGINT] || {codes}, lambda a, b: list_reduce("
+            "[xor(a, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))")
+
+
+# All pairs of equal words a quarter of the text apart at most; stretches of them for each distance.
+OP11 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w,
+         {_crc32('doc_id::varchar')} AS h FROM documents),
+v AS (SELECT *, len(w) AS n, coalesce(h % 10 = 0 AND len(w) > 0, false) AS made, h // 10 AS g FROM d),
+u AS (SELECT *, CASE WHEN made THEN g % n ELSE n END AS a FROM v),
+t AS (SELECT *, CASE WHEN made THEN 1 + (n - a) // (3 + g % 8) ELSE 1 END AS p FROM u),
+word AS (
+  SELECT r, n, i, w[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM t)),
+eq AS (
+  SELECT x.r, x.i, y.i - x.i AS q FROM word x JOIN word y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+isle AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM eq),
+stretch AS (SELECT r, q, min(i) AS s, max(i) + q + 1 AS e FROM isle GROUP BY r, q, g HAVING count(*) + q >= greatest(6, 4 * q)),
+run AS (SELECT r, s, e, min(q) AS q FROM stretch GROUP BY r, s, e),
+sums AS (
+  SELECT r, count(*) AS n_runs, string_agg(s || ',' || (e - s) || ',' || q || chr(10), '' ORDER BY s, q) AS listed,
+         min_by({{'start': s, 'length': e - s, 'period': q}}, (-(e - s) / q, s, q)) AS b
+  FROM run GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(s + q, e)) AS i FROM run),
+body AS (SELECT word.r, string_agg(word, ' ' ORDER BY word.i) AS body FROM word ANTI JOIN gone USING (r, i) GROUP BY word.r)
+SELECT doc_id, coalesce(n_runs, 0)::bigint AS n_runs, b.start::bigint AS start, b.length::bigint AS length, b.period::bigint AS period,
+       (1000 * b.length // b.period)::bigint AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+FROM d LEFT JOIN sums ON sums.r = d.r LEFT JOIN body ON body.r = d.r
+"""
+
+# Words that agree once a code point is deleted from both, or from the longer one.
+OP12 = rf"""
+WITH RECURSIVE run AS (
+  SELECT doc_id, word, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS word
+    FROM documents)
+  GROUP BY doc_id, word),
+h AS (SELECT word, n, {_crc32("(doc_id || ':' || word)")} AS h FROM run WHERE length(word) >= 6),
+v AS (
+  SELECT word, sum(n)::bigint AS n FROM (
+    SELECT n, CASE WHEN coalesce(h % 199 = 0, false) THEN substr(word, 1, h % length(word)) || substr(word, h % length(word) + 2)
+                   ELSE word END AS word FROM h)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+del AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS short FROM (SELECT *, unnest(range(length(word))) AS i FROM v)),
+pair AS (
+  SELECT a.word AS a, b.word AS b, b.n AS m FROM del a JOIN del b ON a.i = b.i AND a.short = b.short AND a.word <> b.word
+  UNION SELECT d.word, v.word, v.n FROM del d JOIN v ON d.short = v.word
+  UNION SELECT v.word, d.word, d.n FROM del d JOIN v ON d.short = v.word),
+best AS (SELECT a AS word, count(*) AS n_near, min_by(b, (-m, b)) AS form, max(m) AS m FROM pair GROUP BY a),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::bigint AS n_near, CASE WHEN m >= 5 * n THEN form END AS form,
+         CASE WHEN m >= 5 * n THEN m END::bigint AS form_n
+  FROM v LEFT JOIN best USING (word)),
+up(word, last) AS (SELECT word, form FROM f WHERE form IS NOT NULL
+  UNION ALL SELECT up.word, f.form FROM up JOIN f ON f.word = up.last WHERE f.form IS NOT NULL),
+root AS (SELECT up.word, up.last AS root FROM up JOIN f ON f.word = up.last WHERE f.form IS NULL)
+SELECT f.word, n, form, form_n, coalesce(root, f.word) AS root, n_near FROM f LEFT JOIN root ON root.word = f.word
+"""
+
+_PII_RULES = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "list_max(list_transform(string_split(v, '.'), lambda x: x::hugeint)) <= 255"),
+    ("card", r"[0-9]([\x20-]?[0-9])+", """length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(range(length(digits)), lambda i:
+        CASE WHEN i % 2 = 0 THEN digits[length(digits) - i]::int
+             ELSE translate(digits[length(digits) - i], '0123456789', '0246813579')::int END)) % 10 = 0"""),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(digits) BETWEEN 9 AND 15"),
+    ("token", r"[^\x20\x09-\x0D]+", "regexp_matches(v, '[0-9@]')"))
+
+
+def _pii() -> str:
+    """The base rules by position, then five rounds of the pattern scores, written out."""
+    found, rounds = [], []
+    for k, (_, rule, test) in enumerate(_PII_RULES):
+        found.append(f"""
+m{k} AS (SELECT r, {k} AS kind, text, i, z[1] AS gap, z[2] AS v FROM (
+  SELECT r, text, unnest(list_transform(list_zip(regexp_split_to_array(text, '{rule}'), regexp_extract_all(text, '{rule}')), lambda z: [z[1], z[2]])) AS z,
+         generate_subscripts(regexp_split_to_array(text, '{rule}'), 1) AS i FROM d WHERE text IS NOT NULL)),
+s{k} AS (
+  SELECT r, kind, v, stop - length(v) AS s, stop, substr(text, 1, (stop - length(v))::int) AS head FROM (
+    SELECT *, sum(length(gap) + length(v)) OVER (PARTITION BY r ORDER BY i) AS stop, regexp_replace(v, '[^0-9]', '', 'g') AS digits
+    FROM m{k} WHERE v IS NOT NULL) WHERE {test})""")
+    got = "SELECT NULL::varchar AS value, NULL::int AS kind WHERE false"
+    for i in range(5):
+        rounds.append(f"""
+sure{i} AS (SELECT p, kind, n FROM edge WHERE kind < 4 UNION ALL SELECT p, g.kind, n FROM edge JOIN ({got}) g ON g.value = edge.v WHERE edge.kind = 4),
+conf{i} AS (SELECT p, kind, sum(n) / (total + 1) AS c FROM sure{i} JOIN total USING (p) GROUP BY p, kind, total),
+best{i} AS (
+  SELECT v, l1, l2, n, c.kind, max(c) AS c FROM (SELECT DISTINCT v, l1, l2, n, unnest([l1, l2]) AS p FROM ctx WHERE kind = 4) x
+  JOIN conf{i} c USING (p) GROUP BY v, l1, l2, n, c.kind),
+got{i} AS (
+  SELECT v AS value, arg_max(kind, (r, -kind)) AS kind FROM (
+    SELECT v, kind, round(sum(c * n) / size, 9) AS r FROM best{i} JOIN (SELECT v, sum(n) AS size FROM ctx WHERE kind = 4 GROUP BY v) USING (v)
+    GROUP BY v, kind, size) GROUP BY v HAVING max(r) >= 0.8)""")
+        got = f"SELECT * FROM got{i}"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),{','.join(found)},
+base AS (SELECT * FROM s0 UNION ALL SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3),
+trim_ AS (
+  SELECT r, kind, regexp_replace(regexp_replace(v, '^[^\p{{L}}\p{{N}}@+]+', ''), '[^\p{{L}}\p{{N}}@+]+$', '') AS v,
+         s + length(v) - length(regexp_replace(v, '^[^\p{{L}}\p{{N}}@+]+', '')) AS s, head FROM s4),
+token AS (
+  SELECT t.r, t.kind, t.v, t.s, t.s + length(t.v) AS stop, t.head FROM trim_ t WHERE length(t.v) BETWEEN 4 AND 64
+  AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = t.r AND b.s < t.s + length(t.v) AND b.stop > t.s)),
+men AS (
+  SELECT r, kind, v, s, stop, l[-1] AS l1, l[-2] || ' ' || l[-1] AS l2 FROM (
+    SELECT *, regexp_extract_all(lower(right(head, 200)), '\p{{L}}+') AS l FROM (SELECT * FROM base UNION ALL SELECT * FROM token))),
+ctx AS (SELECT kind, v, l1, l2, count(*) AS n FROM men WHERE l1 IS NOT NULL GROUP BY kind, v, l1, l2),
+edge AS (SELECT kind, v, n, unnest([l1, l2]) AS p FROM ctx),
+pattern AS (SELECT p FROM edge WHERE p IS NOT NULL GROUP BY p HAVING count(DISTINCT v) >= 5),
+w AS (SELECT r, unnest(l) AS w, unnest([''] || l) AS v FROM (SELECT r, regexp_extract_all(lower(text), '\p{{L}}+') AS l FROM d)),
+total AS (SELECT p, count(*) AS total FROM (SELECT w AS p FROM w UNION ALL SELECT v || ' ' || w FROM w) SEMI JOIN pattern USING (p) GROUP BY p),{','.join(rounds)},
+kind AS (SELECT unnest(['email', 'ip', 'card', 'phone']) AS name, unnest([0, 1, 2, 3]) AS k),
+span AS (
+  SELECT r, kind AS nr, s, stop, name FROM base JOIN kind ON k = kind
+  UNION ALL SELECT r, 4 + g.kind, s, stop, name || '_like' FROM token JOIN got4 g ON g.value = token.v JOIN kind ON k = g.kind),
+sums AS (
+  SELECT r, string_agg(name || ':' || s || ':' || stop, ',' ORDER BY s, nr) FILTER (nr < 4) AS b,
+         string_agg(name || ':' || s || ':' || stop, ',' ORDER BY s, nr) AS spans,
+         {', '.join(f"count(*) FILTER (nr = {k}) AS n_{n}" for k, n in enumerate(("email", "ip", "card", "phone")))}
+  FROM span GROUP BY r)
+SELECT doc_id, {', '.join(f"coalesce(n_{n}, 0)::bigint AS n_{n}" for n in ("email", "ip", "card", "phone"))},
+       sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN sums ON sums.r = d.r
+"""
+
+
+OP13 = _pii()
+
+ORACLES = {"op1_line_dedup": OP1, "op4_near_duplicates": OP4, "op6_url_filter": OP6, "op9_decontamination": OP9,
+           "op11_periodic_runs": OP11, "op12_spelling_variants": OP12, "op13_personal_data": OP13}
