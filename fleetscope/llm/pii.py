@@ -5,7 +5,8 @@ addresses, IP addresses, card numbers that pass Luhn, telephone numbers.  Spans
 
 **Mentions** are the seeds and the tokens that look like identifiers (without blanks, with a digit or ``@``, 4 to 64
 code points without the signs around them) and touch no seed.  A mention's contexts are the last word and the last two
-words before it, where a word is a run of letters.
+words before it, where a word is a run of letters; they don't reach behind the former match of the same rule, nor further
+back than 200 code points.
 
 **Patterns** are contexts of ``SUPPORT`` or more different mentions.  How often a pattern's words occur in the
 whole corpus, before whatever, is counted in one pass over all texts.  The graph of patterns and mentioned
@@ -13,9 +14,9 @@ values is then scored in rounds, for each kind of seed:
 
 * a pattern's confidence is the number of sure mentions of the kind behind it, by one more than its words' occurrences
   anywhere: what mostly stands before ordinary words is no evidence, however many seeds it precedes;
-* a value's reliability is the mean, over its occurrences, of the better of its contexts' confidences (to nine decimals).  Values that reach
-  ``THRESHOLD`` are taken for the kind that gives most (ties: the first) and are sure mentions of it from the next round on,
-  also for other patterns.
+* a value is taken for the kind if at least half of its occurrences stand behind a pattern whose confidence reaches
+  ``THRESHOLD`` (of several kinds the one with most such occurrences, then the first), and is a sure mention of it from the
+  next round on, also for other patterns.
 
 Confidences only grow, so values stay taken.  Rounds end when no further value is taken, at most after ``ROUNDS``.  All mentions of a taken value are added as spans of the
 kind ``<kind>_like``; base spans always stay.
@@ -64,9 +65,8 @@ def _found(kind: int) -> str:
     """SQL: (kind, i, gap, value, before) of the rule's matches, in order; gap: code points since the former match."""
     rule, need = _sql(_RULES[kind]), _NEEDS[kind]
     matches = f"regexp_extract_all(text, {rule}, 0)"
-    zipped = f"arrays_zip(split(text, {rule}, -1), {matches}, concat(array(''), {matches}))"
-    rows = (f"transform({zipped}, (z, i) -> named_struct('kind', {kind}, 'i', i, 'gap', char_length(z['0']), 'value', z['1'], "
-            "'before', right(concat(coalesce(z['2'], ''), z['0']), 200)))")
+    rows = (f"transform(arrays_zip(split(text, {rule}, -1), {matches}), (z, i) -> named_struct('kind', {kind}, 'i', i, "
+            "'gap', char_length(z['0']), 'value', z['1'], 'before', right(z['0'], 200)))")
     rows = f"filter({rows}, x -> x.value IS NOT NULL)"
     has = f"contains(text, '{need}') AND " if need else ""
     return f"CASE WHEN {has}text RLIKE '[0-9@]' THEN {rows} ELSE array() END"
@@ -124,10 +124,9 @@ def _occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     last = _bounded(materialize(patterns.select(F.substring_index("p", " ", -1).alias("w")).distinct(), "pii-words"))
     words = r"split(lower(text), '[^\\p{L}]+')"
     each = docs.where("text IS NOT NULL").select(F.expr(f"inline(arrays_zip({words}, concat(array(''), {words})))").alias("w", "v"))
-    each = each.join(last, "w").select("w", F.expr("v || ' ' || w").alias("vw"))
-    one = each.groupBy("w", "vw").count()
-    both = one.select(F.explode(F.array("w", "vw")).alias("p"), "count").groupBy("p").agg(F.sum("count").alias("total"))
-    return both.join(patterns, "p", "left_semi")
+    # words that end no pattern go before any string is built; what is left meets the patterns before it is counted
+    each = each.join(last, "w").select(F.expr("explode(array(w, v || ' ' || w)) AS p"))
+    return each.join(_bounded(patterns), "p").groupBy("p").agg(F.count("*").alias("total"))
 
 
 def taken(docs: DataFrame, found: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
@@ -146,15 +145,13 @@ def taken(docs: DataFrame, found: DataFrame, support: int = SUPPORT, threshold:
     got, before = spark.createDataFrame([], "value string, kind int"), 0
     for _ in range(rounds):
         sure = seeds.select("p", "kind", "count").union(token.join(got, "value").select("p", "kind", "count"))
-        conf = (sure.groupBy("p", "kind").agg(F.sum("count").alias("have")).join(totals, "p")
-                .select("p", "kind", (F.col("have") / (F.col("total") + 1)).alias("c")))
-        conf = materialize(conf, "pii-confidence")
-        best = (at.select("value", "l1", "l2", "count", F.explode(F.array("l1", "l2")).alias("p")).join(conf, "p")
-                .groupBy("value", "l1", "l2", "count", "kind").agg(F.max("c").alias("c")))
-        r = (best.groupBy("value", "kind").agg(F.sum(F.col("c") * F.col("count")).alias("c")).join(size, "value")
-             .select("value", "kind", F.round(F.col("c") / F.col("size"), 9).alias("r")))
-        r = r.groupBy("value").agg(F.max(F.struct("r", (-F.col("kind")).alias("k"))).alias("b")).where(F.col("b.r") >= threshold)
-        got = materialize(r.select("value", (-F.col("b.k")).alias("kind")), "pii-taken")
+        strong = (sure.groupBy("p", "kind").agg(F.sum("count").alias("have")).join(totals, "p")
+                  .where(F.col("have") >= threshold * (F.col("total") + 1)).select("p", "kind"))
+        strong = materialize(strong, "pii-strong")
+        behind = (at.select("value", "l1", "l2", "count", F.explode(F.array("l1", "l2")).alias("p")).join(strong, "p")
+                  .select("value", "l1", "l2", "count", "kind").distinct().groupBy("value", "kind").agg(F.sum("count").alias("have")))
+        best = behind.groupBy("value").agg(F.max(F.struct("have", (-F.col("kind")).alias("k"))).alias("b")).join(size, "value")
+        got = materialize(best.where(2 * F.col("b.have") >= F.col("size")).select("value", (-F.col("b.k")).alias("kind")), "pii-taken")
         now = got.count()
         if now == before:
             break
