@@ -9,17 +9,20 @@ place.  All phrases are searched backwards at once; each match's positions are
 located by walking back to a sample, and overlapping matches merge to removal spans.
 
 A phrase is a window of ``width`` consecutive words of a benchmark item; an item
-with fewer words, but not none, is one phrase.  Items are searched in blocks of
-``ITEM_BLOCK``, so what a task receives is bounded; every block passes over all documents.
+with fewer words, but not none, is one phrase.  Items are dealt to blocks of about ``ITEM_BLOCK`` rows and
+``BLOCK_BYTES`` bytes.  One block is searched while the documents are read, without any exchange.  More blocks are
+written to the scratch folder and searched one after another: a pass reads the documents' texts, holds one
+block in the driver and its tasks, and writes its hits only; in the end these are merged by the documents' row numbers.
 
-Nulls and ties: a null text has no words.  A null item_id counts as an item but is
-left out of the list of ids.  Repeated items are searched once for each id.
+Nulls and ties: a null text has no words.  An item is a distinct item_id: rows that share one are one
+item with all their windows; rows without an id are one item that counts, but is left out of the list of ids.
 Documents with equal doc_id are handled row by row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetscope.llm.common import bounded_batches
+from fleetscope.llm.common import bounded_batches, materialize
 
 WIDTH = 10
 ITEM_BLOCK = 20_000       # items of one pass: bounds what each task receives
+BLOCK_BYTES = 16_000_000  # bytes of their texts
 SHARD_WORDS = 2_000_000   # symbols a shard gathers before it is indexed
 SAMPLE = 8                # one suffix position in so many is kept
 
@@ -51,18 +55,19 @@ def spans_of(text: str) -> tuple[bytes, np.ndarray, np.ndarray]:
 
 
 class Phrases:
-    """The windows of a block of items: distinct, with the items that hold each."""
+    """The windows of a block of items (id, text): distinct, with the numbers of the ids that hold each."""
 
     def __init__(self, items: list[tuple], width: int = WIDTH):
         self.ids = {}
         self.owners: list[set[int]] = []
-        self.names = [i for i, _ in items]
-        at: dict[tuple, int] = {}
-        for k, (_, text) in enumerate(items):
+        self.names = list(dict.fromkeys(i for i, _ in items))
+        number, at = {i: k for k, i in enumerate(self.names)}, {}
+        for i, text in items:
+            k = number[i]
             ws = [self.ids.setdefault(w, len(self.ids) + 1) for w in words(text)]
             n = min(width, len(ws))
-            for i in range(len(ws) - n + 1 if ws else 0):
-                w = tuple(ws[i:i + n])
+            for j in range(len(ws) - n + 1 if ws else 0):
+                w = tuple(ws[j:j + n])
                 if w not in at:
                     at[w] = len(at)
                     self.owners.append(set())
@@ -192,8 +197,17 @@ def _shard(docs: list[list[bytes]], phrases: Phrases) -> tuple[list, list]:
     return hit, items
 
 
-def _search(phrases: Phrases, others: int):
-    """Adds n_words, hits and items to batches whose column ``text`` stands after ``others`` others."""
+_FOUND = T.StructType([
+    T.StructField("n_words", T.LongType()),
+    T.StructField("spans", T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))),
+    T.StructField("items", T.ArrayType(T.StringType())), T.StructField("nameless", T.BooleanType())])
+
+
+def _search(phrases: Phrases, others: int, all_rows: bool):
+    """Adds n_words, spans, items and nameless to batches whose column ``text`` stands after ``others`` others.
+
+    Without ``all_rows`` only rows with hits are given, and their texts are left out.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, docs, size = [], [], 0
 
@@ -202,13 +216,15 @@ def _search(phrases: Phrases, others: int):
             at = 0
             for b in held:
                 n = b.num_rows
-                span = [_merged(h) for h in hits[at:at + n]]
-                names = [sorted({str(phrases.names[i]) for i in x if phrases.names[i] is not None}) for x in items[at:at + n]]
+                some = [i for i in range(n) if all_rows or hits[at + i] is not None]
+                names = [[phrases.names[k] for k in items[at + i]] for i in some]
+                out = [*b.columns] if all_rows else [c.take(pa.array(some, pa.int64())) for c in b.columns[:others]]
                 yield pa.RecordBatch.from_arrays(
-                    [*b.columns, pa.array([len(w) for w in docs[at:at + n]], pa.int64()),
-                     pa.array(span, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))),
-                     pa.array(names, pa.list_(pa.string())), pa.array([len(x) for x in items[at:at + n]], pa.int64())],
-                    [*b.schema.names, "n_words", "spans", "items", "n_items"])
+                    [*out, pa.array([len(docs[at + i]) for i in some], pa.int64()),
+                     pa.array([_merged(hits[at + i]) for i in some], pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))),
+                     pa.array([sorted(x for x in own if x is not None) for own in names], pa.list_(pa.string())),
+                     pa.array([None in own for own in names], pa.bool_())],
+                    [*b.schema.names[:len(out)], *_FOUND.names])
                 at += n
 
         for b in batches:
@@ -232,17 +248,19 @@ def _merged(hit: np.ndarray | None) -> list[dict]:
     return [{"first": int(a), "last": int(b) - 1} for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
 
 
-def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
-    """The items, ITEM_BLOCK at a time; never more than one block on the driver."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("i"), "text").where("text IS NOT NULL")
-    block, none = [], True
-    for r in items.toLocalIterator():
-        block.append((r["i"], r["text"]))
-        if len(block) == ITEM_BLOCK:
-            yield block
-            block, none = [], False
-    if block or none:
-        yield block
+def _item_blocks(benchmark: DataFrame) -> list[DataFrame]:
+    """The distinct items (i, text), dealt to blocks by a hash; each block is small enough to be collected."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("i"), "text").where("text IS NOT NULL").distinct()
+    n, size = items.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    blocks = max(1, -(-n // ITEM_BLOCK), -(-(size or 0) // BLOCK_BYTES))
+    if blocks == 1:
+        return [items]
+    dealt = materialize(items.withColumn("block", F.pmod(F.xxhash64("i", "text"), F.lit(blocks))), "leak-items")
+    return [dealt.where(F.col("block") == k).select("i", "text") for k in range(blocks)]
+
+
+def _phrases(block: DataFrame) -> Phrases:
+    return Phrases([(r["i"], r["text"]) for r in block.collect()])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,43 +283,49 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _found(docs: DataFrame, benchmark: DataFrame, cols: list[str]) -> DataFrame:
     """The columns as c0, c1, ... (no name can clash), with text, n_words, spans, items, n_items."""
     bounded_batches(docs.sparkSession)
-    out = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)], "text")
-    for k, block in enumerate(_item_blocks(benchmark)):
-        out = _pass(out, len(cols), block, k)
-    return out
+    named = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)], "text")
+    blocks = _item_blocks(benchmark)
+    if len(blocks) == 1:
+        out = named.mapInArrow(_search(_phrases(blocks[0]), len(cols), True), T.StructType([*named.schema.fields, *_FOUND.fields]))
+    else:
+        out = _by_blocks(named, blocks)
+    n_items = F.size("items") + F.col("nameless").cast("int")
+    return out.select(*named.columns, "n_words", "spans", "items", n_items.cast("long").alias("n_items"))
+
+
+def _by_blocks(named: DataFrame, blocks: list[DataFrame]) -> DataFrame:
+    """The documents with what the passes over all blocks find, each pass a job of its own."""
+    rows = materialize(named.withColumn("row", F.monotonically_increasing_id()), "leak-rows")
+    texts = rows.select("row", "text")
+    none = T.StructType([texts.schema["row"], *_FOUND.fields])
+    hits = [materialize(texts.mapInArrow(_search(_phrases(b), 1, False), none), "leak-hits") for b in blocks]
+    one = reduce(DataFrame.union, hits).groupBy("row").agg(
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("nameless").alias("nameless"))
+    empty = F.expr("cast(array() AS array<struct<first:bigint,last:bigint>>)")
+    last = lambda acc: F.element_at(acc, -1)
+    merged = F.aggregate("spans", empty, lambda acc, x: F.when(
+        (F.size(acc) > 0) & (last(acc)["last"] >= x["first"] - 1),
+        F.concat(F.slice(acc, 1, F.size(acc) - 1),
+                 F.array(F.struct(last(acc)["first"].alias("first"), F.greatest(last(acc)["last"], x["last"]).alias("last")))))
+        .otherwise(F.concat(acc, F.array(x))))
+    one = one.select(F.col("row").alias("hit_row"), merged.alias("spans"), "items", "nameless")
+    n_words = F.size(F.regexp_extract_all(F.col("text"), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0)))
+    return rows.join(one, F.col("row") == F.col("hit_row"), "left").select(
+        *named.columns, F.when(F.col("text").isNull(), 0).otherwise(n_words).cast("long").alias("n_words"),
+        F.coalesce("spans", empty).alias("spans"), F.coalesce("items", F.expr("cast(array() AS array<string>)")).alias("items"),
+        F.coalesce("nameless", F.lit(False)).alias("nameless"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, spans, items, n_items: one row per row of ``docs``.
 
     spans: merged runs of hit words, first and last word's number, from 0; items: ids
-    with occurring windows as strings, sorted; n_items also counts items without an id.
+    with occurring windows as strings, sorted; n_items counts them, and all items without an id as one.
     """
     return _found(docs, benchmark, ["doc_id"]).select(F.col("c0").alias("doc_id"), "n_words", "spans", "items", "n_items")
 
 
-def _pass(df: DataFrame, others: int, block: list[tuple], k: int) -> DataFrame:
-    """Search one block of items; what former blocks found is carried along and merged."""
-    old = [F.struct("n_words", "spans", "items", "n_items").alias("old")] if k else []
-    held = df.select(*[f"c{i}" for i in range(others)], *old, "text")
-    span = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
-    schema = T.StructType([*held.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("spans", span),
-                           T.StructField("items", T.ArrayType(T.StringType())), T.StructField("n_items", T.LongType())])
-    found = held.mapInArrow(_search(Phrases(block), others + len(old)), schema)
-    if not k:
-        return found
-    runs = F.aggregate(
-        F.array_sort(F.concat("old.spans", "spans")), F.expr("cast(array() AS array<struct<first:bigint,last:bigint>>)"),
-        lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["last"] >= x["first"] - 1),
-                              F.concat(F.slice(acc, 1, F.size(acc) - 1),
-                                       F.array(F.struct(F.element_at(acc, -1)["first"].alias("first"),
-                                                        F.greatest(F.element_at(acc, -1)["last"], x["last"]).alias("last")))))
-        .otherwise(F.concat(acc, F.array(x))))
-    return found.select(*[F.col(f"c{i}") for i in range(others)], "text", "n_words", runs.alias("spans"),
-                        F.array_sort(F.array_union("old.items", "items")).alias("items"),
-                        (F.col("old.n_items") + F.col("n_items")).alias("n_items"))
-
-
 def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated: one row per row of ``docs``."""
     hits = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"] + 1)

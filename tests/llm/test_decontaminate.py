@@ -59,6 +59,37 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, ITEMS)
 
 
+def test_rows_of_one_id_and_rows_without_id(spark):
+    items = [(1, "a b c"), (1, "a b c"), (1, "x y z"), (None, "m n o"), (None, "q r s"), (None, "m n o")]
+    rows = [(1, "zero a b c one x y z"), (2, "m n o and q r s"), (3, "a b c m n o"), (4, "nothing"), (4, "x y z")]
+    got = sorted((tuple(r) for r in D.leak_report(documents(spark, rows), bench(spark, items)).collect()), key=str)
+    assert got == brute(rows, items) and [r[3] for r in got] == [1, 1, 2, 0, 1]
+
+
+def test_many_blocks_are_searched_one_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(D, "ITEM_BLOCK", 1)
+    items = [(i // 2, prose(900 + i, 12)) for i in range(24)] + [(None, prose(960, 11))]
+    rows = [(i, prose(i, 20) + " " + prose(900 + i, 12) + " " + " ".join(prose(901 + i, 12).split()[:10 + i % 3])) for i in range(26)] + AWKWARD
+    held, real = [], D.Phrases.__init__
+
+    def count(self, block, width=D.WIDTH):
+        held.append(len(block))
+        real(self, block, width)
+
+    monkeypatch.setattr(D.Phrases, "__init__", count)
+    out = D.leak_report(documents(spark, rows), bench(spark, items))
+    assert sorted((tuple(r) for r in out.collect()), key=str) == brute(rows, items)
+    assert sum(held) == len(items) and len(held) > 10 and "MapInArrow" not in out._jdf.queryExecution().toString()
+    cut = D.remove_leaks(documents(spark, rows), bench(spark, items))
+    assert D.leak_report(cut, bench(spark, items)).where("contaminated").count() == 0
+
+
+def test_blocks_are_bounded_by_bytes_too(spark, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK_BYTES", 200)
+    blocks = D._item_blocks(bench(spark, ITEMS))
+    assert len(blocks) > 1 and sum(b.count() for b in blocks) == len({i for i in ITEMS if i[1] is not None})
+
+
 def test_empty_tables(spark):
     docs = documents(spark, planted())
     assert D.leak_report(docs, bench(spark, [])).where("contaminated").count() == 0
