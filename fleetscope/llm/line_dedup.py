@@ -3,9 +3,9 @@
 A line's words are its runs of non-blanks; a word that holds a digit is a field, ``<*>``.  The tree
 has a fixed depth: the first level is the number of words, the next ``DEPTH`` levels are the leading words;
 its leaves hold the lines that may share a template.  Within a leaf a word is
-constant at its place if at least ``MIN_DOCS`` lines have it there, and varies otherwise:
-a line's template is its words with fields and varying words as ``<*>``.  A template that
-occurs in ``MIN_DOCS`` documents or more is boilerplate, and its lines are dropped from all documents, if
+constant at its place if lines with at least ``MIN_TEXTS`` votes have it there, and varies otherwise:
+a line's template is its words with fields and varying words as ``<*>``.  A template with ``MIN_TEXTS`` votes
+is boilerplate, and its lines are dropped from all documents, if
 
 * all its words are constant, so that its lines are equal; or
 * none varies, so that they differ in fields only, and at least ``MIN_SHARE`` of its words are constant; or
@@ -14,16 +14,22 @@ occurs in ``MIN_DOCS`` documents or more is boilerplate, and its lines are dropp
   merely many lines of a large leaf have.
 
 In the shares bare signs (no letter, no digit) do not count and fields count as not constant.
+A line of ``VERBATIM_WORDS`` words or more that recurs word by word, fields included, is dropped from ``MIN_VERBATIM`` votes on.
 
-Counts are combined before every shuffle, over whole lines and documents.  Leaves that
-fewer than ``MIN_DOCS`` documents reach go before words are compared, as none of
-their lines can be dropped.
+**Votes.**  Copies must not vote content out of the corpus.  Equal texts are one text.  Each of a text's lines is
+seen in three surroundings: the smallest of the *other* lines' checksums, by three orders.  A line's votes are the different
+surroundings that its texts give it, in the order that gives most.  Boilerplate recurs in ever other surroundings; the lines of near
+copies recur in mostly the same ones.  Votes below ``UNLIKE`` of the texts do not count.
+
+**How it runs.**  Documents are read once for the lines' checksums, which are written; no line text is shuffled for counting.
+Which checksums stand in two texts, and which leaves in ``MIN_TEXTS``, becomes a bitmap of at
+most 2^26 bits (a Bloom filter of one hash): a broadcast table of bounded size that nearly all other lines fail
+before any further exchange; exact joins behind it remove what slips through.  Only lines of wide
+leaves are read again for their words.  In the end only texts that lose a line meet the lost places in a join; the others pass by.
 
 Nulls and ties: a null text stays null.  Lines end at U+000A; blank lines stay and have no
-template.  A template that repeats within one document counts once for it.  Each row is a
-document, also if ids are null or repeat; but rows with equal id and text count once.
-Copies under different ids count each: a text that only repeats itself, in ``MIN_DOCS`` documents or
-more, loses its lines in every copy and is kept in none.  Run the query behind a removal of copies.
+template.  Each row is a document, also if ids are null or repeat.  A text that only repeats itself, as copies or
+among near copies, keeps its lines in every copy.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,9 +42,14 @@ from pyspark.sql import functions as F
 from fleetscope.llm.common import materialize
 
 DEPTH = 2
-MIN_DOCS = 20
+MIN_TEXTS = 20
 MIN_SHARE = 0.5
 LEAF_SHARE = 0.5
+MIN_VERBATIM = 3
+VERBATIM_WORDS = 4
+UNLIKE = 0.5
+BITMAP_WORDS = 1 << 20                 # of 64 bits
+_ORDERS = (1, 5, 9)                    # first byte of a checksum's eight by which surroundings are ordered
 _BLANKS = ("\t", "\x0b", "\f", "\r")   # besides the space
 _DIGITS = "0123456789"
 
@@ -58,9 +69,9 @@ def _count(text: Column | str, mark: str) -> Column:
     return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(mark), F.lit("")))
 
 
-def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Add a column that later expressions read and do not compute again."""
-    return df.select("*", F.explode(F.array(value)).alias(name))
+def _bind(value: Column, body) -> Column:
+    """body(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def _general(word: Column) -> Column:
@@ -68,27 +79,86 @@ def _general(word: Column) -> Column:
     return F.when(F.translate(word, _DIGITS, "") != word, F.lit("<*>")).otherwise(word)
 
 
-def templates(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE,
-              leaf_share: float = LEAF_SHARE) -> tuple[DataFrame, DataFrame]:
-    """(h1, h2) of the lines to drop, and (doc_id, th, h1, h2, place) of all lines that may be."""
-    # every line that is not blank, with its leaf
-    base = docs.select("doc_id", F.xxhash64("text").alias("th"), "text").where("text IS NOT NULL")
-    raw = base.select("doc_id", "th", F.posexplode(_lines("text")).alias("place", "raw"))
-    line = _once(raw, "line", _spaced(F.col("raw"))).where("line <> ''").drop("raw")
-    lead = F.split(F.substring_index("line", " ", depth), " ")
-    leaf = F.xxhash64(_count("line", " ") + 1, F.array_join(F.transform(lead, _general), " "))
-    line = line.select("doc_id", "th", "place", "line", leaf.alias("leaf"))
-    # leaves that enough documents reach
-    wide = (line.select("leaf", "doc_id", "th").distinct().groupBy("leaf").count()
-            .where(F.col("count") >= min_docs).select("leaf"))
-    norm = F.array_join(F.transform(F.split("line", " "), _general), " ")
-    kept = _once(line.join(wide, "leaf"), "norm", norm).drop("line")
-    kept = materialize(kept.select("*", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit("2"), "norm").alias("h2")),
-                       "line-candidates")
-    # words that are constant at their place, by lines
-    text = kept.groupBy("leaf", "h1", "h2").agg(F.first("norm").alias("norm"), F.count("*").alias("n"))
-    word = text.select("leaf", "h1", "h2", "n", F.posexplode(F.split("norm", " ")).alias("at", "word"))
-    known = word.groupBy("leaf", "at", "word").agg(F.sum("n").alias("n")).where((F.col("n") >= min_docs) & (F.col("word") != "<*>"))
+def _leaf(line: Column | str, depth: int) -> Column:
+    lead = F.split(F.substring_index(line, " ", depth), " ")
+    return F.xxhash64(_count(line, " ") + 1, F.array_join(F.transform(lead, _general), " "))
+
+
+def _norm(line: Column) -> Column:
+    return F.array_join(F.transform(F.split(line, " "), _general), " ")
+
+
+def _checksum(line: Column) -> Column:
+    return F.unhex(F.md5(line))
+
+
+def _surroundings(ids: Column) -> Column:
+    """For each of three orders the smallest and the second smallest different checksum."""
+    def two(at: int) -> Column:
+        own = F.transform(ids, lambda x: F.substring(x, at, 8))
+        return _bind(F.array_min(own), lambda low: F.struct(low.alias("low"), F.array_min(F.filter(own, lambda x: x != low)).alias("next")))
+    return F.array(*[two(at) for at in _ORDERS])
+
+
+def line_hashes(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """th, place, words, leaf, vid, nid, s0, s1, s2 of every line that is not blank.
+
+    vid and nid are the checksums of the line and of the line with fields; s0 to s2 its surroundings.
+    """
+    lines = F.transform(_lines("text"), _spaced)
+    both = _bind(lines, lambda all_: F.struct(all_.alias("line"), F.transform(all_, lambda x: F.when(x != "", _checksum(x))).alias("vid")))
+    text = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("th"), F.explode(F.array(both)).alias("b"))
+    text = text.select("th", "b", F.explode(F.array(_surroundings(F.col("b.vid")))).alias("around"))
+    line = (text.select("th", "around", F.posexplode(F.arrays_zip("b.line", "b.vid")).alias("place", "z"))
+            .select("th", "around", "place", F.col("z.line").alias("line"), F.col("z.vid").alias("vid")).where("line <> ''"))
+    field = F.translate("line", _DIGITS, "") != F.col("line")
+    own = [F.substring("vid", at, 8) for at in _ORDERS]
+    seen = [F.when(F.get("around", k)["low"] == own[k], F.coalesce(F.get("around", k)["next"], own[k])).otherwise(F.get("around", k)["low"])
+            .alias(f"s{k}") for k in range(len(_ORDERS))]
+    return line.select("th", "place", (_count("line", " ") + 1).alias("words"), _leaf("line", depth).alias("leaf"), "vid",
+                       F.when(field, _checksum(_norm(F.col("line")))).otherwise(F.col("vid")).alias("nid"), *seen)
+
+
+def _bit(key: str) -> tuple[Column, str]:
+    """Where the key's hash has its bit: the word, and SQL of the place in it."""
+    return F.pmod(F.xxhash64(key), F.lit(BITMAP_WORDS)), f"cast(pmod(shiftright(xxhash64({key}), 32), 64) AS int)"
+
+
+def _bitmap(key: str, rows: DataFrame) -> DataFrame:
+    """A bit for each key's hash: at most BITMAP_WORDS rows (at, bits)."""
+    word, place = _bit(key)
+    return rows.select(word.alias("at"), F.expr(f"shiftleft(1L, {place})").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits"))
+
+
+def _marked(rows: DataFrame, key: str, bitmap: DataFrame, name: str) -> DataFrame:
+    """Add whether the key's bit is set; the bitmap's rows are bounded, so it is broadcast."""
+    word, place = _bit(key)
+    bits = bitmap.select(F.col("at").alias(f"{name}_at"), F.col("bits").alias(f"{name}_bits"))
+    return (rows.join(F.broadcast(bits), word == F.col(f"{name}_at"), "left")
+            .withColumn(name, F.expr(f"coalesce(shiftright({name}_bits, {place}) & 1 = 1, false)"))
+            .drop(f"{name}_at", f"{name}_bits"))
+
+
+def _votes(rows: DataFrame, key: str) -> DataFrame:
+    """(key, votes, texts): different surroundings in the best order, and different texts, for each key."""
+    one = rows.select(key, "th", "s0", "s1", "s2").distinct()
+    return (one.groupBy(key).agg(*[F.count_distinct(c).alias(c) for c in ("s0", "s1", "s2")], F.count_distinct("th").alias("texts"))
+            .select(key, F.greatest("s0", "s1", "s2").alias("votes"), "texts"))
+
+
+def _templates(docs: DataFrame, marked: DataFrame, wide: DataFrame, leaves: DataFrame, depth: int, min_texts: int, min_share: float,
+               leaf_share: float) -> DataFrame:
+    """(nid) of the lines whose template is boilerplate."""
+    # the words of the lines of wide leaves
+    line = docs.where("text IS NOT NULL").select(F.explode(_lines("text")).alias("raw")).select(_spaced(F.col("raw")).alias("line"))
+    line = line.where("line <> ''").select("line", _leaf("line", depth).alias("leaf"))
+    line = _marked(line, "leaf", leaves, "wide").where("wide").select("leaf", _norm(F.col("line")).alias("norm")).distinct()
+    text = line.join(wide, "leaf").select("leaf", _checksum(F.col("norm")).alias("nid"), "norm")
+    met = materialize(marked.where("wide").join(wide, "leaf").select("nid", "th", "s0", "s1", "s2").distinct(), "line-candidates")
+    text = materialize(text.join(_votes(met, "nid").select("nid", F.col("votes").alias("n")), "nid"), "line-words")
+    # words that are constant at their place
+    word = text.select("leaf", "nid", "n", F.posexplode(F.split("norm", " ")).alias("at", "word"))
+    known = word.groupBy("leaf", "at", "word").agg(F.sum("n").alias("n")).where((F.col("n") >= min_texts) & (F.col("word") != "<*>"))
     total = text.groupBy("leaf").agg(F.sum("n").alias("total"))
     known = known.join(total, "leaf").select("leaf", "at", "word", F.lit(True).alias("fixed"),
                                              (F.col("n") >= leaf_share * F.col("total")).alias("common"))
@@ -96,33 +166,49 @@ def templates(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min
     times = lambda c: F.count(F.when(c, 1))
     field, letter, fixed, behind = F.col("word") == "<*>", F.rlike("word", F.lit(r"\p{L}")), F.col("fixed"), F.col("at") >= depth
     shape = F.array_sort(F.collect_list(F.struct("at", F.when(fixed, F.col("word")).otherwise("<*>").alias("word"))))
-    tmpl = part.groupBy("leaf", "h1", "h2").agg(
+    tmpl = part.groupBy("leaf", "nid").agg(
         shape.alias("t"), times(fixed.isNull()).alias("open"), times(fixed.isNull() & ~field).alias("vary"),
         times(field | letter).alias("of"), times(fixed & letter).alias("have"),
         times(behind & (field | letter)).alias("b_of"), times(behind & F.col("common") & letter).alias("b_have"))
     enough = lambda have, of: (F.col(of) > 0) & (F.col(have) >= min_share * F.col(of))
     drops = (F.col("open") == 0) | (F.col("vary") == 0) & enough("have", "of") | enough("b_have", "b_of")
-    tmpl = tmpl.select("h1", "h2", F.xxhash64("leaf", F.array_join("t.word", " ")).alias("template"), drops.alias("drops"))
-    # templates that enough documents share
-    tmpl = materialize(tmpl.where("drops").drop("drops"), "line-templates")
-    lines = kept.select("doc_id", "th", "place", "h1", "h2")
-    met = lines.join(tmpl, ["h1", "h2"])
-    many = (met.select("template", "doc_id", "th").distinct().groupBy("template").count()
-            .where(F.col("count") >= min_docs).select("template"))
-    return tmpl.join(many, "template").select("h1", "h2"), lines
-
-
-def dedup_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE,
-                leaf_share: float = LEAF_SHARE) -> DataFrame:
+    tmpl = tmpl.where(drops).select("nid", F.md5(F.concat_ws(" ", "leaf", F.array_join("t.word", " "))).alias("template"))
+    tmpl = materialize(tmpl, "line-templates")
+    # templates that enough unlike texts share
+    many = _votes(met.join(tmpl, "nid"), "template").where((F.col("votes") >= min_texts) & (F.col("votes") >= UNLIKE * F.col("texts")))
+    return tmpl.join(many.select("template"), "template").select("nid")
+
+
+def lost_places(docs: DataFrame, depth: int = DEPTH, min_texts: int = MIN_TEXTS, min_share: float = MIN_SHARE,
+                leaf_share: float = LEAF_SHARE, min_verbatim: int = MIN_VERBATIM) -> DataFrame:
+    """(th, gone): the places of the lines to drop, for each text that has any."""
+    lines = materialize(line_hashes(docs, depth), "line-hashes")
+    two = (lines.where(F.col("words") >= VERBATIM_WORDS).groupBy("vid").agg(F.min("th").alias("a"), F.max("th").alias("b"))
+           .where("a <> b").select("vid"))
+    two = materialize(_bitmap("vid", two), "line-twice")
+    wide = materialize(lines.select("leaf", "th").distinct().groupBy("leaf").count()
+                       .where(F.col("count") >= min_texts).select("leaf"), "line-leaves")
+    leaves = materialize(_bitmap("leaf", wide), "line-wide")
+    marked = _marked(_marked(lines, "leaf", leaves, "wide"), "vid", two, "twice")
+    marked = materialize(marked.where((F.col("twice") & (F.col("words") >= VERBATIM_WORDS)) | F.col("wide")), "line-marked")
+    same = (_votes(marked.where(F.col("twice") & (F.col("words") >= VERBATIM_WORDS)), "vid")
+            .where((F.col("votes") >= min_verbatim) & (F.col("votes") >= UNLIKE * F.col("texts"))).select("vid"))
+    alike = _templates(docs, marked, wide, leaves, depth, min_texts, min_share, leaf_share)
+    gone = marked.join(same, "vid").select("th", "place").union(marked.where("wide").join(alike, "nid").select("th", "place"))
+    return gone.groupBy("th").agg(F.collect_set("place").alias("gone"))
+
+
+def dedup_lines(docs: DataFrame, depth: int = DEPTH, min_texts: int = MIN_TEXTS, min_share: float = MIN_SHARE,
+                leaf_share: float = LEAF_SHARE, min_verbatim: int = MIN_VERBATIM) -> DataFrame:
     """doc_id, n_lines, n_dropped, text: one row per row of ``docs``, text without the dropped lines."""
-    drop, lines = templates(docs, depth, min_docs, min_share, leaf_share)
-    gone = (lines.join(drop, ["h1", "h2"]).groupBy("doc_id", "th").agg(F.collect_set("place").alias("gone"))
-            .select(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th"), "gone"))
-    full = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    out = full.join(gone, F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("th") == F.col("g_th")), "left")
-    all_ = _lines("text")
-    places = F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), "gone")
-    left = F.array_join(F.transform(places, lambda i: F.get(all_, i)), "\n")
-    return out.select("doc_id", F.coalesce(_count("text", "\n") + 1, F.lit(0)).cast("long").alias("n_lines"),
-                      F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
-                      F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text"))
+    gone = materialize(lost_places(docs, depth, min_texts, min_share, leaf_share, min_verbatim), "line-gone")
+    losers = materialize(_bitmap("th", gone), "line-losers")
+    full = _marked(docs.select("doc_id", "text", F.xxhash64("text").alias("th")), "th", losers, "loses")
+    n_lines = F.coalesce(_count("text", "\n") + 1, F.lit(0)).cast("long").alias("n_lines")
+    stay = full.where("text IS NULL OR NOT loses").select("doc_id", n_lines, F.lit(0).cast("long").alias("n_dropped"), "text")
+    cut = full.where("text IS NOT NULL AND loses").join(gone, "th", "left")
+    left = _bind(_lines("text"), lambda all_: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), "gone"), lambda i: F.get(all_, i)), "\n"))
+    cut = cut.select("doc_id", n_lines, F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
+                     F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text"))
+    return stay.union(cut)

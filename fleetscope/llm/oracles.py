@@ -2,34 +2,58 @@
 
 from __future__ import annotations
 
-# Lines to template leaves, constant words, templates, documents; as line_dedup does, without hashes.
+# Lines to template leaves, constant words, templates, texts, with the votes of line_dedup.
 OP1 = r"""
-WITH line AS (
-  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
-  FROM documents WHERE text IS NOT NULL),
-w AS (
-  SELECT doc_id, text, place, list_transform(string_split(trim(regexp_replace(line, '[ \t\x0B\f\r]+', ' ', 'g'), ' '), ' '),
-         lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS w
-  FROM line WHERE regexp_matches(line, '[^ \t\x0B\f\r]')),
-l AS (SELECT doc_id, text, place, w, [len(w)::varchar, w[1], coalesce(w[2], '')] AS leaf FROM w),
-wide AS (SELECT leaf FROM (SELECT DISTINCT leaf, doc_id, text FROM l) GROUP BY leaf HAVING count(*) >= 20),
+WITH txt AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
+raw AS (SELECT text, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS place FROM txt),
+l0 AS (
+  SELECT text, place, trim(regexp_replace(raw, '[ \t\x0B\f\r]+', ' ', 'g'), ' ') AS line
+  FROM raw WHERE regexp_matches(raw, '[^ \t\x0B\f\r]')),
+l1 AS (
+  SELECT *, list_transform(string_split(line, ' '), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS w,
+         substr(md5(line), 1, 16) AS k0, substr(md5(line), 9, 16) AS k1, substr(md5(line), 17, 16) AS k2 FROM l0),
+low AS (SELECT text, min(k0) AS m0, min(k1) AS m1, min(k2) AS m2 FROM l1 GROUP BY text),
+nxt AS (
+  SELECT text, min(k0) FILTER (k0 > m0) AS x0, min(k1) FILTER (k1 > m1) AS x1, min(k2) FILTER (k2 > m2) AS x2
+  FROM l1 JOIN low USING (text) GROUP BY text),
+l AS (
+  SELECT text, place, line, w, [len(w)::varchar, w[1], coalesce(w[2], '')] AS leaf,
+         CASE WHEN k0 = m0 THEN coalesce(x0, k0) ELSE m0 END AS s0, CASE WHEN k1 = m1 THEN coalesce(x1, k1) ELSE m1 END AS s1,
+         CASE WHEN k2 = m2 THEN coalesce(x2, k2) ELSE m2 END AS s2
+  FROM l1 JOIN low USING (text) JOIN nxt USING (text)),
+same AS (
+  SELECT line FROM l WHERE len(w) >= 4 GROUP BY line
+  HAVING greatest(count(DISTINCT s0), count(DISTINCT s1), count(DISTINCT s2)) >= greatest(3, 0.5 * count(DISTINCT text))),
+wide AS (SELECT leaf FROM l GROUP BY leaf HAVING count(DISTINCT text) >= 20),
 kept AS (SELECT l.* FROM l JOIN wide USING (leaf)),
-word AS (SELECT leaf, w, count(*) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM kept GROUP BY leaf, w),
-known AS (SELECT leaf, pos, word FROM word GROUP BY leaf, pos, word HAVING sum(n) >= 20 AND word <> '<*>'),
+form AS (SELECT leaf, w, greatest(count(DISTINCT s0), count(DISTINCT s1), count(DISTINCT s2)) AS n FROM kept GROUP BY leaf, w),
+word AS (SELECT leaf, w, n, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM form),
+total AS (SELECT leaf, sum(n) AS total FROM form GROUP BY leaf),
+known AS (
+  SELECT leaf, pos, word, sum(n) >= 0.5 * any_value(total) AS common FROM word JOIN total USING (leaf) WHERE word <> '<*>'
+  GROUP BY leaf, pos, word HAVING sum(n) >= 20),
 tmpl AS (
-  SELECT leaf, w, [leaf[1], leaf[2], leaf[3]] || list(CASE WHEN k.word IS NULL THEN '<*>' ELSE k.word END ORDER BY pos) AS template
-  FROM word LEFT JOIN known k USING (leaf, pos, word)
-  GROUP BY leaf, w HAVING avg(CASE WHEN k.word IS NULL THEN 0 ELSE 1 END) >= 0.5),
-met AS (SELECT k.doc_id, k.text, k.place, t.template FROM kept k JOIN tmpl t USING (leaf, w)),
-many AS (SELECT template FROM (SELECT DISTINCT template, doc_id, text FROM met) GROUP BY template HAVING count(*) >= 20),
-gone AS (SELECT DISTINCT doc_id, text, place FROM met JOIN many USING (template)),
+  SELECT leaf, w, leaf || list(CASE WHEN k.word IS NULL THEN '<*>' ELSE k.word END ORDER BY pos) AS template,
+         count(*) FILTER (k.word IS NULL) AS open, count(*) FILTER (k.word IS NULL AND word <> '<*>') AS vary,
+         count(*) FILTER (word = '<*>' OR letter) AS n_of, count(*) FILTER (k.word IS NOT NULL AND letter) AS n_have,
+         count(*) FILTER (pos > 2 AND (word = '<*>' OR letter)) AS b_of, count(*) FILTER (pos > 2 AND common AND letter) AS b_have
+  FROM (SELECT *, regexp_matches(word, '\p{L}') AS letter FROM word) LEFT JOIN known k USING (leaf, pos, word) GROUP BY leaf, w),
+ok AS (
+  SELECT leaf, w, template FROM tmpl
+  WHERE open = 0 OR (vary = 0 AND n_of > 0 AND n_have >= 0.5 * n_of) OR (b_of > 0 AND b_have >= 0.5 * b_of)),
+met AS (SELECT k.text, k.place, s0, s1, s2, template FROM kept k JOIN ok USING (leaf, w)),
+many AS (
+  SELECT template FROM met GROUP BY template
+  HAVING greatest(count(DISTINCT s0), count(DISTINCT s1), count(DISTINCT s2)) >= greatest(20, 0.5 * count(DISTINCT text))),
+gone AS (
+  SELECT text, place FROM met JOIN many USING (template)
+  UNION SELECT text, place FROM l JOIN same USING (line)),
 body AS (
-  SELECT l.doc_id, l.text AS raw, count(*) AS n_lines, count(g.place) AS n_dropped,
-         coalesce(string_agg(l.line, chr(10) ORDER BY l.place) FILTER (g.place IS NULL), '') AS text
-  FROM line l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.text = g.text AND l.place = g.place
-  GROUP BY l.doc_id, l.text)
-SELECT d.doc_id, coalesce(b.n_lines, 0)::bigint AS n_lines, coalesce(b.n_dropped, 0)::bigint AS n_dropped, b.text AS text
-FROM documents d LEFT JOIN body b ON d.doc_id = b.doc_id AND d.text = b.raw
+  SELECT raw.text, count(*) AS n_lines, count(g.place) AS n_dropped,
+         coalesce(string_agg(raw, chr(10) ORDER BY raw.place) FILTER (g.place IS NULL), '') AS left_
+  FROM raw LEFT JOIN gone g ON raw.text = g.text AND raw.place = g.place GROUP BY raw.text)
+SELECT d.doc_id, coalesce(b.n_lines, 0)::bigint AS n_lines, coalesce(b.n_dropped, 0)::bigint AS n_dropped, b.left_ AS text
+FROM documents d LEFT JOIN body b ON d.text = b.text
 """
 
 # All pairs that share a shingle, and the components by label propagation.
@@ -188,7 +212,7 @@ _PII_RULES = (
         CASE WHEN i % 2 = 0 THEN digits[length(digits) - i]::int
              ELSE translate(digits[length(digits) - i], '0123456789', '0246813579')::int END)) % 10 = 0"""),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(digits) BETWEEN 9 AND 15"),
-    ("token", r"[^\x20\x09-\x0D]+", "regexp_matches(v, '[0-9@]')"))
+    ("token", r"[^\x20\x09-\x0D0-9@]*[0-9@][^\x20\x09-\x0D]*", "true"))
 
 
 def _pii() -> str:
@@ -200,34 +224,34 @@ m{k} AS (SELECT r, {k} AS kind, text, i, z[1] AS gap, z[2] AS v FROM (
   SELECT r, text, unnest(list_transform(list_zip(regexp_split_to_array(text, '{rule}'), regexp_extract_all(text, '{rule}')), lambda z: [z[1], z[2]])) AS z,
          generate_subscripts(regexp_split_to_array(text, '{rule}'), 1) AS i FROM d WHERE text IS NOT NULL)),
 s{k} AS (
-  SELECT r, kind, v, stop - length(v) AS s, stop, substr(text, 1, (stop - length(v))::int) AS head FROM (
+  SELECT r, kind, v, stop - length(v) AS s, stop, gap FROM (
     SELECT *, sum(length(gap) + length(v)) OVER (PARTITION BY r ORDER BY i) AS stop, regexp_replace(v, '[^0-9]', '', 'g') AS digits
     FROM m{k} WHERE v IS NOT NULL) WHERE {test})""")
     got = "SELECT NULL::varchar AS value, NULL::int AS kind WHERE false"
     for i in range(5):
         rounds.append(f"""
 sure{i} AS (SELECT p, kind, n FROM edge WHERE kind < 4 UNION ALL SELECT p, g.kind, n FROM edge JOIN ({got}) g ON g.value = edge.v WHERE edge.kind = 4),
-conf{i} AS (SELECT p, kind, sum(n) / (total + 1) AS c FROM sure{i} JOIN total USING (p) GROUP BY p, kind, total),
-best{i} AS (
-  SELECT v, l1, l2, n, c.kind, max(c) AS c FROM (SELECT DISTINCT v, l1, l2, n, unnest([l1, l2]) AS p FROM ctx WHERE kind = 4) x
-  JOIN conf{i} c USING (p) GROUP BY v, l1, l2, n, c.kind),
+strong{i} AS (SELECT p, kind FROM sure{i} JOIN total USING (p) GROUP BY p, kind, total HAVING sum(n) >= 0.8::double * (total + 1)),
+behind{i} AS (
+  SELECT v, kind, sum(n) AS have FROM (
+    SELECT DISTINCT v, l1, l2, n, k.kind FROM (SELECT v, l1, l2, n, unnest([l1, l2]) AS p FROM ctx WHERE kind = 4) x JOIN strong{i} k USING (p))
+  GROUP BY v, kind),
 got{i} AS (
-  SELECT v AS value, arg_max(kind, (r, -kind)) AS kind FROM (
-    SELECT v, kind, round(sum(c * n) / size, 9) AS r FROM best{i} JOIN (SELECT v, sum(n) AS size FROM ctx WHERE kind = 4 GROUP BY v) USING (v)
-    GROUP BY v, kind, size) GROUP BY v HAVING max(r) >= 0.8)""")
+  SELECT v AS value, arg_max(kind, (have, -kind)) AS kind FROM behind{i} JOIN (SELECT v, sum(n) AS size FROM ctx WHERE kind = 4 GROUP BY v) USING (v)
+  GROUP BY v HAVING 2 * max(have) >= any_value(size))""")
         got = f"SELECT * FROM got{i}"
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),{','.join(found)},
 base AS (SELECT * FROM s0 UNION ALL SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3),
 trim_ AS (
   SELECT r, kind, regexp_replace(regexp_replace(v, '^[^\p{{L}}\p{{N}}@+]+', ''), '[^\p{{L}}\p{{N}}@+]+$', '') AS v,
-         s + length(v) - length(regexp_replace(v, '^[^\p{{L}}\p{{N}}@+]+', '')) AS s, head FROM s4),
+         s + length(v) - length(regexp_replace(v, '^[^\p{{L}}\p{{N}}@+]+', '')) AS s, gap FROM s4),
 token AS (
-  SELECT t.r, t.kind, t.v, t.s, t.s + length(t.v) AS stop, t.head FROM trim_ t WHERE length(t.v) BETWEEN 4 AND 64
+  SELECT t.r, t.kind, t.v, t.s, t.s + length(t.v) AS stop, t.gap FROM trim_ t WHERE length(t.v) BETWEEN 4 AND 64
   AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = t.r AND b.s < t.s + length(t.v) AND b.stop > t.s)),
 men AS (
   SELECT r, kind, v, s, stop, l[-1] AS l1, l[-2] || ' ' || l[-1] AS l2 FROM (
-    SELECT *, regexp_extract_all(lower(right(head, 200)), '\p{{L}}+') AS l FROM (SELECT * FROM base UNION ALL SELECT * FROM token))),
+    SELECT *, regexp_extract_all(lower(right(gap, 200)), '\p{{L}}+') AS l FROM (SELECT * FROM base UNION ALL SELECT * FROM token))),
 ctx AS (SELECT kind, v, l1, l2, count(*) AS n FROM men WHERE l1 IS NOT NULL GROUP BY kind, v, l1, l2),
 edge AS (SELECT kind, v, n, unnest([l1, l2]) AS p FROM ctx),
 pattern AS (SELECT p FROM edge WHERE p IS NOT NULL GROUP BY p HAVING count(DISTINCT v) >= 5),
