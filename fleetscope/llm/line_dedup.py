@@ -28,8 +28,9 @@ before any further exchange; exact joins behind it remove what slips through.  O
 leaves are read again for their words.  In the end only texts that lose a line meet the lost places in a join; the others pass by.
 
 Nulls and ties: a null text stays null.  Lines end at U+000A; blank lines stay and have no
-template.  Each row is a document, also if ids are null or repeat.  A text that only repeats itself, as copies or
-among near copies, keeps its lines in every copy.  An empty table gives an empty result.
+template.  Each row is a document, also if ids are null or repeat.  A text that only repeats itself in exact
+copies keeps its lines in every copy; near copies of few lines may lose some of those that they share (in the test
+of 40 near copies of ten lines 3 or 4 each).  An empty table gives an empty result.
 """
 
 from __future__ import annotations

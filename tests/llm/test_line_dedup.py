@@ -24,15 +24,50 @@ def test_varying_words_without_digits(spark):
     names = "ann bob cid dan eva fay gus hal ida jim kai leo mia ned ola pat qui ron sue tim uma val wim xia yan".split()
     data = [(i, f"{prose(i, 7)}\nshared by the user called {n} from here") for i, n in enumerate(names)]
     got = line_dedup.dedup_lines(documents(spark, data)).collect()
-    assert len(names) >= line_dedup.MIN_DOCS and all(r["text"] == prose(r["doc_id"], 7) for r in got)
+    assert len(names) >= line_dedup.MIN_TEXTS and all(r["text"] == prose(r["doc_id"], 7) for r in got)
 
 
 def test_rare_templates_and_repeats_within_one_document_stay(spark):
-    data = [(1, "\n".join([LICENSE] * 50))] + [(2 + i, LICENSE) for i in range(line_dedup.MIN_DOCS - 2)]
+    line = lambda i: f"Licensed under the terms {i}"
+    data = [(1, "\n".join([line(1)] * 50))] + [(2 + i, f"{prose(i, 9)}\n{line(i)}") for i in range(line_dedup.MIN_TEXTS - 2)]
     assert all(r["n_dropped"] == 0 for r in line_dedup.dedup_lines(documents(spark, data)).collect())
-    data.append((99, "\n" + LICENSE))
+    data.append((99, f"\n{line(99)}\n{prose(99, 9)}"))
     got = {r["doc_id"]: r for r in line_dedup.dedup_lines(documents(spark, data)).collect()}
-    assert all(r["text"] == "" for r in got.values()) and got[1]["n_dropped"] == 50 and got[99]["n_lines"] == 2
+    assert got[1]["text"] == "" and got[1]["n_dropped"] == 50
+    assert got[99]["n_lines"] == 3 and got[99]["text"] == f"\n{prose(99, 9)}" and got[7]["text"] == prose(5, 9)
+
+
+def test_verbatim_lines_go_from_three_unlike_texts_on(spark):
+    line = "Released under the MIT License, version 2.0"
+    data = [(i, f"{prose(i, 9)}\n{line}\n{prose(50 + i, 8)}") for i in range(3)] + [(9, prose(9, 30))]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(documents(spark, data)).collect()}
+    assert got == {9: prose(9, 30), **{i: f"{prose(i, 9)}\n{prose(50 + i, 8)}" for i in range(3)}}
+    assert all(r["n_dropped"] == 0 for r in line_dedup.dedup_lines(documents(spark, data[1:])).collect())
+    short = [(i, f"{prose(i, 9)}\nOf. The end") for i in range(9)]  # fewer words than such a line needs
+    assert all(r["n_dropped"] == 0 for r in line_dedup.dedup_lines(documents(spark, short)).collect())
+
+
+def test_copies_keep_their_prose(spark):
+    own = "\n".join(prose(700 + i, 12) for i in range(6))
+    data = [(i, own) for i in range(50)] + [(100 + i, f"{prose(i, 20)}\n{LICENSE}") for i in range(30)] + [(200, own + "\n" + LICENSE)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(documents(spark, data)).collect()}
+    assert all(got[i] == own for i in [*range(50), 200]) and all(got[100 + i] == prose(i, 20) for i in range(30))
+
+
+def test_near_copies_keep_most_of_their_lines(spark):
+    lines = [prose(700 + i, 12) for i in range(10)]
+    data = []
+    for i in range(40):  # each with a line of its own instead of one of the ten
+        data.append((i, "\n".join(lines[:i % 10] + [prose(2000 + i, 12)] + lines[i % 10 + 1:])))
+    data += [(100 + i, f"{prose(i, 20)}\n{LICENSE}\n{prose(300 + i, 7)}") for i in range(30)]
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(documents(spark, data)).collect()}
+    assert all(got[i]["n_dropped"] < 5 for i in range(40)) and all(got[100 + i]["n_dropped"] == 1 for i in range(30))
+
+
+def test_a_full_bitmap_drops_nothing_more(spark, monkeypatch):
+    want = sorted(map(str, line_dedup.dedup_lines(documents(spark, rows())).collect()))
+    monkeypatch.setattr(line_dedup, "BITMAP_WORDS", 1)
+    assert sorted(map(str, line_dedup.dedup_lines(documents(spark, rows())).collect())) == want
 
 
 def test_awkward_and_empty(spark):
