@@ -81,20 +81,22 @@ SELECT n.doc_id, n.n::bigint AS n_shingles, least(n.doc_id, coalesce(low.low, n.
 FROM n LEFT JOIN low ON low.a = n.doc_id
 """
 
-_HOST = r"""regexp_replace(regexp_replace(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#]*)', 1),
+_URL = r"""regexp_replace(lower(url), '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"""
+_HOST = rf"""regexp_replace(regexp_replace(regexp_replace(regexp_extract({_URL}, '^[a-z][a-z0-9+.-]*://([^/?#]*)', 1),
   '^.*@', ''), ':[0-9]*$', ''), '\.$', '')"""
 
 OP6 = rf"""
 WITH cap AS (
   SELECT page_id, url, DATE '2024-01-01' + (((page_id % 366) + 366) % 366)::int AS fetched, {_HOST} AS host,
-         {_HOST} || regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/$', '') AS page
+         {_HOST} || regexp_replace(regexp_extract({_URL}, '^[a-z][a-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/$', '') AS page
   FROM pages),
 k AS (
   SELECT page_id, url, fetched, 'host' AS kind, host AS value FROM cap WHERE host <> ''
   UNION SELECT page_id, url, fetched, 'page', page FROM cap WHERE host <> ''
-  UNION SELECT page_id, url, fetched, 'domain', unnest(list_transform(range(1, len(string_split(host, '.')) + 1),
+  UNION SELECT page_id, url, fetched, 'domain', unnest(list_transform(
+        range(1, CASE WHEN regexp_matches(host, '^[0-9]{{1,3}}([.][0-9]{{1,3}}){{3}}$') THEN 2 ELSE len(string_split(host, '.')) + 1 END),
         lambda i: array_to_string(string_split(host, '.')[i:], '.'))) FROM cap WHERE host <> ''),
-name AS (SELECT DISTINCT kind, value FROM k WHERE kind <> 'domain' OR len(string_split(value, '.')) >= 3),
+name AS (SELECT DISTINCT kind, value FROM k WHERE kind <> 'domain' OR len(string_split(value, '.')) >= 2),
 v AS (
   SELECT kind, value, ('0x' || substr(md5(kind || ':' || value), 1, 4))::int AS v FROM name
   WHERE ('0x' || substr(md5(kind || ':' || value), 1, 4))::int % (CASE kind WHEN 'page' THEN 7 ELSE 3 END) = 0),
