@@ -14,6 +14,10 @@ log-likelihood ratio against the labels is at least ``LEAST_LLR`` beyond what th
 with it explain.  Its weight is its log odds.  Copies of one toxic document (a word Jaccard of ``COPY`` or
 more with one that counts) count as one there, else every word of theirs would look like an entry.
 
+Exception phrases are mined from the same rows (``mine``), beside the fixed ones: a word with an entry and the
+word before or after it, if documents that are not toxic hold the two in ``EXCEPTION_USES`` or more different
+surroundings (so that copies count once), and toxic ones hold them no more often by their share.
+
 Nulls and ties: null or empty text has no hit and the lowest score.  Labels that are null
 or belong to no document are not learned from; a document labelled twice counts once for each
 label.  Without labels of both kinds the model has no learned entry and a fixed curve.
@@ -43,6 +47,7 @@ MAX_ENTRIES = 5_000     # entries of a lexicon: bounds what each task receives
 LEAST_LLR = 30.0
 LEAST_RATIO = 12.0      # how much more often an entry stands in toxic documents
 STEMS = range(4, 9)     # letters of word beginnings that may become entries
+EXCEPTION_USES = 5      # different surroundings in documents not toxic that make a phrase an exception
 COPY = 0.8              # word Jaccard from which a toxic document is a copy of another
 THRESHOLD = 0.3
 
@@ -87,7 +92,7 @@ class Lexicon:
         for p, w in self.entries.items():
             a.add_word(p, (len(p), w))
         for p in {fold(x) for x in self.exceptions}:
-            a.add_word(p, (len(p), self.entries.get(p) or None))
+            a.add_word(p, (len(p), None))  # a phrase that is an entry too is an exception
         if len(a):
             a.make_automaton()
         return a
@@ -98,10 +103,12 @@ class Lexicon:
         if not len(automaton):
             return 0.0, 0, n
         hits = [(end - size + 1, end, w) for end, (size, w) in automaton.iter(folded)]
-        spared = [(a, b) for a, b, w in hits if w is None]
-        at = {}  # of the entries that begin at one word the heaviest counts
-        for a, b, w in hits:
-            if w is not None and not any(x <= a and b <= y for x, y in spared):
+        hits.sort(key=lambda h: (h[0], h[2] is not None))
+        at, reach = {}, -1  # of the entries that begin at one word the heaviest counts
+        for a, b, w in hits:  # by where they begin, phrases first: reach is the furthest end of a phrase begun so far
+            if w is None:
+                reach = max(reach, b)
+            elif b > reach:
                 at[a] = max(at.get(a, w), w)
         return sum(at.values()), len(at), n
 
@@ -211,6 +218,41 @@ def _select(grams: dict[str, tuple[int, int]], docs: list[list[str]], n_neg: int
     return chosen
 
 
+def _uses(folded: str, lexicon: Lexicon, automaton) -> set[tuple[str, str]]:
+    """(phrase, surroundings) of the words with an entry: each with its neighbour on either side."""
+    out = set()
+    for end, (size, weight) in automaton.iter(folded):
+        if weight is None:
+            continue
+        a = end - size + 2                                  # where the word begins
+        b = folded.index(" ", a)
+        before = folded[max(0, a - 200):a - 1].rsplit(" ", 2)[1:] if a > 1 else []
+        after = folded[b + 1:b + 200].split(" ", 2)[:2]
+        word, left, right = folded[a:b], before[-1] if before else "", after[0] if after else ""
+        if left:
+            out.add((f"{left} {word}", f"{before[0] if len(before) > 1 else ''} {right}"))
+        if right:
+            out.add((f"{word} {right}", f"{left} {after[1] if len(after) > 1 else ''}"))
+    return out
+
+
+def mine(train: DataFrame, lexicon: Lexicon, n_pos: int, n_neg: int) -> tuple[str, ...]:
+    """Phrases of two folded words in which an entry is harmless, from labelled rows (text, toxic)."""
+    def run(batches):
+        a = lexicon.automaton()
+        for texts, toxic in tables(batches, "text", "toxic"):
+            got = [(p, xxhash.xxh3_64_intdigest(c) >> 1, y) for t, y in zip(texts, toxic, strict=True) if t and len(a)
+                   for p, c in sorted(_uses(fold(t), lexicon, a))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.int64()),
+                 pa.array([g[2] for g in got], pa.int32())], ["phrase", "around", "toxic"])
+
+    met = train.mapInArrow(run, "phrase string, around long, toxic int").distinct()
+    count = met.groupBy("phrase").agg(F.sum(F.col("toxic").cast("long")).alias("pos"), F.sum(1 - F.col("toxic").cast("long")).alias("neg"))
+    found = count.where((F.col("neg") >= EXCEPTION_USES) & (F.col("pos") * n_neg <= F.col("neg") * n_pos)).select("phrase")
+    return tuple(sorted(r[0] for r in found.collect()))  # bounded by the sample
+
+
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float, ...]:
     """Logistic regression by Newton steps; neither slope may fall below zero."""
     w, free = np.zeros(x.shape[1]), list(range(x.shape[1]))
@@ -277,6 +319,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
         pos, neg = grams[g]
         lexicon.entries[g] = math.log((pos + 0.5) / (n_pos + 1)) - math.log((neg + 0.5) / (n_neg + 1))
 
+    lexicon.exceptions += mine(train, lexicon, n_pos, n_neg)
+
     def measure(batches):
         for texts, y in tables(batches, "text", "toxic"):
             x, _ = lexicon.features(texts)

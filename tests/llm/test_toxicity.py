@@ -1,4 +1,6 @@
 import random
+import time
+from collections import Counter
 
 import numpy as np
 
@@ -94,3 +96,52 @@ def test_repeated_rows_of_one_labelled_id_are_one(spark):
     got = [tuple(r) for r in X._sample(documents(spark, many), known, X.TRAIN_ROWS).collect()]
     assert got.count((prose(1, 9), 1)) == 1 and len(got) == len(set(got)) == 1 + X.ID_TEXTS
     assert X._sample(documents(spark, many), known, 5).count() == 5
+
+
+def naive(lexicon, folded):
+    """Weight and number of hits, by looking at every place and every pair of a hit and a phrase."""
+    spans = [(i, i + len(p)) for p in {X.fold(e) for e in lexicon.exceptions} for i in range(len(folded)) if folded.startswith(p, i)]
+    at = {}
+    for e, w in lexicon.entries.items():
+        for i in range(len(folded)):
+            if folded.startswith(e, i) and not any(a <= i and i + len(e) <= b for a, b in spans):
+                at[i] = max(at.get(i, w), w)
+    return sum(at.values()), len(at)
+
+
+def test_the_automaton_equals_a_naive_matcher():
+    rng = random.Random(8)
+    for _ in range(300):
+        word = lambda: "".join(rng.choice("ab") for _ in range(rng.randrange(1, 4)))  # noqa: E731,B023
+        entries = {f" {word()}" + rng.choice([" ", ""]): float(rng.randrange(1, 9)) for _ in range(rng.randrange(0, 5))}
+        lexicon = X.Lexicon(entries, tuple(" ".join(word() for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(0, 4))))
+        folded = X.fold(" ".join(word() for _ in range(rng.randrange(0, 30))))
+        assert lexicon.measure(folded, lexicon.automaton())[:2] == naive(lexicon, folded), (entries, lexicon.exceptions, folded)
+
+
+def test_counts_equal_a_naive_count(spark):
+    rows, labels = corpus(60)
+    pairs = [(t, y) for (_, t), (_, _, y) in zip(rows, labels, strict=True)]
+    got = (spark.createDataFrame(pairs, "text string, toxic int").mapInArrow(X._count, "gram string, pos long, neg long")
+           .groupBy("gram").agg({"pos": "sum", "neg": "sum"}).select("gram", "sum(pos)", "sum(neg)").collect())
+    want = {y: Counter(g for t, z in pairs if z == y for g in X._grams(t)) for y in (0, 1)}
+    assert {r[0]: (r[1], r[2]) for r in got} == {g: (want[1][g], want[0][g]) for g in want[0] | want[1]}
+
+
+def test_a_text_of_hits_and_phrases_takes_linear_time():
+    lexicon = X.Lexicon({X.fold("trash"): 5.0, X.fold("idiot"): 5.0})
+    folded, a = X.fold("trash can idiot " * 65_000), lexicon.automaton()
+    began = time.perf_counter()
+    assert lexicon.measure(folded, a)[:2] == (5.0 * 65_000, 65_000)
+    assert time.perf_counter() - began < 3
+
+
+def test_harmless_phrases_are_mined_but_not_from_copies(spark):
+    lexicon = X.Lexicon({X.fold("grolk"): 5.0})
+    calm = [(f"{prose(i, 9)} grolk museum {prose(i + 500, 9)}", 0) for i in range(6)]
+    toxic = [(f"{prose(i, 9)} grolk {prose(i + 700, 9)}", 1) for i in range(30)]
+    copies = [(f"aa grolk palace bb {i}", 0) for i in range(30)]
+    train = spark.createDataFrame(calm + toxic + copies, "text string, toxic int")
+    assert X.mine(train, lexicon, 30, 36) == (X.fold("grolk museum").strip(),)
+    assert X._uses(X.fold("grolk"), lexicon, lexicon.automaton()) == set()
+    assert X.mine(train.limit(0), lexicon, 1, 1) == ()
