@@ -34,6 +34,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from fleetscope import schema as S
 from fleetscope.functions import keys as K
@@ -246,7 +247,9 @@ def measured(members: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     bytes of their strings are counted instead.  Up to ``limit`` the table is broadcast and
     the facts stay where they are; beyond, a sort-merge join with adaptive skew splitting takes over.
     """
-    bytes_ = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(c), F.lit(0)) for c in members.columns])
+    text = [F.array_join(f.name, "") if isinstance(f.dataType, ArrayType) else F.col(f.name) for f in members.schema.fields]
+    bytes_ = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(c), F.lit(0)) for c in text])
+    bytes_ += sum((16 * F.size(f.name) for f in members.schema.fields if isinstance(f.dataType, ArrayType)), F.lit(0))
     size = members.agg(F.sum((bytes_ + ROW_BYTES + 16 * len(members.columns)).cast("long"))).first()[0] or 0
     return F.broadcast(members) if size <= limit else members.hint("merge")
 
@@ -292,6 +295,41 @@ def split_fleet_disks(df: DataFrame, match: str = "contains",
     return df.join(m, S.DISK, "inner")
 
 
+def disk_classes(df: DataFrame, match: str = "contains", keys: DataFrame | None = None) -> DataFrame:
+    """``(disk_name, disks)``: each distinct disk name with the fleet's disk keys it belongs to, sorted.
+
+    ``keys`` may pass a precomputed ``client_disks``.  Names that belong to no key are left out.
+    """
+    _check_match(match)
+    fleet = (client_disks(df, match) if keys is None else keys).select("disk").distinct()
+    names = df.select(S.DISK).where(F.col(S.DISK).isNotNull()).distinct()
+    if match == "position":
+        met = names.join(fleet, K.disk_key(S.DISK) == fleet["disk"], "inner")
+    else:
+        named = names.withColumn("_lengths", lengths_of(fleet, F.col("disk")))
+        grams = named.select(S.DISK, F.explode(substrings(S.DISK, F.col("_lengths"))).alias("g"))
+        met = grams.join(fleet, grams["g"] == fleet["disk"], "inner")
+    return met.groupBy(S.DISK).agg(F.array_sort(F.collect_set("disk")).alias("disks"))
+
+
+def factor_fleet_disks(df: DataFrame, match: str = "contains") -> tuple[DataFrame, DataFrame]:
+    """The fleet-wide disk split (J4) without its expansion: ``(facts, members)``.
+
+    ``facts`` are the rows of the whole fleet once each, with ``disks``, the disk keys that the row belongs to; ``members``
+    is ``(client, disk)``.  Neither grows with facts times clients.  ``expand_fleet_disks`` gives the rows of
+    ``split_fleet_disks``; a measure by (client, disk) needs only sums by disk, joined to ``members``.
+    """
+    members = materialize(client_disks(df, match), "fleet-disk-keys")
+    classes = measured(materialize(disk_classes(df, match, members), "fleet-disk-classes"))
+    return df.join(classes, S.DISK, "inner"), members
+
+
+def expand_fleet_disks(facts: DataFrame, members: DataFrame) -> DataFrame:
+    """One row for each fact and (client, disk) it belongs to, as ``split_fleet_disks`` gives them."""
+    each = facts.withColumn("disk", F.explode("disks")).drop("disks")
+    return each.join(measured(members), "disk", "inner")
+
+
 # --- single-key predicates (F1-F4) ---------------------------------------------
 
 def client_filter(client: str) -> Column:

@@ -11,7 +11,7 @@ below the shared scratch folder (``sources.scratch``):
   the facts is planned on its size;
 * profiles, sizes, shares and distinct disks and x-values, which write their rollup (or
   distinct names) and derive membership from it: one scan of the facts each;
-* reports, which write the family rollup once.
+* reports, which write the family rollup once, and the chart fetched from one.
 
 Aggregates use exact arithmetic at two decimals (``EXACT_SCALE``), which the
 fixture's values satisfy (a value that does not would fail the query), so results are
@@ -43,12 +43,13 @@ from fleetscope.streaming.ingest_stream import ingest_stream as ingest_stream_fi
 EXACT_SCALE = 2
 MATCH = "contains"
 
-# Parameters of the single-key filter queries (F1-F5): the key a report page
+# Parameters of the single-key filter queries (F1-F5, S6): the key a report page
 # would filter on.  They select rows; the scan covers the whole table.
 FILTER_CLIENT = "acm"
 FILTER_HOST = "a"
 FILTER_DISK = "c"
 FILTER_HOUR = 13
+FILTER_SECTION = "weekly"
 
 CPU_COLS = [S.SERVER, S.TIME, S.PROCESSOR, S.CPU]
 DISK_COLS = [S.SERVER, S.TIME, S.DISK, S.WRITES_AVG]
@@ -223,6 +224,12 @@ def split_disk_fleet(spark, sf):
     return M.split_fleet_disks(_disk(spark, sf), MATCH).select("client", "disk", *DISK_COLS)
 
 
+def split_disk_factored(spark, sf):
+    """J4 without expansion: every fact once with its disk keys; the (client, disk) side is ``distinct_disks_client``."""
+    facts, _ = M.factor_fleet_disks(_disk(spark, sf), MATCH)
+    return facts.select(F.array_join("disks", ",").alias("disks"), *DISK_COLS)
+
+
 # --- distinct keys and x-values (D1-D7) ---------------------------------------------------
 
 def distinct_clients(spark, sf):
@@ -347,6 +354,13 @@ def overall_report(spark, sf):
                             EXACT_SCALE)
 
 
+def chart_points(spark, sf):
+    """The points of one chart, fetched to the driver (at most seven)."""
+    points = R.chart_series(client_report_cpu(spark, sf), FILTER_CLIENT, FILTER_HOST, FILTER_SECTION)
+    return spark.createDataFrame(points.astype(object).where(points.notna(), None).values.tolist(),
+                                 "x int, x_label string, y double, y2 double")
+
+
 QUERIES: dict[str, Query] = {
     "scan_metrics": scan_metrics,
     "ingest_append": ingest_append,
@@ -370,6 +384,7 @@ QUERIES: dict[str, Query] = {
     "split_host": split_host,
     "split_disk": split_disk,
     "split_disk_fleet": split_disk_fleet,
+    "split_disk_factored": split_disk_factored,
     "distinct_clients": distinct_clients,
     "distinct_hosts": distinct_hosts,
     "distinct_disks": distinct_disks,
@@ -398,4 +413,5 @@ QUERIES: dict[str, Query] = {
     "client_report_mem": client_report_mem,
     "client_report_disk": client_report_disk,
     "overall_report": overall_report,
+    "chart_points": chart_points,
 }

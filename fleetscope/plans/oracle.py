@@ -261,6 +261,9 @@ def oracle_sql() -> dict[str, str]:
                              "f.disk_name, f.disk_writes_avg FROM f JOIN dm USING (server_name, disk_name)"),
         "split_disk_fleet": _q("", "SELECT fdm.client, fdm.disk, f.server_name, f.hr_time, "
                                    "f.disk_name, f.disk_writes_avg FROM f JOIN fdm USING (disk_name)"),
+        "split_disk_factored": _q(
+            "dcl AS (SELECT disk_name, string_agg(DISTINCT disk, ',' ORDER BY disk) AS disks FROM fdm GROUP BY disk_name)",
+            "SELECT dcl.disks, f.server_name, f.hr_time, f.disk_name, f.disk_writes_avg FROM f JOIN dcl USING (disk_name)"),
         "distinct_clients": _q("", "SELECT client FROM ck"),
         "distinct_hosts": _q("", "SELECT client, host FROM hk"),
         "distinct_disks": _q("", "SELECT client, host, disk FROM dk"),
@@ -294,4 +297,6 @@ def oracle_sql() -> dict[str, str]:
         "client_report_mem": _mem_report(),
         "client_report_disk": _disk_report(),
         "overall_report": _overall_report(),
+        "chart_points": f"SELECT x, x_label, y, y2 FROM ({_cpu_report()}) "
+                        "WHERE client = 'acm' AND host = 'a' AND section = 'weekly'",
     }

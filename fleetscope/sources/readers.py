@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetscope import schema as S
@@ -94,6 +95,13 @@ def read_metrics(spark: SparkSession, path: str | list[str], family: S.MetricFam
     return clean(df.select(*["`" + c.replace("`", "``") + "`" for c in columns]), dedupe=dedupe)
 
 
+def in_period(df: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Rows timed from ``since`` to before ``until`` (ISO dates), rows without a time left out."""
+    if since:
+        df = df.where(F.col(S.TIME) >= F.lit(since).cast("timestamp_ntz"))
+    return df.where(F.col(S.TIME) < F.lit(until).cast("timestamp_ntz")) if until else df
+
+
 def sql_view_scan(spark: SparkSession, df: DataFrame, view: str = "metrics") -> DataFrame:
     """Register ``df`` as a temporary view and scan it with SQL (S3)."""
     df.createOrReplaceTempView(view)
