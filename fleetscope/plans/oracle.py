@@ -296,6 +296,7 @@ def oracle_sql() -> dict[str, str]:
         "client_report_cpu": _cpu_report(),
         "client_report_mem": _mem_report(),
         "client_report_disk": _disk_report(),
+        "client_report_incremental": _cpu_report(),
         "overall_report": _overall_report(),
         "chart_points": f"SELECT x, x_label, y, y2 FROM ({_cpu_report()}) "
                         "WHERE client = 'acm' AND host = 'a' AND section = 'weekly'",

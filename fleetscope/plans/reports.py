@@ -53,8 +53,8 @@ def report_sections(family: S.MetricFamily) -> tuple[str, ...]:
 
 def family_rollup(facts: DataFrame, family: S.MetricFamily, exact_scale: int | None = None,
                   sections: tuple[str, ...] | None = None,
-                  processor_total: bool = True) -> DataFrame:
-    """One scan: partial sums of the family's metrics for every report bucket.
+                  processor_total: bool = True, further: tuple[str, ...] = ()) -> DataFrame:
+    """One scan: partial sums of the family's metrics for every report bucket (and every value of ``further`` columns).
 
     Buckets: the report's date sections, the whole period (every row, so every
     name is present for membership) and, for CPU with ``processor_total``, the
@@ -65,7 +65,7 @@ def family_rollup(facts: DataFrame, family: S.MetricFamily, exact_scale: int | N
     buckets = [P.date_bucket(s) for s in sections] + [P.whole_bucket()]
     if family.name == "cpu" and processor_total:
         buckets.append(W.total_bucket())
-    names = P.name_keys("disk" if family.has_disk else "host")
+    names = [*P.name_keys("disk" if family.has_disk else "host"), *further]
     return P.rollup(facts, family_metrics(family), buckets, names, exact_scale)
 
 

@@ -131,6 +131,12 @@ def read_table(spark: SparkSession, table_dir: str, family: S.MetricFamily,
     return df.select(*family.columns)
 
 
+def read_loads(spark: SparkSession, table_dir: str, family: S.MetricFamily, loads: Sequence[str]) -> DataFrame:
+    """The rows of some loads (internal names) with the load they came in."""
+    schema = clean(spark.createDataFrame([], family.source_schema())).schema
+    return _read(spark, table_dir, schema, False, loads).select(*family.columns, LOAD_COLUMN)
+
+
 def compact(spark: SparkSession, table_dir: str, family: S.MetricFamily, small_rows: int = 10_000_000) -> str | None:
     """Put the loads of fewer than ``small_rows`` rows into one; returns its name, None if fewer than two are small.
 

@@ -33,7 +33,7 @@ def _path(table_dir: str, *parts: str) -> str:
     return "/".join([table_dir.rstrip("/"), *parts])
 
 
-def _there(spark: SparkSession, path: str) -> bool:
+def there(spark: SparkSession, path: str) -> bool:
     found = file_system(spark, path)
     if found:
         return found[0].exists(found[1])
@@ -45,7 +45,7 @@ def _there(spark: SparkSession, path: str) -> bool:
 
 def opened(spark: SparkSession, table_dir: str) -> bool:
     """Whether the table keeps a manifest."""
-    return _there(spark, _path(table_dir, LOADS))
+    return there(spark, _path(table_dir, LOADS))
 
 
 def _entries(spark: SparkSession, table_dir: str) -> list:
@@ -96,7 +96,7 @@ def note_files(files: DataFrame, table_dir: str, load: str) -> None:
 def taken_files(spark: SparkSession, table_dir: str, but: str) -> DataFrame | None:
     """The landing files of committed loads whose names do not begin with ``but``; None if there are none."""
     loads = [x for x in sorted(committed(spark, table_dir)) if not x.startswith(but) and x.startswith("stream-")]
-    loads = [x for x in loads if _there(spark, _path(table_dir, FILES, x))]
+    loads = [x for x in loads if there(spark, _path(table_dir, FILES, x))]
     if not loads:
         return None
     return spark.read.schema(_FILES_SCHEMA).json([_path(table_dir, FILES, x) for x in loads]).where(F.col("file").isNotNull())
