@@ -21,11 +21,14 @@ seen in three surroundings: the smallest of the *other* lines' checksums, by thr
 surroundings that its texts give it, in the order that gives most.  Boilerplate recurs in ever other surroundings; the lines of near
 copies recur in mostly the same ones.  Votes below ``UNLIKE`` of the texts do not count.
 
-**How it runs.**  Documents are read once for the lines' checksums, which are written; no line text is shuffled for counting.
-Which checksums stand in two texts, and which leaves in ``MIN_TEXTS``, becomes a bitmap of at
+**How it runs.**  Documents are read once for the lines' checksums, which are written.
+Which checksums recur, which stand in two texts, and which leaves in ``MIN_TEXTS``, becomes a bitmap of at
 most 2^26 bits (a Bloom filter of one hash): a broadcast table of bounded size that nearly all other lines fail
-before any further exchange; exact joins behind it remove what slips through.  Only lines of wide
-leaves are read again for their words.  In the end only texts that lose a line meet the lost places in a join; the others pass by.
+before any further exchange; exact joins behind it remove what slips through.  A line that doesn't recur has one vote, so its text
+needs no exchange.  Lines of wide leaves are read again to find the rich leaves, in which a word behind the leading ones
+stands in ``LEAF_SHARE`` of the lines: their words are counted as hashes.  Only there can different
+lines share a template, so only rich leaves' words are put side by side; elsewhere a line must have the votes itself.
+In the end only texts that lose a line meet the lost places in a join; the others pass by.
 
 Nulls and ties: a null text stays null.  Lines end at U+000A; blank lines stay and have no
 template.  Each row is a document, also if ids are null or repeat.  A text that only repeats itself in exact
@@ -53,6 +56,7 @@ BITMAP_WORDS = 1 << 20                 # of 64 bits
 _ORDERS = (1, 5, 9)                    # first byte of a checksum's eight by which surroundings are ordered
 _BLANKS = ("\t", "\x0b", "\f", "\r")   # besides the space
 _DIGITS = "0123456789"
+_SIGN = r"(^| )[^\p{L}0-9 ]+( |$)"
 
 
 def _lines(text: Column | str) -> Column:
@@ -102,9 +106,10 @@ def _surroundings(ids: Column) -> Column:
 
 
 def line_hashes(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """th, place, words, leaf, vid, nid, s0, s1, s2 of every line that is not blank.
+    """th, place, words, leaf, signs, vid, nid, s0, s1, s2 of every line that is not blank.
 
-    vid and nid are the checksums of the line and of the line with fields; s0 to s2 its surroundings.
+    signs: whether a word may be a bare sign; vid and nid are the checksums of the line and of the line with fields; s0 to s2
+    its surroundings.
     """
     lines = F.transform(_lines("text"), _spaced)
     both = _bind(lines, lambda all_: F.struct(all_.alias("line"), F.transform(all_, lambda x: F.when(x != "", _checksum(x))).alias("vid")))
@@ -116,7 +121,8 @@ def line_hashes(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     own = [F.substring("vid", at, 8) for at in _ORDERS]
     seen = [F.when(F.get("around", k)["low"] == own[k], F.coalesce(F.get("around", k)["next"], own[k])).otherwise(F.get("around", k)["low"])
             .alias(f"s{k}") for k in range(len(_ORDERS))]
-    return line.select("th", "place", (_count("line", " ") + 1).alias("words"), _leaf("line", depth).alias("leaf"), "vid",
+    return line.select("th", "place", (_count("line", " ") + 1).alias("words"), _leaf("line", depth).alias("leaf"),
+                       F.rlike("line", F.lit(_SIGN)).alias("signs"), "vid",
                        F.when(field, _checksum(_norm(F.col("line")))).otherwise(F.col("vid")).alias("nid"), *seen)
 
 
@@ -147,16 +153,47 @@ def _votes(rows: DataFrame, key: str) -> DataFrame:
             .select(key, F.greatest("s0", "s1", "s2").alias("votes"), "texts"))
 
 
-def _templates(docs: DataFrame, marked: DataFrame, wide: DataFrame, leaves: DataFrame, depth: int, min_texts: int, min_share: float,
-               leaf_share: float) -> DataFrame:
-    """(nid) of the lines whose template is boilerplate."""
-    # the words of the lines of wide leaves
+def _norms(docs: DataFrame, leaves: DataFrame, depth: int) -> DataFrame:
+    """leaf, norm of the lines whose leaf has its bit, as often as they occur."""
     line = docs.where("text IS NOT NULL").select(F.explode(_lines("text")).alias("raw")).select(_spaced(F.col("raw")).alias("line"))
     line = line.where("line <> ''").select("line", _leaf("line", depth).alias("leaf"))
-    line = _marked(line, "leaf", leaves, "wide").where("wide").select("leaf", _norm(F.col("line")).alias("norm")).distinct()
-    text = line.join(wide, "leaf").select("leaf", _checksum(F.col("norm")).alias("nid"), "norm")
-    met = materialize(marked.where("wide").join(wide, "leaf").select("nid", "th", "s0", "s1", "s2").distinct(), "line-candidates")
-    text = materialize(text.join(_votes(met, "nid").select("nid", F.col("votes").alias("n")), "nid"), "line-words")
+    return _marked(line, "leaf", leaves, "wide").where("wide").select("leaf", _norm(F.col("line")).alias("norm"))
+
+
+def _rich(once: DataFrame, words: DataFrame, odd: DataFrame, wide: DataFrame, depth: int, min_texts: int, leaf_share: float) -> DataFrame:
+    """(leaf) of the wide leaves in which a line may have enough common words behind the leading ones.
+
+    Such a line has them at half of its places (bare signs aside), so one of them stands in any larger half: only the first
+    half and one more are counted, or all where a line of the leaf has bare signs.  Words travel as hashes; key 0 counts the lines.
+    """
+    each = once.select("leaf", "norm", F.lit(1).cast("long").alias("n")).union(words.select("leaf", "norm", "n"))
+    each = _marked(each, "leaf", odd, "odd").select("leaf", "n", "odd", F.split("norm", " ").alias("w")).where(F.size("w") > depth)
+    behind = F.size("w") - depth
+    some = F.slice("w", F.lit(depth + 1), F.when(F.col("odd"), behind).otherwise(F.floor(behind / 2).cast("int") + 1))
+    keys = F.filter(F.transform(some, lambda x, i: F.when(x != "<*>", F.xxhash64(i, x))), lambda x: x.isNotNull())
+    count = (each.select("leaf", "n", F.explode(F.concat(F.array(F.lit(0).cast("long")), keys)).alias("key"))
+             .groupBy("leaf", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_texts))
+    count = materialize(count, "line-common")
+    total = count.where("key = 0").select("leaf", F.col("n").alias("total"))
+    rich = count.where("key <> 0").groupBy("leaf").agg(F.max("n").alias("n")).join(total, "leaf")
+    return rich.where(F.col("n") >= leaf_share * F.col("total")).join(wide, "leaf").select("leaf")
+
+
+def _equal(words: DataFrame, rich: DataFrame, min_texts: int, min_share: float) -> DataFrame:
+    """(nid) of the boilerplate in the other leaves: lines equal but for fields that enough unlike texts share.
+
+    With ``min_texts`` votes of its own, each of the line's words is constant.
+    """
+    strong = words.where((F.col("n") >= min_texts) & (F.col("n") >= UNLIKE * F.col("texts"))).join(rich, "leaf", "left_anti")
+    parts = F.split("norm", " ")
+    fields = F.size(F.filter(parts, lambda x: x == "<*>"))
+    have = F.size(F.filter(parts, lambda x: (x != "<*>") & F.rlike(x, F.lit(r"\p{L}"))))
+    strong = strong.select("nid", fields.alias("fields"), have.alias("have"))
+    return strong.where((F.col("fields") == 0) | (F.col("have") >= min_share * (F.col("have") + F.col("fields")))).select("nid")
+
+
+def _templates(text: DataFrame, met: DataFrame, depth: int, min_texts: int, min_share: float, leaf_share: float) -> DataFrame:
+    """(nid) of the lines of rich leaves whose template is boilerplate; text: leaf, nid, norm, n."""
     # words that are constant at their place
     word = text.select("leaf", "nid", "n", F.posexplode(F.split("norm", " ")).alias("at", "word"))
     known = word.groupBy("leaf", "at", "word").agg(F.sum("n").alias("n")).where((F.col("n") >= min_texts) & (F.col("word") != "<*>"))
@@ -184,18 +221,41 @@ def lost_places(docs: DataFrame, depth: int = DEPTH, min_texts: int = MIN_TEXTS,
                 leaf_share: float = LEAF_SHARE, min_verbatim: int = MIN_VERBATIM) -> DataFrame:
     """(th, gone): the places of the lines to drop, for each text that has any."""
     lines = materialize(line_hashes(docs, depth), "line-hashes")
-    two = (lines.where(F.col("words") >= VERBATIM_WORDS).groupBy("vid").agg(F.min("th").alias("a"), F.max("th").alias("b"))
-           .where("a <> b").select("vid"))
-    two = materialize(_bitmap("vid", two), "line-twice")
-    wide = materialize(lines.select("leaf", "th").distinct().groupBy("leaf").count()
-                       .where(F.col("count") >= min_texts).select("leaf"), "line-leaves")
+    again = (lines.groupBy("nid").agg(F.count("*").alias("rows"), F.min("th").alias("a"), F.max("th").alias("b"))
+             .where(F.col("rows") > 1).select("nid", (F.col("a") != F.col("b")).alias("two")))
+    again = materialize(again, "line-again")
+    more = materialize(_bitmap("nid", again), "line-more")
+    two = materialize(_bitmap("nid", again.where("two")), "line-twice")
+    wide = materialize(lines.groupBy("leaf", "th").agg(F.max("signs").alias("signs")).groupBy("leaf")
+                       .agg(F.count("*").alias("texts"), F.max("signs").alias("signs")).where(F.col("texts") >= min_texts)
+                       .select("leaf", "signs"), "line-leaves")
     leaves = materialize(_bitmap("leaf", wide), "line-wide")
-    marked = _marked(_marked(lines, "leaf", leaves, "wide"), "vid", two, "twice")
-    marked = materialize(marked.where((F.col("twice") & (F.col("words") >= VERBATIM_WORDS)) | F.col("wide")), "line-marked")
-    same = (_votes(marked.where(F.col("twice") & (F.col("words") >= VERBATIM_WORDS)), "vid")
+    odd = materialize(_bitmap("leaf", wide.where("signs")), "line-odd")
+    wide = wide.select("leaf")
+    marked = _marked(_marked(lines, "nid", two, "twice").where("twice"), "leaf", leaves, "wide")
+    marked = materialize(marked.where((F.col("words") >= VERBATIM_WORDS) | F.col("wide")), "line-marked")
+    same = (_votes(marked.where(F.col("words") >= VERBATIM_WORDS), "vid")
             .where((F.col("votes") >= min_verbatim) & (F.col("votes") >= UNLIKE * F.col("texts"))).select("vid"))
-    alike = _templates(docs, marked, wide, leaves, depth, min_texts, min_share, leaf_share)
-    gone = marked.join(same, "vid").select("th", "place").union(marked.where("wide").join(alike, "nid").select("th", "place"))
+    # lines that recur, once each with their votes; of the others each has one vote
+    votes = materialize(_votes(marked.where("wide"), "nid"), "line-votes")
+    norms = _marked(_norms(docs, leaves, depth).withColumn("nid", _checksum(F.col("norm"))), "nid", more, "more")
+    words = (norms.where("more").select("leaf", "norm").distinct().withColumn("nid", _checksum(F.col("norm"))).join(votes, "nid", "left")
+             .select("leaf", "nid", "norm", F.coalesce("votes", F.lit(1)).alias("n"), F.coalesce("texts", F.lit(1)).alias("texts")))
+    words = materialize(words.join(wide, "leaf"), "line-words")
+    rich = materialize(_rich(norms.where("NOT more"), words, odd, wide, depth, min_texts, leaf_share), "line-rich")
+    equal = _equal(words, rich, min_texts, min_share)
+    # the lines of rich leaves: their words are read from the texts that have such lines
+    deep = materialize(_bitmap("leaf", rich), "line-deep")
+    met = materialize(_marked(lines, "leaf", deep, "deep").where("deep").join(rich, "leaf")
+                      .select("th", "place", "leaf", "nid", "s0", "s1", "s2"), "line-candidates")
+    holders = materialize(_bitmap("th", met), "line-holders")
+    held = _marked(docs.select("text", F.xxhash64("text").alias("th")), "th", holders, "holds").where("holds").select("text")
+    single = _marked(_norms(held, deep, depth).withColumn("nid", _checksum(F.col("norm"))), "nid", more, "more").where("NOT more")
+    text = words.select("leaf", "nid", "norm", "n").union(single.select("leaf", "nid", "norm", F.lit(1).cast("long").alias("n")))
+    text = materialize(text.join(rich, "leaf"), "line-texts")
+    alike = _templates(text, met, depth, min_texts, min_share, leaf_share)
+    gone = [marked.join(same, "vid"), marked.where("wide").join(equal, "nid"), met.join(alike, "nid")]
+    gone = reduce(DataFrame.union, [g.select("th", "place") for g in gone])
     return gone.groupBy("th").agg(F.collect_set("place").alias("gone"))
 
 
