@@ -55,8 +55,7 @@ UNLIKE = 0.5
 BITMAP_WORDS = 1 << 20                 # of 64 bits
 _ORDERS = (1, 5, 9)                    # first byte of a checksum's eight by which surroundings are ordered
 _BLANKS = ("\t", "\x0b", "\f", "\r")   # besides the space
-_DIGITS = "0123456789"
-_SIGN = r"(^| )[^\p{L}0-9 ]+( |$)"
+_SIGN = r"(?:^| )[^\p{L}0-9 ]+(?: |$)"
 
 
 def _lines(text: Column | str) -> Column:
@@ -79,18 +78,22 @@ def _bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def _has_digit(text: Column) -> Column:
+    return F.rlike(text, F.lit("[0-9]"))
+
+
 def _general(word: Column) -> Column:
     """A word, or <*> if it holds a digit."""
-    return F.when(F.translate(word, _DIGITS, "") != word, F.lit("<*>")).otherwise(word)
+    return F.when(_has_digit(word), F.lit("<*>")).otherwise(word)
 
 
 def _leaf(line: Column | str, depth: int) -> Column:
-    lead = F.split(F.substring_index(line, " ", depth), " ")
-    return F.xxhash64(_count(line, " ") + 1, F.array_join(F.transform(lead, _general), " "))
+    return F.xxhash64(_count(line, " ") + 1, _norm(F.substring_index(line, " ", depth)))
 
 
 def _norm(line: Column) -> Column:
-    return F.array_join(F.transform(F.split(line, " "), _general), " ")
+    """The words generalised; most lines hold no digit and stay as they are."""
+    return F.when(_has_digit(line), F.array_join(F.transform(F.split(line, " "), _general), " ")).otherwise(line)
 
 
 def _checksum(line: Column) -> Column:
@@ -117,7 +120,7 @@ def line_hashes(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     text = text.select("th", "b", F.explode(F.array(_surroundings(F.col("b.vid")))).alias("around"))
     line = (text.select("th", "around", F.posexplode(F.arrays_zip("b.line", "b.vid")).alias("place", "z"))
             .select("th", "around", "place", F.col("z.line").alias("line"), F.col("z.vid").alias("vid")).where("line <> ''"))
-    field = F.translate("line", _DIGITS, "") != F.col("line")
+    field = _has_digit(F.col("line"))
     own = [F.substring("vid", at, 8) for at in _ORDERS]
     seen = [F.when(F.get("around", k)["low"] == own[k], F.coalesce(F.get("around", k)["next"], own[k])).otherwise(F.get("around", k)["low"])
             .alias(f"s{k}") for k in range(len(_ORDERS))]
@@ -169,10 +172,11 @@ def _rich(once: DataFrame, words: DataFrame, odd: DataFrame, wide: DataFrame, de
     each = once.select("leaf", "norm", F.lit(1).cast("long").alias("n")).union(words.select("leaf", "norm", "n"))
     each = _marked(each, "leaf", odd, "odd").select("leaf", "n", "odd", F.split("norm", " ").alias("w")).where(F.size("w") > depth)
     behind = F.size("w") - depth
-    some = F.slice("w", F.lit(depth + 1), F.when(F.col("odd"), behind).otherwise(F.floor(behind / 2).cast("int") + 1))
-    keys = F.filter(F.transform(some, lambda x, i: F.when(x != "<*>", F.xxhash64(i, x))), lambda x: x.isNotNull())
-    count = (each.select("leaf", "n", F.explode(F.concat(F.array(F.lit(0).cast("long")), keys)).alias("key"))
-             .groupBy("leaf", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_texts))
+    last = depth + F.when(F.col("odd"), behind).otherwise(F.floor(behind / 2).cast("int") + 1)
+    word = each.select("leaf", "n", last.alias("last"), F.posexplode("w").alias("at", "word"))
+    word = word.where((F.col("at") == 0) | (F.col("at") >= depth) & (F.col("at") < F.col("last")) & (F.col("word") != "<*>"))
+    key = F.when(F.col("at") == 0, F.lit(0)).otherwise(F.xxhash64("at", "word"))
+    count = word.groupBy("leaf", key.alias("key")).agg(F.sum("n").alias("n")).where(F.col("n") >= min_texts)
     count = materialize(count, "line-common")
     total = count.where("key = 0").select("leaf", F.col("n").alias("total"))
     rich = count.where("key <> 0").groupBy("leaf").agg(F.max("n").alias("n")).join(total, "leaf")
@@ -254,7 +258,8 @@ def lost_places(docs: DataFrame, depth: int = DEPTH, min_texts: int = MIN_TEXTS,
     text = words.select("leaf", "nid", "norm", "n").union(single.select("leaf", "nid", "norm", F.lit(1).cast("long").alias("n")))
     text = materialize(text.join(rich, "leaf"), "line-texts")
     alike = _templates(text, met, depth, min_texts, min_share, leaf_share)
-    gone = [marked.join(same, "vid"), marked.where("wide").join(equal, "nid"), met.join(alike, "nid")]
+    same = materialize(same, "line-same")
+    gone = [_marked(marked, "vid", _bitmap("vid", same), "same").where("same").join(same, "vid"), marked.where("wide").join(equal, "nid"), met.join(alike, "nid")]
     gone = reduce(DataFrame.union, [g.select("th", "place") for g in gone])
     return gone.groupBy("th").agg(F.collect_set("place").alias("gone"))
 
@@ -267,7 +272,7 @@ def dedup_lines(docs: DataFrame, depth: int = DEPTH, min_texts: int = MIN_TEXTS,
     full = _marked(docs.select("doc_id", "text", F.xxhash64("text").alias("th")), "th", losers, "loses")
     n_lines = F.coalesce(_count("text", "\n") + 1, F.lit(0)).cast("long").alias("n_lines")
     stay = full.where("text IS NULL OR NOT loses").select("doc_id", n_lines, F.lit(0).cast("long").alias("n_dropped"), "text")
-    cut = full.where("text IS NOT NULL AND loses").join(gone, "th", "left")
+    cut = full.where("text IS NOT NULL AND loses").join(gone.hint("merge"), "th", "left")  # grows with the texts: never broadcast
     left = _bind(_lines("text"), lambda all_: F.array_join(F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), "gone"), lambda i: F.get(all_, i)), "\n"))
     cut = cut.select("doc_id", n_lines, F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
