@@ -100,3 +100,13 @@ def test_equal_lines_go_from_a_large_leaf(spark):
             for i in range(200)]
     got = line_dedup.dedup_lines(documents(spark, data)).collect()
     assert all(r["n_dropped"] == (2 if r["doc_id"] < 20 else 1) for r in got)
+
+
+def test_common_words_behind_bare_signs_and_in_the_later_half(spark):
+    signs = "".join(chr(97 + i) for i in range(26))
+    data = [(i, f"{prose(i, 9)}\nRow of | | | | | alpha beta word{c}x\n{prose(60 + i, 8)}") for i, c in enumerate(signs)]
+    data += [(100 + i, f"{prose(100 + i, 9)}\nSent by one{c} two{c} three to everybody\n{prose(200 + i, 8)}") for i, c in enumerate(signs)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(documents(spark, data)).collect()}
+    for i in range(26):
+        assert got[i] == f"{prose(i, 9)}\n{prose(60 + i, 8)}"
+        assert got[100 + i] == f"{prose(100 + i, 9)}\n{prose(200 + i, 8)}"
